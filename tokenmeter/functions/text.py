@@ -67,9 +67,14 @@ def render(template: str, **values: Column) -> Column:
     return F.concat(*parts)
 
 
+def _pattern(x: Column, pattern: str) -> Column:
+    """SQL ``format_number(x, '<DecimalFormat pattern>')``."""
+    return F.call_function("format_number", x, F.lit(pattern))
+
+
 def k_format(n: Column) -> Column:
     """``1.2K`` for n >= 1000 (never M), the plain integer below."""
-    return F.when(n >= 1000, F.concat(F.format_number(n.cast("double") / 1000.0, "0.0"), F.lit("K"))).otherwise(
+    return F.when(n >= 1000, F.concat(_pattern(n.cast("double") / 1000.0, "0.0"), F.lit("K"))).otherwise(
         n.cast("string")
     )
 
@@ -80,7 +85,7 @@ def limit_text(limit: Column) -> Column:
 
 def whole_percent(pct: Column) -> Column:
     """``f"{pct:.0f}"``."""
-    return F.format_number(pct, "0")
+    return _pattern(pct, "0")
 
 
 def thousands(n: Column) -> Column:

@@ -8,8 +8,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tokenmeter.operators import quota, rollups
+from tokenmeter.operators import gate, notices, quota, rollups
 from tokenmeter.params import FIXTURE_CLOCK as CLOCK
+from tokenmeter.params import QuotaSettings
 from tokenmeter.session import configure
 from tokenmeter.sources import fixtures as fx
 
@@ -73,6 +74,50 @@ def q_usage_history_by_group(spark, sf_dir):
     return rollups.usage_history_by_group(ledger, groups)
 
 
+def _decisions(spark, sf_dir, settings=QuotaSettings()):
+    ledger, groups, limits = _inputs(spark, sf_dir)
+    return gate.gate_decisions(fx.request_log(spark, sf_dir), ledger, groups, limits, CLOCK, settings)
+
+
+def q_gate_decisions(spark, sf_dir):
+    return _decisions(spark, sf_dir)
+
+
+def q_gate_decisions_advisory(spark, sf_dir):
+    return _decisions(spark, sf_dir, QuotaSettings(enable_blocking=False))
+
+
+def q_status_lines(spark, sf_dir):
+    ledger, groups, limits = _inputs(spark, sf_dir)
+    ids = fx.request_log(spark, sf_dir).select("user_id")
+    return notices.status_lines(quota.user_usage_status(ids, ledger, groups, limits, CLOCK))
+
+
+def q_block_notices(spark, sf_dir):
+    return notices.block_notices(_decisions(spark, sf_dir))
+
+
+def _replay(spark, sf_dir):
+    """Replay of the request log; every user has a tier row (tier by id % 10)."""
+    configure(spark)
+    log = fx.request_log(spark, sf_dir)
+    groups = fx.user_groups(log, every_user=True)
+    return gate.gate_replay(log, groups, fx.usage_limits(spark))
+
+
+def q_gate_replay(spark, sf_dir):
+    return _replay(spark, sf_dir)
+
+
+def q_gate_replay_by_tier(spark, sf_dir):
+    return gate.gate_replay_by_tier(_replay(spark, sf_dir))
+
+
+def q_post_response_warnings(spark, sf_dir):
+    ledger, groups, limits = _inputs(spark, sf_dir)
+    return notices.post_response_warnings(gate.status_after_each(ledger, groups, limits, QuotaSettings()))
+
+
 QUERIES: dict[str, Query] = {
     "ledger_scan": q_ledger_scan,
     "limits_dim": q_limits_dim,
@@ -86,4 +131,11 @@ QUERIES: dict[str, Query] = {
     "user_usage_status": q_user_usage_status,
     "orphan_groups": q_orphan_groups,
     "usage_history_by_group": q_usage_history_by_group,
+    "gate_decisions": q_gate_decisions,
+    "gate_decisions_advisory": q_gate_decisions_advisory,
+    "status_lines": q_status_lines,
+    "block_notices": q_block_notices,
+    "gate_replay": q_gate_replay,
+    "gate_replay_by_tier": q_gate_replay_by_tier,
+    "post_response_warnings": q_post_response_warnings,
 }
