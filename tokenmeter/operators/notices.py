@@ -91,3 +91,103 @@ def post_response_warnings(status_after: DataFrame, settings: QuotaSettings = Qu
     return status_after.select(
         "id", "user_id", "tokens_today", "tokens_this_month", kind.alias("warning_kind"), body.alias("warning")
     ).filter(F.col("warning_kind").isNotNull())
+
+
+def annotated_messages(
+    bodies: DataFrame,
+    ledger: DataFrame,
+    groups: DataFrame,
+    limits: DataFrame,
+    clock,
+    settings: QuotaSettings = QuotaSettings(),
+) -> DataFrame:
+    """O-42/O-43 for a batch of concurrent chat bodies at ``clock.as_of``.
+
+    Inlet: every body is checked against its user's status before the batch
+    (requests in flight together see the same status).  A blocked body is
+    replaced by one assistant message carrying the block notice and is not
+    recorded.  Outlet, in source-key order: the body's usage is recorded, the
+    status is re-read (prior usage + this batch's recordings up to and
+    including this one) and the warning, if any, is appended to the last
+    assistant message when its content is text (S19: a non-text last
+    assistant message is left unchanged and no earlier one is used).
+    """
+    from tokenmeter.functions import payload as P
+    from tokenmeter.functions.quota import is_over
+    from tokenmeter.operators.extract import recordable, usage_extract
+    from tokenmeter.operators.gate import is_admin, outcome_of
+    from tokenmeter.operators.prefix import Hierarchy, running_sums
+    from tokenmeter.operators.quota import user_usage_status
+
+    ex = usage_extract(bodies).join(bodies.select("conv_id", F.col("payload").alias("__payload")), "conv_id")
+    role = F.col("role") if "role" in bodies.columns else F.lit("user")
+    status = user_usage_status(ex.filter(F.col("user_id").isNotNull()).select("user_id"), ledger, groups, limits,
+                               clock, settings)
+    st = status.select(
+        "user_id", "group_name", "daily_limit", "monthly_limit",
+        F.col("tokens_today").alias("__base_today"), F.col("tokens_this_month").alias("__base_month"),
+        F.col("is_over_daily").alias("__od0"), F.col("is_over_monthly").alias("__om0"),
+    )
+    j = ex.join(st, "user_id", "left")
+    over0 = F.coalesce(F.col("__od0") | F.col("__om0"), F.lit(False))
+    blocked = F.col("user_id").isNotNull() & (outcome_of(over0, is_admin(settings, role), settings) == "blocked")
+    j = j.withColumn("__blocked", blocked)
+
+    rec = F.when(~F.col("__blocked") & recordable(j), F.try_add(F.col("prompt_tokens"), F.col("completion_tokens")))
+    j = j.withColumn("__rec", rec.cast("long"))
+    keyed = j.filter(F.col("user_id").isNotNull()).withColumn("__hi", F.floor(F.col("conv_id") / 1048576)).withColumn(
+        "__lo", F.floor(F.col("conv_id") / 1024)
+    )
+    h = Hierarchy(("user_id",), ("__hi", "__lo"), ("conv_id",))
+    run = running_sums(keyed, h, {"r": F.coalesce(F.col("__rec"), F.lit(0).cast("long"))}, inclusive=True)
+    after = run.unionByName(
+        j.filter(F.col("user_id").isNull()).withColumn("__hi", F.lit(None).cast("long"))
+        .withColumn("__lo", F.lit(None).cast("long")).withColumn("r__d0", F.lit(None).cast("long"))
+        .withColumn("r__d1", F.lit(None).cast("long")).withColumn("r__d2", F.lit(None).cast("long"))
+    )
+    after = after.withColumn("tokens_today", F.col("__base_today") + F.col("r__d0")).withColumn(
+        "tokens_this_month", F.col("__base_month") + F.col("r__d0")
+    )
+    after = after.withColumn("is_over_daily", is_over(F.col("tokens_today"), F.col("daily_limit"))).withColumn(
+        "is_over_monthly", is_over(F.col("tokens_this_month"), F.col("monthly_limit"))
+    )
+    kind, body = warning_text(settings)
+    kind = F.when(F.col("__rec").isNotNull(), kind)
+    body = F.when(F.col("__rec").isNotNull(), body)
+
+    msgs = P.parse_body(F.col("__payload"))["messages"]
+    last_asst = F.array_max(
+        F.transform(msgs, lambda m, i: F.when(F.coalesce(P.msg_role(m) == "assistant", F.lit(False)), i).otherwise(-1))
+    )
+
+    def as_struct(m, content):
+        return F.struct(P.msg_role(m).alias("role"), content.alias("content"))
+
+    annotated = F.transform(
+        msgs,
+        lambda m, i: F.when(
+            (i == last_asst) & P.msg_content_is_text(m) & F.col("__warning").isNotNull(),
+            as_struct(m, F.concat(P.msg_content(m), F.col("__warning"))),
+        ).otherwise(as_struct(m, P.msg_content(m))),
+    )
+    over = F.coalesce(F.col("__od0"), F.lit(False))
+    limit_type = F.when(over, F.lit("daily")).otherwise(F.lit("monthly"))
+    from tokenmeter.params import RESET_DAILY, RESET_MONTHLY
+
+    notice = text.render(
+        text.BLOCK_NOTICE,
+        limit_type=limit_type,
+        group_name=F.col("group_name"),
+        used=text.thousands(F.when(over, F.col("__base_today")).otherwise(F.col("__base_month"))),
+        limit=text.thousands(F.when(over, F.col("daily_limit")).otherwise(F.col("monthly_limit"))),
+        reset_info=F.when(over, F.lit(RESET_DAILY)).otherwise(F.lit(RESET_MONTHLY)),
+    )
+    replaced = F.array(F.struct(F.lit("assistant").alias("role"), notice.alias("content")))
+    out = after.withColumn("__warning", body).select(
+        "conv_id",
+        "user_id",
+        F.col("__blocked").alias("usage_blocked"),
+        kind.alias("warning_kind"),
+        F.when(F.col("__blocked"), replaced).otherwise(annotated).alias("messages"),
+    )
+    return out

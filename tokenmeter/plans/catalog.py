@@ -8,7 +8,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tokenmeter.operators import gate, notices, quota, rollups
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from tokenmeter.functions.literals import ts_ntz
+from tokenmeter.operators import extract, gate, maintenance, notices, quota, rollups
+from tokenmeter.params import Clock
 from tokenmeter.params import FIXTURE_CLOCK as CLOCK
 from tokenmeter.params import QuotaSettings
 from tokenmeter.session import configure
@@ -118,6 +124,70 @@ def q_post_response_warnings(spark, sf_dir):
     return notices.post_response_warnings(gate.status_after_each(ledger, groups, limits, QuotaSettings()))
 
 
+# Retention is evaluated at the end of the events span with a 15-day window.
+RETENTION_CLOCK = Clock(dt.datetime(2024, 1, 30))
+RETENTION_DAYS = 15
+
+
+def _extracted(spark, sf_dir):
+    configure(spark)
+    return extract.usage_extract(fx.bodies(spark, sf_dir))
+
+
+def q_usage_extract(spark, sf_dir):
+    return _extracted(spark, sf_dir)
+
+
+def q_usage_recordable(spark, sf_dir):
+    return extract.usage_recordable(_extracted(spark, sf_dir))
+
+
+def q_record_usage(spark, sf_dir):
+    return extract.record_usage(_extracted(spark, sf_dir), ts_ntz(CLOCK.as_of))
+
+
+def q_register_first_seen(spark, sf_dir):
+    _, groups, _ = _inputs(spark, sf_dir)
+    new_rows = extract.record_usage(_extracted(spark, sf_dir), ts_ntz(CLOCK.as_of))
+    return maintenance.register_first_seen(groups, new_rows)
+
+
+def q_seed_limits(spark, sf_dir):
+    _, groups, limits = _inputs(spark, sf_dir)
+    in_use = limits.join(groups.select("group_name").distinct(), "group_name", "left_semi")
+    return maintenance.seed_limits(in_use, maintenance.default_tiers(spark))
+
+
+def q_upsert_groups(spark, sf_dir):
+    ledger = _inputs(spark, sf_dir)[0]
+    return maintenance.upsert_groups(fx.user_group_rows(ledger), fx.tier_change_batch(ledger), CLOCK)
+
+
+def q_retention_kept(spark, sf_dir):
+    return maintenance.retention_kept(_inputs(spark, sf_dir)[0], RETENTION_CLOCK, RETENTION_DAYS)
+
+
+def q_retention_deleted_count(spark, sf_dir):
+    return maintenance.retention_deleted_count(_inputs(spark, sf_dir)[0], RETENTION_CLOCK, RETENTION_DAYS)
+
+
+def q_ledger_violations(spark, sf_dir):
+    ledger = _inputs(spark, sf_dir)[0]
+    new_rows = extract.record_usage(_extracted(spark, sf_dir), ts_ntz(CLOCK.as_of))
+    return maintenance.ledger_violations(ledger.unionByName(new_rows, allowMissingColumns=True))
+
+
+def q_annotated_messages(spark, sf_dir):
+    ledger, groups, limits = _inputs(spark, sf_dir)
+    out = notices.annotated_messages(fx.bodies(spark, sf_dir), ledger, groups, limits, CLOCK)
+    last = F.try_element_at(F.filter(F.col("messages"), lambda m: m["role"] == "assistant"), F.lit(-1))
+    return out.select(
+        "conv_id", "user_id", "usage_blocked", "warning_kind",
+        F.size("messages").alias("message_count"),
+        last["content"].alias("annotated_content"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "ledger_scan": q_ledger_scan,
     "limits_dim": q_limits_dim,
@@ -138,4 +208,14 @@ QUERIES: dict[str, Query] = {
     "gate_replay": q_gate_replay,
     "gate_replay_by_tier": q_gate_replay_by_tier,
     "post_response_warnings": q_post_response_warnings,
+    "usage_extract": q_usage_extract,
+    "usage_recordable": q_usage_recordable,
+    "record_usage": q_record_usage,
+    "register_first_seen": q_register_first_seen,
+    "seed_limits": q_seed_limits,
+    "upsert_groups": q_upsert_groups,
+    "retention_kept": q_retention_kept,
+    "retention_deleted_count": q_retention_deleted_count,
+    "ledger_violations": q_ledger_violations,
+    "annotated_messages": q_annotated_messages,
 }

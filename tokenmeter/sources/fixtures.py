@@ -150,3 +150,25 @@ def second_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).alias("completion_tokens"),
         tot.alias("total_tokens"),
     )
+
+
+def user_group_rows(ledger: DataFrame) -> DataFrame:
+    """``user_groups`` with the bookkeeping columns of the stored table."""
+    return user_groups(ledger).select(
+        "user_id", "group_name",
+        F.lit(None).cast(T.TimestampNTZType()).alias("assigned_at"),
+        F.lit("bootstrap").alias("assigned_by"),
+        F.lit("initial").alias("notes"),
+    )
+
+
+def tier_change_batch(ledger: DataFrame) -> DataFrame:
+    """An upsert batch covering every ledger user: each moves to the tier of
+    the next id (users without a tier row are inserted)."""
+    users = ledger.select("user_id").distinct()
+    return users.select(
+        "user_id",
+        tier_of(F.col("user_id").cast("int") + 1).alias("group_name"),
+        F.lit("admin").alias("assigned_by"),
+        F.lit("upgrade").alias("notes"),
+    )
