@@ -188,6 +188,65 @@ def q_annotated_messages(spark, sf_dir):
     )
 
 
+def _events_stream(spark, sf_dir):
+    from tokenmeter.streaming.io import file_stream
+
+    configure(spark)
+    return file_stream(spark, sf_dir, "events.parquet")
+
+
+def q_stream_usage_daily(spark, sf_dir):
+    from tokenmeter.streaming import rollups as srollups
+
+    sink = srollups.run_daily(spark, fx.ledger_from_events(_events_stream(spark, sf_dir)))
+    return srollups.daily_table(spark, sink)
+
+
+def q_stream_usage_monthly(spark, sf_dir):
+    from tokenmeter.streaming import rollups as srollups
+
+    sink = srollups.run_daily(spark, fx.ledger_from_events(_events_stream(spark, sf_dir)))
+    return srollups.monthly_from_daily(srollups.daily_table(spark, sink))
+
+
+def q_stream_ledger(spark, sf_dir):
+    """Bodies land as Parquet files in a folder; the stream ingests them."""
+    from tokenmeter.session import scratch_path
+    from tokenmeter.streaming.io import file_stream, run_available
+    from tokenmeter.streaming.ledger import start_ledger_ingest
+
+    ledger, groups, _ = _inputs(spark, sf_dir)
+    landing = scratch_path(spark, "landing", "bodies")
+    fx.bodies(spark, sf_dir).write.parquet(landing)
+    ledger_path = scratch_path(spark, "tables", "ledger")
+    groups_path = scratch_path(spark, "tables", "registrations")
+    run_available(start_ledger_ingest(
+        spark, file_stream(spark, landing, "*.parquet"), ledger_path, groups_path, groups,
+        scratch_path(spark, "checkpoints", "ledger"), recorded_at=ts_ntz(CLOCK.as_of),
+    ))
+    from tokenmeter.sources.schemas import LEDGER
+
+    return spark.read.parquet(ledger_path).select(*LEDGER.fieldNames())
+
+
+def q_stream_gate(spark, sf_dir):
+    from tokenmeter.session import scratch_path
+    from tokenmeter.streaming.gate import stream_gate
+    from tokenmeter.streaming.io import run_available, versioned_writer
+
+    configure(spark)
+    log = fx.request_log(spark, sf_dir)
+    groups = fx.user_groups(log, every_user=True)
+    decisions = stream_gate(fx.requests_from_events(_events_stream(spark, sf_dir)), groups, fx.usage_limits(spark))
+    sink = scratch_path(spark, "sinks", "gate")
+    run_available(
+        decisions.writeStream.outputMode("append")
+        .option("checkpointLocation", scratch_path(spark, "checkpoints", "gate"))
+        .foreachBatch(versioned_writer(sink))
+    )
+    return spark.read.parquet(sink).drop("batch_id")
+
+
 QUERIES: dict[str, Query] = {
     "ledger_scan": q_ledger_scan,
     "limits_dim": q_limits_dim,
@@ -218,4 +277,8 @@ QUERIES: dict[str, Query] = {
     "retention_deleted_count": q_retention_deleted_count,
     "ledger_violations": q_ledger_violations,
     "annotated_messages": q_annotated_messages,
+    "stream_usage_daily": q_stream_usage_daily,
+    "stream_usage_monthly": q_stream_usage_monthly,
+    "stream_ledger": q_stream_ledger,
+    "stream_gate": q_stream_gate,
 }

@@ -38,7 +38,11 @@ def _completion(props: str = "props"):
 
 
 def usage_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value", "props"])
+    return ledger_from_events(read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value", "props"]))
+
+
+def ledger_from_events(ev: DataFrame) -> DataFrame:
+    """Ledger projection of ``events`` rows (batch or stream)."""
     p, c = _prompt(), _completion()
     return ev.select(
         F.col("event_id").alias("id"),
@@ -73,7 +77,10 @@ def user_groups(ledger: DataFrame, every_user: bool = False) -> DataFrame:
 
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests with the tokens each would consume if admitted."""
-    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value", "props"])
+    return requests_from_events(read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value", "props"]))
+
+
+def requests_from_events(ev: DataFrame) -> DataFrame:
     return ev.select(
         F.col("event_id").alias("id"),
         F.col("user_id").cast("string").alias("user_id"),
