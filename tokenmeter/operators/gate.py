@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tokenmeter.functions.quota import is_over, under
 from tokenmeter.operators.prefix import Hierarchy, running_sums
@@ -95,12 +96,12 @@ def gate_decisions(
 
 
 def calendar_keys(ts: str, bucket_seconds: int) -> list[Column]:
-    """UTC month, day and intra-day bucket of a timestamp, in that order."""
+    """UTC month (date), day (days since epoch) and intra-day bucket."""
     t = F.col(ts)
     secs = F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
     return [
         F.trunc(F.to_date(t), "month").alias("__month"),
-        F.to_date(t).alias("__day"),
+        F.unix_date(F.to_date(t)).alias("__day"),
         F.floor(secs / F.lit(bucket_seconds)).cast("int").alias("__bucket"),
     ]
 
@@ -127,6 +128,8 @@ REPLAY_COLUMNS = [
     "tokens_today_before", "tokens_month_before",
 ]
 
+CALENDAR = Hierarchy(("user_id", "__month"), "__day", "__bucket", ("requested_at", "id"))
+
 
 def _label(today: Column, month: Column, dl: Column, ml: Column) -> Column:
     """Which limit a request faced; daily wins when both are over (S2)."""
@@ -139,6 +142,7 @@ def gate_replay(
     limits: DataFrame,
     settings: QuotaSettings = QuotaSettings(),
     bucket_seconds: int = 60,
+    materialize: bool = True,
 ) -> DataFrame:
     """O-44: which requests of a time-ordered log would have been admitted,
     given that blocked requests record nothing.
@@ -156,30 +160,38 @@ def gate_replay(
          usage that day / month.
 
     Each step is a running sum computed by ``prefix.running_sums`` (bounded
-    groups, one shuffle of the log).  Preconditions of the closed form, checked
-    here rather than assumed: no negative token count within a user-month and
-    a constant tier (tier is looked up once per user, so it holds).  User-months
-    with a negative count take the exact sequential path (``replay_exact``).
+    groups; the log is shuffled once).  With ``materialize`` each step is
+    checkpointed to ``spark.checkpoint.dir`` (reliable, keeps partitioning):
+    the next step reads it instead of recomputing, and lineage stays short.
+
+    Preconditions of the closed form, checked rather than assumed: no negative
+    token count within a user-month (flagged per bucket, then per month, in the
+    same pass) and a constant tier (looked up once per user, so it holds).
+    Flagged user-months take the exact sequential path (``replay_exact``).
     Requests without a user id or a time are not part of a replay.
     """
+    from tokenmeter.sources.store import cut_lineage
+
+    keep = cut_lineage if materialize else (lambda df: df)
     reqs = requests.filter(has_user() & F.col("requested_at").isNotNull()).select(
         "id", "user_id", "requested_at", F.coalesce(F.col("role"), F.lit("user")).alias("role"), "total_tokens",
         *calendar_keys("requested_at", bucket_seconds),
     )
-    neg = reqs.filter(F.col("total_tokens") < 0).select("user_id", "__month").distinct()
-    clean = reqs.join(neg, ["user_id", "__month"], "left_anti")
-    dirty = reqs.join(neg, ["user_id", "__month"], "left_semi")
-
-    h = Hierarchy(("user_id", "__month"), ("__day", "__bucket"), ("requested_at", "id"))
     admin = is_admin(settings)
     blocking = F.lit(settings.enable_blocking)
     tok = F.coalesce(F.col("total_tokens"), F.lit(0)).cast("long")
-
-    s1 = running_sums(clean, h, {"a": tok}, enrich=_tier_enricher(groups, limits, settings))
-    s1 = s1.withColumn("__pass_d", ~blocking | admin | under(F.col("a__d1"), F.col("__dl")))
-    s2 = running_sums(s1, h, {"b": F.when(F.col("__pass_d"), tok).otherwise(F.lit(0).cast("long"))})
-    s2 = s2.withColumn("admitted", F.col("__pass_d") & (~blocking | admin | under(F.col("b__d0"), F.col("__ml"))))
-    s3 = running_sums(s2, h, {"c": F.when(F.col("admitted"), tok).otherwise(F.lit(0).cast("long"))})
+    tiers = _tier_enricher(groups, limits, settings)
+
+    def enrich(b: DataFrame) -> DataFrame:
+        month = Window.partitionBy(*CALENDAR.partition)
+        return tiers(b).withColumn("__neg", F.min("__min_tok").over(month) < 0).drop("__min_tok")
+
+    s1 = running_sums(reqs, CALENDAR, {"a": tok}, bucket_aggs=[F.min("total_tokens").alias("__min_tok")], enrich=enrich)
+    s1 = keep(s1.withColumn("__pass_d", ~blocking | admin | under(F.col("a__d1"), F.col("__dl"))))
+    clean, dirty = s1.filter(~F.col("__neg")), s1.filter(F.col("__neg"))
+    s2 = running_sums(clean, CALENDAR, {"b": F.when(F.col("__pass_d"), tok).otherwise(F.lit(0).cast("long"))})
+    s2 = keep(s2.withColumn("admitted", F.col("__pass_d") & (~blocking | admin | under(F.col("b__d0"), F.col("__ml")))))
+    s3 = running_sums(s2, CALENDAR, {"c": F.when(F.col("admitted"), tok).otherwise(F.lit(0).cast("long"))})
     label = _label(F.col("c__d1"), F.col("c__d0"), F.col("__dl"), F.col("__ml"))
     closed = s3.select(
         "id", "user_id", "requested_at", "role", "group_name", "total_tokens", "admitted",
@@ -192,17 +204,16 @@ def gate_replay(
         F.col("c__d1").alias("tokens_today_before"),
         F.col("c__d0").alias("tokens_month_before"),
     )
-    return closed.unionByName(replay_exact(dirty, groups, limits, settings))
+    return closed.unionByName(replay_exact(dirty, settings))
 
 
-def replay_exact(requests: DataFrame, groups: DataFrame, limits: DataFrame, settings: QuotaSettings) -> DataFrame:
+def replay_exact(rows: DataFrame, settings: QuotaSettings) -> DataFrame:
     """Sequential replay per (user, month) with ``applyInPandas``: the state
     (day usage, month usage) resets at month start, so user-months are
-    independent.  Used only for user-months that break the closed form."""
+    independent.  Used only for user-months that break the closed form.
+    ``rows`` carry the calendar keys and the tier limits (``__dl``, ``__ml``)."""
     from tokenmeter.functions.sequential import REPLAY_SCHEMA, replay_group
 
-    enrich = _tier_enricher(groups, limits, settings)
-    rows = enrich(requests)
     rows = rows.select(
         "id", "user_id", "requested_at", "role", "group_name", "total_tokens",
         F.col("__month").alias("month_key"), F.col("__day").alias("day_key"),
@@ -236,7 +247,7 @@ def status_after_each(ledger: DataFrame, groups: DataFrame, limits: DataFrame, s
     rows = ledger.filter(has_user() & F.col("recorded_at").isNotNull()).select(
         "id", "user_id", "recorded_at", "total_tokens", *calendar_keys("recorded_at", bucket_seconds)
     )
-    h = Hierarchy(("user_id", "__month"), ("__day", "__bucket"), ("recorded_at", "id"))
+    h = Hierarchy(("user_id", "__month"), "__day", "__bucket", ("recorded_at", "id"))
     tok = F.coalesce(F.col("total_tokens"), F.lit(0)).cast("long")
     s = running_sums(rows, h, {"u": tok}, inclusive=True, enrich=_tier_enricher(groups, limits, settings))
     return s.select(

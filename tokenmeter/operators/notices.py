@@ -138,7 +138,7 @@ def annotated_messages(
     keyed = j.filter(F.col("user_id").isNotNull()).withColumn("__hi", F.floor(F.col("conv_id") / 1048576)).withColumn(
         "__lo", F.floor(F.col("conv_id") / 1024)
     )
-    h = Hierarchy(("user_id",), ("__hi", "__lo"), ("conv_id",))
+    h = Hierarchy(("user_id",), "__hi", "__lo", ("conv_id",))
     run = running_sums(keyed, h, {"r": F.coalesce(F.col("__rec"), F.lit(0).cast("long"))}, inclusive=True)
     after = run.unionByName(
         j.filter(F.col("user_id").isNull()).withColumn("__hi", F.lit(None).cast("long"))

@@ -2,24 +2,27 @@
 
 A running sum partitioned by ``user_id`` puts every row of a user in one task;
 with one user holding a third of the data that is one task holding a third of
-the data.  Here the order is cut into a calendar hierarchy whose fan-out is
+the data.  Here the order is cut into a two-level hierarchy whose fan-out is
 bounded by the calendar, not by the data:
 
-    partition  (user_id, month)      days per month    <= 31
-    level 0    day                   buckets per day   <= 86400 / bucket_seconds
-    level 1    bucket (W seconds)    rows per bucket   = that user's traffic in W seconds
+    partition  (user_id, month)       buckets per month <= 31 * 86400 / W
+    coarse     day   (int)
+    fine       bucket of W seconds    rows per bucket = that user's traffic in W seconds
     order      (ts, id)
 
-Row-level windows run per finest group (user, month, day, bucket).  Per-level
-totals are pre-aggregated (map-side partial sums), prefix-summed over their
-bounded groups and joined back on the finest key, which is also the row
-window's partitioning: the row relation is shuffled once and only the small
-per-bucket table moves to meet it.
+Row-level windows run per finest group (partition, coarse, fine).  Per-bucket
+totals are pre-aggregated (map-side partial sums) and prefix-summed by ONE
+window over the partition, ordered by (coarse, fine); a RANGE frame over
+``coarse`` gives the sum of earlier coarse groups in the same pass, so
+"earlier in the same day" = "earlier in the month" - "earlier days".  The
+bucket table is joined back on the finest key, which is also the row window's
+partitioning: the rows are shuffled once and only the bucket table moves.
 
-For a depth ``d`` the result ``<name>__d<d>`` is the sum of ``<name>`` over
-earlier rows in the same ``partition + levels[:d]`` group (exclusive, or
-inclusive of the row itself): depth 0 is the whole partition group (month),
-depth 1 the day, ..., depth len(levels) only the finest bucket.
+Result columns per value ``n``:
+    n__d0  sum over earlier rows of the partition group (e.g. the month)
+    n__d1  sum over earlier rows of the same coarse group (e.g. the day)
+    n__d2  sum over earlier rows of the same bucket
+(``inclusive=True`` also counts the row itself.)
 """
 
 from __future__ import annotations
@@ -35,12 +38,13 @@ from pyspark.sql.window import Window
 @dataclass(frozen=True)
 class Hierarchy:
     partition: tuple[str, ...]
-    levels: tuple[str, ...]
+    coarse: str
+    fine: str
     order: tuple[str, ...]
 
     @property
     def keys(self) -> list[str]:
-        return list(self.partition + self.levels)
+        return [*self.partition, self.coarse, self.fine]
 
 
 def running_sums(
@@ -48,48 +52,41 @@ def running_sums(
     h: Hierarchy,
     values: dict[str, Column],
     inclusive: bool = False,
+    bucket_aggs: list[Column] | None = None,
     enrich: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Add ``<name>__d<depth>`` running sums for every value (see module doc).
+    """Add ``<name>__d0/1/2`` running sums for every value (see module doc).
 
-    ``enrich`` is applied to the per-bucket table before it is joined back:
-    per-user attributes (tier, limits) are looked up once per bucket rather
-    than once per row, and ride along the one join back.
-    Hierarchy keys must be non-null.
+    ``bucket_aggs`` are extra aggregates kept per bucket; ``enrich`` maps the
+    bucket table before it is joined back, so per-user attributes (tier,
+    limits, flags) are looked up per bucket and ride along the one join.
+    Hierarchy keys must be non-null; ``coarse`` must be numeric.
     """
     keys = h.keys
     names = list(values)
     end = 0 if inclusive else -1
     within = Window.partitionBy(*keys).orderBy(*h.order).rowsBetween(Window.unboundedPreceding, end)
-    r = rows.select("*", *[values[n].alias(f"__v_{n}") for n in names])
+    r = rows.select("*", *[values[n].cast("long").alias(f"__v_{n}") for n in names])
     r = r.select("*", *[F.coalesce(F.sum(f"__v_{n}").over(within), F.lit(0)).cast("long").alias(f"__w_{n}") for n in names])
 
-    finest = r.groupBy(*keys).agg(*[F.sum(f"__v_{n}").cast("long").alias(f"__t_{n}") for n in names])
-    per_level: list[DataFrame] = []
-    for i, level in enumerate(h.levels):
-        grp = list(h.partition + h.levels[:i])
-        lk = grp + [level]
-        t = finest if i == len(h.levels) - 1 else finest.groupBy(*lk).agg(
-            *[F.sum(f"__t_{n}").alias(f"__t_{n}") for n in names]
-        )
-        before = Window.partitionBy(*grp).orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
-        per_level.append(
-            t.select(*lk, *[F.coalesce(F.sum(f"__t_{n}").over(before), F.lit(0)).cast("long").alias(f"__o{i}_{n}") for n in names])
-        )
-    offsets = per_level[-1]
-    for i in range(len(h.levels) - 2, -1, -1):
-        offsets = offsets.join(per_level[i], list(h.partition + h.levels[: i + 1]))
+    buckets = r.groupBy(*keys).agg(
+        *[F.sum(f"__v_{n}").cast("long").alias(f"__t_{n}") for n in names], *(bucket_aggs or [])
+    )
+    earlier = Window.partitionBy(*h.partition).orderBy(h.coarse, h.fine).rowsBetween(Window.unboundedPreceding, -1)
+    earlier_coarse = Window.partitionBy(*h.partition).orderBy(h.coarse).rangeBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    buckets = buckets.select(
+        "*",
+        *[F.coalesce(F.sum(f"__t_{n}").over(earlier), zero).alias(f"__p_{n}") for n in names],
+        *[F.coalesce(F.sum(f"__t_{n}").over(earlier_coarse), zero).alias(f"__c_{n}") for n in names],
+    ).drop(*[f"__t_{n}" for n in names])
     if enrich is not None:
-        offsets = enrich(offsets)
+        buckets = enrich(buckets)
 
-    out = r.join(offsets, keys)
-    depth_cols = []
+    out = r.join(buckets, keys)
+    cols = []
     for n in names:
-        for d in range(len(h.levels) + 1):
-            total = F.col(f"__w_{n}")
-            for i in range(d, len(h.levels)):
-                total = total + F.col(f"__o{i}_{n}")
-            depth_cols.append(total.alias(f"{n}__d{d}"))
-    drop = [f"__v_{n}" for n in names] + [f"__w_{n}" for n in names]
-    drop += [f"__o{i}_{n}" for n in names for i in range(len(h.levels))]
-    return out.select("*", *depth_cols).drop(*drop)
+        w, p, c = F.col(f"__w_{n}"), F.col(f"__p_{n}"), F.col(f"__c_{n}")
+        cols += [(p + w).alias(f"{n}__d0"), (p - c + w).alias(f"{n}__d1"), w.alias(f"{n}__d2")]
+    drop = [f"__{k}_{n}" for n in names for k in ("v", "w", "p", "c")]
+    return out.select("*", *cols).drop(*drop)
