@@ -13,10 +13,12 @@ EXTRACT_COLUMNS = ["conv_id", "user_id", "usage_blocked", "has_usage", "prompt_t
                    "model_id", "chat_id"]
 
 
-def usage_extract(bodies: DataFrame, key: str = "conv_id", user_col: str = "user_id", payload: str = "payload") -> DataFrame:
+def usage_extract(bodies: DataFrame, key: str = "conv_id", user_col: str = "user_id", payload: str = "payload",
+                  keep: tuple[str, ...] = ()) -> DataFrame:
     """Per body: the resolved user (O-14: the id the inlet tagged, else the
     session user; empty counts as missing), whether it was blocked (O-13),
-    the located usage (O-10) and its token counts with fallbacks (O-11)."""
+    the located usage (O-10) and its token counts with fallbacks (O-11).
+    ``keep`` passes input columns through (e.g. the payload for annotation)."""
     b = P.parse_body(F.col(payload))
     u = P.located_usage(b)
     user = F.coalesce(F.nullif(b["_usage_user_id"], F.lit("")), F.nullif(F.col(user_col), F.lit("")))
@@ -29,6 +31,7 @@ def usage_extract(bodies: DataFrame, key: str = "conv_id", user_col: str = "user
         F.when(u.isNotNull(), P.completion_count(u)).otherwise(F.lit(0)).alias("completion_tokens"),
         b["model"].alias("model_id"),
         b["chat_id"].alias("chat_id"),
+        *keep,
     )
 
 

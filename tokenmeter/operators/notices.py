@@ -119,8 +119,10 @@ def annotated_messages(
     from tokenmeter.operators.prefix import Hierarchy, running_sums
     from tokenmeter.operators.quota import user_usage_status
 
-    ex = usage_extract(bodies).join(bodies.select("conv_id", F.col("payload").alias("__payload")), "conv_id")
     role = F.col("role") if "role" in bodies.columns else F.lit("user")
+    src = bodies.select("*", F.col("payload").alias("__payload"), role.alias("__role"))
+    ex = usage_extract(src, keep=("__payload", "__role"))
+    role = F.col("__role")
     status = user_usage_status(ex.filter(F.col("user_id").isNotNull()).select("user_id"), ledger, groups, limits,
                                clock, settings)
     st = status.select(

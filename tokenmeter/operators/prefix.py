@@ -72,6 +72,10 @@ def running_sums(
     buckets = r.groupBy(*keys).agg(
         *[F.sum(f"__v_{n}").cast("long").alias(f"__t_{n}") for n in names], *(bucket_aggs or [])
     )
+    if enrich is not None:
+        # Enriching first: a user-keyed join leaves the bucket table hashed on
+        # user_id, which already clusters the (user, month) window below.
+        buckets = enrich(buckets)
     earlier = Window.partitionBy(*h.partition).orderBy(h.coarse, h.fine).rowsBetween(Window.unboundedPreceding, -1)
     earlier_coarse = Window.partitionBy(*h.partition).orderBy(h.coarse).rangeBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
@@ -80,8 +84,6 @@ def running_sums(
         *[F.coalesce(F.sum(f"__t_{n}").over(earlier), zero).alias(f"__p_{n}") for n in names],
         *[F.coalesce(F.sum(f"__t_{n}").over(earlier_coarse), zero).alias(f"__c_{n}") for n in names],
     ).drop(*[f"__t_{n}" for n in names])
-    if enrich is not None:
-        buckets = enrich(buckets)
 
     out = r.join(buckets, keys)
     cols = []

@@ -43,7 +43,14 @@ def write_version(df: DataFrame, spark: SparkSession, name: str) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise to ``spark.checkpoint.dir`` (reliable checkpoint, survives
     executor loss) and continue from the written data."""
+    from pyspark import StorageLevel
+
     from tokenmeter.session import shared_dir
 
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # A reliable checkpoint writes in a second job; persisting first lets that
+    # job read the computed partitions instead of recomputing them.
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
