@@ -212,7 +212,7 @@ def replay_exact(rows: DataFrame, settings: QuotaSettings) -> DataFrame:
     (day usage, month usage) resets at month start, so user-months are
     independent.  Used only for user-months that break the closed form.
     ``rows`` carry the calendar keys and the tier limits (``__dl``, ``__ml``)."""
-    from tokenmeter.functions.sequential import REPLAY_SCHEMA, replay_group
+    from tokenmeter.functions.sequential import REPLAY_SCHEMA, replay_fn
 
     rows = rows.select(
         "id", "user_id", "requested_at", "role", "group_name", "total_tokens",
@@ -220,8 +220,7 @@ def replay_exact(rows: DataFrame, settings: QuotaSettings) -> DataFrame:
         F.col("__dl").alias("daily_limit"), F.col("__ml").alias("monthly_limit"),
         is_admin(settings).alias("is_admin"),
     )
-    blocking = settings.enable_blocking
-    return rows.groupBy("user_id", "month_key").applyInPandas(lambda pdf: replay_group(pdf, blocking), REPLAY_SCHEMA)
+    return rows.groupBy("user_id", "month_key").applyInPandas(replay_fn(settings.enable_blocking), REPLAY_SCHEMA)
 
 
 def gate_replay_by_tier(replay: DataFrame) -> DataFrame:

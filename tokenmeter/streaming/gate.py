@@ -10,52 +10,13 @@ micro-batch are one group: sequential by nature, bounded by the trigger size.
 
 from __future__ import annotations
 
-import datetime as dt
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from tokenmeter.functions.sequential import REPLAY_SCHEMA, step
+from tokenmeter.functions.sequential import REPLAY_SCHEMA, STATE_SCHEMA, stateful_gate
 from tokenmeter.params import FALLBACK_DAILY_LIMIT, FALLBACK_MONTHLY_LIMIT, QuotaSettings
 
-STATE_SCHEMA = "month date, day date, month_used long, day_used long"
-
-
-def _next_month_ms(month: dt.date) -> int:
-    y, m = (month.year + 1, 1) if month.month == 12 else (month.year, month.month + 1)
-    return int(dt.datetime(y, m, 1, tzinfo=dt.timezone.utc).timestamp() * 1000)
-
-
-def _gate_fn(blocking: bool):
-    def fn(key, pdfs, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        st: dict = {}
-        if state.exists:
-            month, day, mu, du = state.get
-            st = dict(month=month, day=day, month_used=mu, day_used=du)
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["requested_at", "id"], kind="mergesort")
-        out = []
-        for r in pdf.itertuples(index=False):
-            tok = 0 if pd.isna(r.total_tokens) else int(r.total_tokens)
-            adm, outcome, label, today, mon = step(
-                st, r.day_key, r.month_key, tok, int(r.daily_limit), int(r.monthly_limit), bool(r.is_admin), blocking
-            )
-            out.append((r.id, r.user_id, r.requested_at, r.role, r.group_name, r.total_tokens, adm, outcome, label,
-                        today, mon))
-        if st:
-            state.update((st["month"], st["day"], int(st["month_used"]), int(st["day_used"])))
-            state.setTimeoutTimestamp(_next_month_ms(st["month"]))
-        cols = ["id", "user_id", "requested_at", "role", "group_name", "total_tokens", "admitted", "outcome",
-                "limit_type", "tokens_today_before", "tokens_month_before"]
-        yield pd.DataFrame(out, columns=cols)
-
-    return fn
-
-
 def stream_gate(requests: DataFrame, groups: DataFrame, limits: DataFrame, settings: QuotaSettings = QuotaSettings(),
                 watermark: str = "1 day") -> DataFrame:
     """Decisions for a request stream.  The tier lookup is a stream-static
@@ -76,5 +37,5 @@ def stream_gate(requests: DataFrame, groups: DataFrame, limits: DataFrame, setti
         F.col("requested_at").cast("timestamp").alias("__event_ts"),
     ).withWatermark("__event_ts", watermark)
     return r.groupBy("user_id").applyInPandasWithState(
-        _gate_fn(settings.enable_blocking), REPLAY_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout
+        stateful_gate(settings.enable_blocking), REPLAY_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout
     )
