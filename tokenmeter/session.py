@@ -23,6 +23,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Call-site capture costs several py4j round trips per Column call
+        # while a plan is built; it only decorates error messages.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("TOKENMETER_DRIVER_MEMORY", "16g"))
         .getOrCreate()
     )
