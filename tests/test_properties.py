@@ -71,6 +71,31 @@ def test_replay_matches_sequential_loop(spark, seed, negative, bucket):
     assert got == want
 
 
+@pytest.mark.parametrize("seed,negative", [(7, False), (8, True)])
+def test_stream_gate_batches_match_sequential_loop(spark, seed, negative):
+    """The log arrives in four slices (one mid-day, one across the month end);
+    each is one micro-batch continuing from the carry of the one before."""
+    from tokenmeter.session import scratch_path
+    from tokenmeter.streaming.gate import gate_batch
+
+    rows = random_log(seed, negative=negative)
+    tiers = {"0": "pro", "1": "freemium", "2": "enterprise", "3": "gold", "4": "freemium"}
+    lims = {"freemium": (900, 3000), "pro": (2000, 8000), "enterprise": (-1, -1)}
+    req = spark.createDataFrame(rows, REQ_DDL)
+    grp = spark.createDataFrame(list(tiers.items()), "user_id string, group_name string")
+    lim = spark.createDataFrame([(g, d, m, None, None) for g, (d, m) in lims.items()], LIMITS)
+    sink, state = scratch_path(spark, "test", "sink"), scratch_path(spark, "test", "state")
+    run = gate_batch(grp, lim, sink, state)
+    start = dt.datetime(2024, 1, 28)
+    cuts = [start, start + dt.timedelta(hours=36), start + dt.timedelta(days=3, hours=23),
+            start + dt.timedelta(days=4, hours=17), start + dt.timedelta(days=7)]
+    for i, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+        run(req.filter((F.col("requested_at") >= F.lit(lo)) & (F.col("requested_at") < F.lit(hi))), i)
+    got = {r["id"]: (r["admitted"], r["limit_type"], r["tokens_today_before"], r["tokens_month_before"])
+           for r in spark.read.parquet(sink).collect()}
+    assert got == python_replay(rows, tiers, lims)
+
+
 def test_replay_unlimited_admits_all(spark):
     rows = random_log(5)
     req = spark.createDataFrame(rows, REQ_DDL)

@@ -1,14 +1,13 @@
 """The gate as a sequential loop over one key's time-ordered requests.
 
-Small per-group helper for ``applyInPandas`` (exact replay fallback) and for
-the streaming gate's per-user state.  It applies the reference's rules
+Small per-group helper for ``applyInPandas``: the exact replay fallback for
+user-months the closed form does not cover.  It applies the reference's rules
 literally: check the status before the request (S1, equality blocks), record
 the request's tokens only if it is admitted.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import sys
 
 import pandas as pd
@@ -64,6 +63,11 @@ def replay_fn(blocking: bool):
 def replay_group(pdf: pd.DataFrame, blocking: bool) -> pd.DataFrame:
     pdf = pdf.sort_values(["requested_at", "id"], kind="mergesort")
     state: dict = {}
+    if len(pdf) and "carry_month_used" in pdf.columns:
+        first = pdf.iloc[0]
+        day = None if pd.isna(first["carry_day_key"]) else int(first["carry_day_key"])
+        state = dict(month=first["month_key"], month_used=int(first["carry_month_used"]), day=day,
+                     day_used=int(first["carry_day_used"]))
     out = []
     for r in pdf.itertuples(index=False):
         tok = 0 if pd.isna(r.total_tokens) else int(r.total_tokens)
@@ -74,42 +78,3 @@ def replay_group(pdf: pd.DataFrame, blocking: bool) -> pd.DataFrame:
     cols = ["id", "user_id", "requested_at", "role", "group_name", "total_tokens", "admitted", "outcome",
             "limit_type", "tokens_today_before", "tokens_month_before"]
     return pd.DataFrame(out, columns=cols)
-
-
-STATE_SCHEMA = "month date, day date, month_used long, day_used long"
-OUT_COLUMNS = ["id", "user_id", "requested_at", "role", "group_name", "total_tokens", "admitted", "outcome",
-               "limit_type", "tokens_today_before", "tokens_month_before"]
-
-
-def next_month_ms(month: dt.date) -> int:
-    y, m = (month.year + 1, 1) if month.month == 12 else (month.year, month.month + 1)
-    return int(dt.datetime(y, m, 1, tzinfo=dt.timezone.utc).timestamp() * 1000)
-
-
-def stateful_gate(blocking: bool):
-    """``applyInPandasWithState`` function: one user's requests of a
-    micro-batch, continuing from the user's stored counters."""
-
-    def fn(key, pdfs, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        st: dict = {}
-        if state.exists:
-            month, day, mu, du = state.get
-            st = dict(month=month, day=day, month_used=mu, day_used=du)
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["requested_at", "id"], kind="mergesort")
-        out = []
-        for r in pdf.itertuples(index=False):
-            tok = 0 if pd.isna(r.total_tokens) else int(r.total_tokens)
-            adm, outcome, label, today, mon = step(
-                st, r.day_key, r.month_key, tok, int(r.daily_limit), int(r.monthly_limit), bool(r.is_admin), blocking
-            )
-            out.append((r.id, r.user_id, r.requested_at, r.role, r.group_name, r.total_tokens, adm, outcome, label,
-                        today, mon))
-        if st:
-            state.update((st["month"], st["day"], int(st["month_used"]), int(st["day_used"])))
-            state.setTimeoutTimestamp(next_month_ms(st["month"]))
-        yield pd.DataFrame(out, columns=OUT_COLUMNS)
-
-    return fn

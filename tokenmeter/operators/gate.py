@@ -106,19 +106,38 @@ def calendar_keys(ts: str, bucket_seconds: int) -> list[Column]:
     ]
 
 
-def _tier_enricher(groups: DataFrame, limits: DataFrame, settings: QuotaSettings):
+def _tier_enricher(groups: DataFrame, limits: DataFrame, settings: QuotaSettings, carry: DataFrame | None = None):
+    """Per-bucket lookups: the user's tier limits and, for a replay that
+    continues earlier traffic, the carried usage of the bucket's month/day."""
     lim = limits.select("group_name", "daily_token_limit", "monthly_token_limit")
+    zero = F.lit(0).cast("long")
 
     def enrich(per_bucket: DataFrame) -> DataFrame:
         t = per_bucket.join(groups.select("user_id", "group_name"), "user_id", "left").withColumn(
             "group_name", F.coalesce(F.col("group_name"), F.lit(settings.default_group))
         )
         t = t.join(lim, "group_name", "left")
-        return t.withColumn(
+        t = t.withColumn(
             "__dl", F.coalesce(F.col("daily_token_limit"), F.lit(FALLBACK_DAILY_LIMIT).cast("long"))
         ).withColumn(
             "__ml", F.coalesce(F.col("monthly_token_limit"), F.lit(FALLBACK_MONTHLY_LIMIT).cast("long"))
         ).drop("daily_token_limit", "monthly_token_limit")
+        if carry is None:
+            return t.select("*", zero.alias("__cm"), F.lit(None).cast("int").alias("__cdk"), zero.alias("__cdu"),
+                            zero.alias("__cd"))
+        c = carry.select(
+            "user_id", F.col("month").alias("__c_month"), F.unix_date(F.col("day")).alias("__c_day"),
+            F.col("month_used").cast("long").alias("__c_mu"), F.col("day_used").cast("long").alias("__c_du"),
+        )
+        same_month = F.coalesce(F.col("__c_month") == F.col("__month"), F.lit(False))
+        t = t.join(c, "user_id", "left").select(
+            "*",
+            F.when(same_month, F.col("__c_mu")).otherwise(zero).alias("__cm"),
+            F.when(same_month, F.col("__c_day")).alias("__cdk"),
+            F.when(same_month, F.col("__c_du")).otherwise(zero).alias("__cdu"),
+        )
+        t = t.withColumn("__cd", F.when(F.col("__cdk") == F.col("__day"), F.col("__cdu")).otherwise(zero))
+        return t.drop("__c_month", "__c_day", "__c_mu", "__c_du")
 
     return enrich
 
@@ -143,6 +162,7 @@ def gate_replay(
     settings: QuotaSettings = QuotaSettings(),
     bucket_seconds: int = 60,
     materialize: bool = True,
+    carry: DataFrame | None = None,
 ) -> DataFrame:
     """O-44: which requests of a time-ordered log would have been admitted,
     given that blocked requests record nothing.
@@ -169,6 +189,11 @@ def gate_replay(
     same pass) and a constant tier (looked up once per user, so it holds).
     Flagged user-months take the exact sequential path (``replay_exact``).
     Requests without a user id or a time are not part of a replay.
+
+    ``carry`` (user_id, month, day, month_used, day_used) continues earlier
+    traffic: each user's admitted usage of that month and day before the
+    first request of this log.  It is an offset on the running sums (carried
+    usage is admitted usage, a prefix of the sequence), looked up per bucket.
     """
     from tokenmeter.sources.store import cut_lineage
 
@@ -180,19 +205,22 @@ def gate_replay(
     admin = is_admin(settings)
     blocking = F.lit(settings.enable_blocking)
     tok = F.coalesce(F.col("total_tokens"), F.lit(0)).cast("long")
-    tiers = _tier_enricher(groups, limits, settings)
+    tiers = _tier_enricher(groups, limits, settings, carry)
 
     def enrich(b: DataFrame) -> DataFrame:
         month = Window.partitionBy(*CALENDAR.partition)
         return tiers(b).withColumn("__neg", F.min("__min_tok").over(month) < 0).drop("__min_tok")
 
     s1 = running_sums(reqs, CALENDAR, {"a": tok}, bucket_aggs=[F.min("total_tokens").alias("__min_tok")], enrich=enrich)
-    s1 = keep(s1.withColumn("__pass_d", ~blocking | admin | under(F.col("a__d1"), F.col("__dl"))))
+    s1 = keep(s1.withColumn("__pass_d", ~blocking | admin | under(F.col("a__d1") + F.col("__cd"), F.col("__dl"))))
     clean, dirty = s1.filter(~F.col("__neg")), s1.filter(F.col("__neg"))
     s2 = running_sums(clean, CALENDAR, {"b": F.when(F.col("__pass_d"), tok).otherwise(F.lit(0).cast("long"))})
-    s2 = keep(s2.withColumn("admitted", F.col("__pass_d") & (~blocking | admin | under(F.col("b__d0"), F.col("__ml")))))
+    s2 = keep(s2.withColumn(
+        "admitted", F.col("__pass_d") & (~blocking | admin | under(F.col("b__d0") + F.col("__cm"), F.col("__ml")))
+    ))
     s3 = running_sums(s2, CALENDAR, {"c": F.when(F.col("admitted"), tok).otherwise(F.lit(0).cast("long"))})
-    label = _label(F.col("c__d1"), F.col("c__d0"), F.col("__dl"), F.col("__ml"))
+    today, month = F.col("c__d1") + F.col("__cd"), F.col("c__d0") + F.col("__cm")
+    label = _label(today, month, F.col("__dl"), F.col("__ml"))
     closed = s3.select(
         "id", "user_id", "requested_at", "role", "group_name", "total_tokens", "admitted",
         F.when(~F.col("admitted"), F.lit("blocked"))
@@ -201,8 +229,8 @@ def gate_replay(
         .otherwise(F.lit("advisory"))
         .alias("outcome"),
         label.alias("limit_type"),
-        F.col("c__d1").alias("tokens_today_before"),
-        F.col("c__d0").alias("tokens_month_before"),
+        today.alias("tokens_today_before"),
+        month.alias("tokens_month_before"),
     )
     return closed.unionByName(replay_exact(dirty, settings))
 
@@ -211,7 +239,8 @@ def replay_exact(rows: DataFrame, settings: QuotaSettings) -> DataFrame:
     """Sequential replay per (user, month) with ``applyInPandas``: the state
     (day usage, month usage) resets at month start, so user-months are
     independent.  Used only for user-months that break the closed form.
-    ``rows`` carry the calendar keys and the tier limits (``__dl``, ``__ml``)."""
+    ``rows`` carry the calendar keys, the tier limits (``__dl``, ``__ml``)
+    and the carried usage (``__cm``, ``__cdk``, ``__cdu``) that seeds the loop."""
     from tokenmeter.functions.sequential import REPLAY_SCHEMA, replay_fn
 
     rows = rows.select(
@@ -219,6 +248,8 @@ def replay_exact(rows: DataFrame, settings: QuotaSettings) -> DataFrame:
         F.col("__month").alias("month_key"), F.col("__day").alias("day_key"),
         F.col("__dl").alias("daily_limit"), F.col("__ml").alias("monthly_limit"),
         is_admin(settings).alias("is_admin"),
+        F.col("__cm").alias("carry_month_used"), F.col("__cdk").alias("carry_day_key"),
+        F.col("__cdu").alias("carry_day_used"),
     )
     return rows.groupBy("user_id", "month_key").applyInPandas(replay_fn(settings.enable_blocking), REPLAY_SCHEMA)
 

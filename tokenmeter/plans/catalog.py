@@ -230,20 +230,29 @@ def q_stream_ledger(spark, sf_dir):
 
 
 def q_stream_gate(spark, sf_dir):
+    """The events arrive in two halves (split at the midpoint of their time
+    span); the stream gate runs over each arrival in turn with one
+    checkpoint, so the second micro-batch continues the first one's days and
+    months through the carry table."""
     from tokenmeter.session import scratch_path
-    from tokenmeter.streaming.gate import stream_gate
-    from tokenmeter.streaming.io import run_available, versioned_writer
+    from tokenmeter.sources.tables import read_table
+    from tokenmeter.streaming.gate import start_stream_gate
+    from tokenmeter.streaming.io import file_stream, run_available
 
     configure(spark)
-    log = fx.request_log(spark, sf_dir)
-    groups = fx.user_groups(log, every_user=True)
-    decisions = stream_gate(fx.requests_from_events(_events_stream(spark, sf_dir)), groups, fx.usage_limits(spark))
-    sink = scratch_path(spark, "sinks", "gate")
-    run_available(
-        decisions.writeStream.outputMode("append")
-        .option("checkpointLocation", scratch_path(spark, "checkpoints", "gate"))
-        .foreachBatch(versioned_writer(sink))
-    )
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value", "props"])
+    groups = fx.user_groups(fx.request_log(spark, sf_dir), every_user=True)
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
+    landing, sink, state = (scratch_path(spark, "landing", "events"), scratch_path(spark, "sinks", "gate"),
+                            scratch_path(spark, "state", "gate"))
+    checkpoint = scratch_path(spark, "checkpoints", "gate")
+    halves = [ev] if lo is None else [ev.filter(F.col("ts") < F.lit(lo + (hi - lo) / 2)),
+                                      ev.filter(F.col("ts") >= F.lit(lo + (hi - lo) / 2))]
+    for part in halves:
+        part.write.mode("append").parquet(landing)
+        stream = file_stream(spark, landing, "*.parquet", files_per_trigger=None)
+        run_available(start_stream_gate(fx.requests_from_events(stream), groups, fx.usage_limits(spark), sink, state,
+                                        checkpoint))
     return spark.read.parquet(sink).drop("batch_id")
 
 
