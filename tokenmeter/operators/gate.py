@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from tokenmeter.functions.quota import is_over, under
 from tokenmeter.operators.prefix import Hierarchy, running_sums
-from tokenmeter.operators.quota import user_usage_status
+from tokenmeter.operators.quota import with_status
 from tokenmeter.params import (
     FALLBACK_DAILY_LIMIT,
     FALLBACK_MONTHLY_LIMIT,
@@ -62,10 +62,9 @@ def gate_decisions(
     """O-35..O-37: each request checked against its user's status at ``as_of``
     -- requests that arrive together, before any of them is recorded (the
     reference records at response time, so concurrent requests all see the
-    same status).  Status is computed once per distinct user and joined back."""
-    known = requests.filter(has_user())
-    status = user_usage_status(known.select("user_id"), ledger, groups, limits, clock, settings)
-    j = requests.join(status, "user_id", "left")
+    same status).  The status lookups join the requests directly; rows
+    without a user get NULL status."""
+    j = with_status(requests, ledger, groups, limits, clock, settings, known=has_user())
     admin = is_admin(settings)
     over = F.coalesce(F.col("is_over_daily"), F.lit(False)) | F.coalesce(F.col("is_over_monthly"), F.lit(False))
     daily_hit = F.coalesce(F.col("is_over_daily"), F.lit(False))

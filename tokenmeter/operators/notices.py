@@ -117,36 +117,30 @@ def annotated_messages(
     from tokenmeter.operators.extract import recordable, usage_extract
     from tokenmeter.operators.gate import is_admin, outcome_of
     from tokenmeter.operators.prefix import Hierarchy, running_sums
-    from tokenmeter.operators.quota import user_usage_status
+    from tokenmeter.operators.quota import with_status
 
     role = F.col("role") if "role" in bodies.columns else F.lit("user")
     src = bodies.select("*", F.col("payload").alias("__payload"), role.alias("__role"))
     ex = usage_extract(src, keep=("__payload", "__role"))
     role = F.col("__role")
-    status = user_usage_status(ex.filter(F.col("user_id").isNotNull()).select("user_id"), ledger, groups, limits,
-                               clock, settings)
-    st = status.select(
-        "user_id", "group_name", "daily_limit", "monthly_limit",
-        F.col("tokens_today").alias("__base_today"), F.col("tokens_this_month").alias("__base_month"),
-        F.col("is_over_daily").alias("__od0"), F.col("is_over_monthly").alias("__om0"),
-    )
-    j = ex.join(st, "user_id", "left")
+    j = with_status(ex, ledger, groups, limits, clock, settings, known=F.col("user_id").isNotNull())
+    j = j.withColumnsRenamed({
+        "tokens_today": "__base_today", "tokens_this_month": "__base_month",
+        "is_over_daily": "__od0", "is_over_monthly": "__om0",
+    })
     over0 = F.coalesce(F.col("__od0") | F.col("__om0"), F.lit(False))
     blocked = F.col("user_id").isNotNull() & (outcome_of(over0, is_admin(settings, role), settings) == "blocked")
     j = j.withColumn("__blocked", blocked)
 
     rec = F.when(~F.col("__blocked") & recordable(j), F.try_add(F.col("prompt_tokens"), F.col("completion_tokens")))
-    j = j.withColumn("__rec", rec.cast("long"))
-    keyed = j.filter(F.col("user_id").isNotNull()).withColumn("__hi", F.floor(F.col("conv_id") / 1048576)).withColumn(
-        "__lo", F.floor(F.col("conv_id") / 1024)
-    )
-    h = Hierarchy(("user_id",), "__hi", "__lo", ("conv_id",))
-    run = running_sums(keyed, h, {"r": F.coalesce(F.col("__rec"), F.lit(0).cast("long"))}, inclusive=True)
-    after = run.unionByName(
-        j.filter(F.col("user_id").isNull()).withColumn("__hi", F.lit(None).cast("long"))
-        .withColumn("__lo", F.lit(None).cast("long")).withColumn("r__d0", F.lit(None).cast("long"))
-        .withColumn("r__d1", F.lit(None).cast("long")).withColumn("r__d2", F.lit(None).cast("long"))
+    # Bodies without a user take the key '' (never a resolved user id, which
+    # is non-empty) so they stay in the one pass; their sums are unused.
+    j = j.select(
+        "*", rec.cast("long").alias("__rec"), F.coalesce(F.col("user_id"), F.lit("")).alias("__uk"),
+        F.floor(F.col("conv_id") / 1048576).alias("__hi"), F.floor(F.col("conv_id") / 1024).alias("__lo"),
     )
+    h = Hierarchy(("__uk",), "__hi", "__lo", ("conv_id",))
+    after = running_sums(j, h, {"r": F.coalesce(F.col("__rec"), F.lit(0).cast("long"))}, inclusive=True)
     after = after.withColumn("tokens_today", F.col("__base_today") + F.col("r__d0")).withColumn(
         "tokens_this_month", F.col("__base_month") + F.col("r__d0")
     )

@@ -11,7 +11,7 @@ on ``user_id``, so they meet in co-partitioned joins on that key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenmeter.functions.quota import is_over, view_percent
@@ -74,24 +74,25 @@ def users_near_limit(ledger: DataFrame, groups: DataFrame, limits: DataFrame, cl
     )
 
 
-def user_usage_status(
-    ids: DataFrame,
+def with_status(
+    rows: DataFrame,
     ledger: DataFrame,
     groups: DataFrame,
     limits: DataFrame,
     clock: Clock,
     settings: QuotaSettings = QuotaSettings(),
+    known: Column | None = None,
 ) -> DataFrame:
-    """O-33 over a set of user ids: every distinct requested id gets a row.
+    """O-33's status columns added to every row of ``rows`` (keyed by
+    ``user_id``; any number of rows per user).  The per-user lookups of the
+    reference (one scalar subquery per id) are decorrelated into equi-joins
+    on ``user_id``: tier, limits, and the one-scan period totals.
 
     Unknown users and users without a tier row get the default tier (D2); a
     tier missing from ``usage_limits`` gets the fallback limits 1M / 10M.
-    The per-user lookups of the reference (one scalar subquery per id) are
-    decorrelated into equi-joins on ``user_id``.
-    """
-    wanted = ids.select("user_id").distinct()
+    Rows where ``known`` is false get NULL status columns."""
     lim = _limits(limits)
-    with_tier = wanted.join(groups.select("user_id", "group_name"), "user_id", "left").withColumn(
+    with_tier = rows.join(groups.select("user_id", "group_name"), "user_id", "left").withColumn(
         "group_name", F.coalesce(F.col("group_name"), F.lit(settings.default_group))
     )
     with_limits = with_tier.join(lim, "group_name", "left")
@@ -100,16 +101,35 @@ def user_usage_status(
     monthly = F.coalesce(F.col("monthly_token_limit"), F.lit(FALLBACK_MONTHLY_LIMIT).cast("long"))
     today = F.coalesce(F.col("tokens_today"), F.lit(0).cast("long"))
     month = F.coalesce(F.col("tokens_this_month"), F.lit(0).cast("long"))
-    return s.select(
-        "user_id",
-        "group_name",
-        daily.alias("daily_limit"),
-        monthly.alias("monthly_limit"),
-        today.alias("tokens_today"),
-        month.alias("tokens_this_month"),
-        is_over(today, daily).alias("is_over_daily"),
-        is_over(month, monthly).alias("is_over_monthly"),
-    )
+    status = {
+        "group_name": F.col("group_name"),
+        "daily_limit": daily,
+        "monthly_limit": monthly,
+        "tokens_today": today,
+        "tokens_this_month": month,
+        "is_over_daily": is_over(today, daily),
+        "is_over_monthly": is_over(month, monthly),
+    }
+    if known is not None:
+        status = {k: F.when(known, v) for k, v in status.items()}
+    return s.select(*rows.columns, *[v.alias(k) for k, v in status.items()])
+
+
+STATUS_COLUMNS = ["user_id", "group_name", "daily_limit", "monthly_limit", "tokens_today", "tokens_this_month",
+                  "is_over_daily", "is_over_monthly"]
+
+
+def user_usage_status(
+    ids: DataFrame,
+    ledger: DataFrame,
+    groups: DataFrame,
+    limits: DataFrame,
+    clock: Clock,
+    settings: QuotaSettings = QuotaSettings(),
+) -> DataFrame:
+    """O-33 over a set of user ids: every distinct requested id gets a row."""
+    wanted = ids.select("user_id").distinct()
+    return with_status(wanted, ledger, groups, limits, clock, settings).select(*STATUS_COLUMNS)
 
 
 def orphan_groups(groups: DataFrame, limits: DataFrame) -> DataFrame:
