@@ -171,3 +171,12 @@ def test_replay_windows_are_bounded(spark):
     for w in windows:
         part = w.split("], [")[1] if "], [" in w else w
         assert "__month" in part or "__bucket" in part, w
+
+
+def test_gate_decisions_reads_requests_once(spark):
+    """Status lookups join the requests directly: the request log (the only
+    scan reading event_id) is read once, not again for a distinct-id set."""
+    df = E.queries()["gate_decisions"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    scans = [l for l in plan.splitlines() if "FileScan parquet" in l and "event_id:bigint" in l]
+    assert len(scans) == 1, plan
