@@ -180,3 +180,22 @@ def test_gate_decisions_reads_requests_once(spark):
     plan = df._jdf.queryExecution().sparkPlan().toString()
     scans = [l for l in plan.splitlines() if "FileScan parquet" in l and "event_id:bigint" in l]
     assert len(scans) == 1, plan
+
+
+def test_tier_dimension_broadcast_by_size(spark):
+    """No hint is used; the tier table is broadcast because its size is
+    under the threshold (checked at runtime by AQE)."""
+    df = E.queries()["usage_summary"](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan
+    joins = [l for l in plan.splitlines() if "BroadcastHashJoin" in l and "group_name" in l]
+    assert joins, plan
+    assert "broadcast" not in df._jdf.queryExecution().logical().toString().lower()
+
+
+def test_streaming_daily_equals_batch(spark):
+    stream = E.queries()["stream_usage_daily"](spark, SF_SMALL)
+    batch = E.queries()["usage_daily"](spark, SF_SMALL).select(*stream.columns)
+    assert stream.count() == batch.count()
+    assert stream.exceptAll(batch).count() == 0 and batch.exceptAll(stream).count() == 0
