@@ -199,3 +199,11 @@ def test_streaming_daily_equals_batch(spark):
     batch = E.queries()["usage_daily"](spark, SF_SMALL).select(*stream.columns)
     assert stream.count() == batch.count()
     assert stream.exceptAll(batch).count() == 0 and batch.exceptAll(stream).count() == 0
+
+
+def test_declared_schemas_match_files(spark):
+    from tokenmeter.sources.tables import DECLARED, table_path
+
+    for name, ddl in DECLARED.items():
+        path = table_path(SF_SMALL, name)
+        assert spark.read.parquet(path).schema.simpleString() == spark.read.schema(ddl).parquet(path).schema.simpleString()
