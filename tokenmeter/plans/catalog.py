@@ -191,8 +191,10 @@ def q_annotated_messages(spark, sf_dir):
 def _events_stream(spark, sf_dir):
     from tokenmeter.streaming.io import file_stream
 
+    from tokenmeter.sources.tables import DECLARED
+
     configure(spark)
-    return file_stream(spark, sf_dir, "events.parquet")
+    return file_stream(spark, sf_dir, "events.parquet", schema=DECLARED["events"])
 
 
 def q_stream_usage_daily(spark, sf_dir):
@@ -250,7 +252,7 @@ def q_stream_gate(spark, sf_dir):
                                       ev.filter(F.col("ts") >= F.lit(lo + (hi - lo) / 2))]
     for part in halves:
         part.write.mode("append").parquet(landing)
-        stream = file_stream(spark, landing, "*.parquet", files_per_trigger=None)
+        stream = file_stream(spark, landing, "*.parquet", files_per_trigger=None, schema=ev.schema)
         run_available(start_stream_gate(fx.requests_from_events(stream), groups, fx.usage_limits(spark), sink, state,
                                         checkpoint))
     return spark.read.parquet(sink).drop("batch_id")

@@ -13,11 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def file_stream(spark: SparkSession, folder: str, file_glob: str, files_per_trigger: int | None = 16) -> DataFrame:
-    """Parquet files landing in ``folder`` as a stream.  The schema is taken
-    from the files already there (a footer read), as a stream needs one.
-    ``files_per_trigger=None`` takes every new file into one micro-batch."""
-    schema = spark.read.option("pathGlobFilter", file_glob).parquet(folder).schema
+def file_stream(spark: SparkSession, folder: str, file_glob: str, files_per_trigger: int | None = 16,
+                schema=None) -> DataFrame:
+    """Parquet files landing in ``folder`` as a stream.  A stream needs a
+    schema: the one given, else the one of the files already there (a
+    footer read).  ``files_per_trigger=None`` takes every new file into one
+    micro-batch."""
+    if schema is None:
+        schema = spark.read.option("pathGlobFilter", file_glob).parquet(folder).schema
     r = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
     if files_per_trigger is not None:
         r = r.option("maxFilesPerTrigger", files_per_trigger)
