@@ -219,11 +219,12 @@ def q_stream_ledger(spark, sf_dir):
 
     ledger, groups, _ = _inputs(spark, sf_dir)
     landing = scratch_path(spark, "landing", "bodies")
-    fx.bodies(spark, sf_dir).write.parquet(landing)
+    bodies = fx.bodies(spark, sf_dir)
+    bodies.write.parquet(landing)
     ledger_path = scratch_path(spark, "tables", "ledger")
     groups_path = scratch_path(spark, "tables", "registrations")
     run_available(start_ledger_ingest(
-        spark, file_stream(spark, landing, "*.parquet"), ledger_path, groups_path, groups,
+        spark, file_stream(spark, landing, "*.parquet", schema=bodies.schema), ledger_path, groups_path, groups,
         scratch_path(spark, "checkpoints", "ledger"), recorded_at=ts_ntz(CLOCK.as_of),
     ))
     from tokenmeter.sources.schemas import LEDGER
