@@ -3,11 +3,13 @@ DuckDB oracle."""
 
 from __future__ import annotations
 
-from tokenmeter.llm import bpe, unigram
+from tokenmeter.llm import bpe, secrets, unigram, urls
 
 QUERIES = {
     "op4_bpe": bpe.q_bpe,
+    "op5_secret_scans": secrets.q_secret_scans,
     "op8_token_counts": unigram.q_token_counts,
+    "op10_url_filters": urls.q_url_filters,
 }
 
 ORACLE: dict[str, str] = {}
