@@ -10,9 +10,9 @@ times the purity of its term.
 
 *Learning* (``train``) uses a bounded sample of labelled rows: at most
 ``SAMPLE`` of them, in hash order of the id.  Lexicon terms are words and word
-stems (first 4 to 6 letters) of toxic rows, kept by document counts: at least
+stems (first 4 to 8 letters) of toxic rows, kept by document counts: at least
 ``LEAST`` toxic rows, ``CONTEXTS`` different words before them (copies of one
-text prove nothing), and a smoothed share of toxic rows of ``PURE``.  A stem
+text prove nothing), and a share of toxic rows of ``PURE``.  A stem
 makes longer ones redundant.  Shares of patterns are smoothed towards stated
 priors, so an unseen pattern keeps its prior.  The lexicon is bounded by the
 sample and by ``TERMS``.
@@ -39,9 +39,9 @@ from tokenmeter.llm.common import maybe_broadcast
 SAMPLE = 12_000
 LEAST = 6
 CONTEXTS = 5
-PURE = 0.8
+PURE = 0.96
 TERMS = 5_000
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 7, 8)
 CUT = 0.3
 
 # A seed lexicon and the closed word classes of the grammar.
@@ -169,12 +169,13 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
         n = bad.count()
         seen = terms.where("toxic = 0").select("id", F.col("t.term").alias("term")).join(maybe_broadcast(bad.select("term"), n), "term", "left_semi")
         good = seen.groupBy("term").agg(F.countDistinct("id").alias("good"))
-        share = F.col("bad") / (F.col("bad") + F.coalesce("good", F.lit(0)) + 1.0)
-        rows = (bad.join(good, "term", "left").select("term", "bad", share.alias("pure")).where(F.col("pure") >= PURE)
+        n_good = F.coalesce("good", F.lit(0))
+        rows = (bad.join(good, "term", "left").where(F.col("bad") >= PURE * (F.col("bad") + n_good))
+                .select("term", "bad", (F.col("bad") / (F.col("bad") + n_good + 1.0)).alias("pure"))
                 .orderBy(F.desc("bad"), "term").limit(TERMS).collect())
     finally:
         bad.unpersist()
-    lexicon: dict[str, float] = {s: PURE for s in SEEDS}
+    lexicon: dict[str, float] = {s: 0.9 for s in SEEDS}
     for r in sorted(rows, key=lambda r: (len(r["term"].rstrip("*")), r["term"])):
         stem = r["term"].rstrip("*")
         if not any(stem[:n] + "*" in lexicon for n in STEMS if n <= len(stem) and (n < len(stem) or not r["term"].endswith("*"))):
