@@ -3,13 +3,14 @@ DuckDB oracle."""
 
 from __future__ import annotations
 
-from tokenmeter.llm import bpe, secrets, toxicity, unigram, urls
+from tokenmeter.llm import bpe, minmax, secrets, toxicity, unigram, urls
 
 QUERIES = {
     "op4_bpe": bpe.q_bpe,
     "op5_secret_scans": secrets.q_secret_scans,
     "op7_toxicity": toxicity.q_toxicity,
     "op8_token_counts": unigram.q_token_counts,
+    "op9_minmax_near_dedup": minmax.q_minmax,
     "op10_url_filters": urls.q_url_filters,
 }
 
