@@ -3,9 +3,10 @@ DuckDB oracle."""
 
 from __future__ import annotations
 
-from tokenmeter.llm import bpe, minmax, secrets, toxicity, unigram, urls
+from tokenmeter.llm import bpe, contamination, minmax, secrets, toxicity, unigram, urls
 
 QUERIES = {
+    "op1_decontamination": contamination.q_decontamination,
     "op4_bpe": bpe.q_bpe,
     "op5_secret_scans": secrets.q_secret_scans,
     "op7_toxicity": toxicity.q_toxicity,
@@ -14,4 +15,6 @@ QUERIES = {
     "op10_url_filters": urls.q_url_filters,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_decontamination": contamination.ORACLE,
+}
