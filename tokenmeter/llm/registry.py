@@ -3,12 +3,13 @@ DuckDB oracle."""
 
 from __future__ import annotations
 
-from tokenmeter.llm import bpe, contamination, minmax, secrets, toxicity, unigram, urls
+from tokenmeter.llm import bpe, contamination, minmax, secrets, toxicity, unigram, urls, warc
 
 QUERIES = {
     "op1_decontamination": contamination.q_decontamination,
     "op4_bpe": bpe.q_bpe,
     "op5_secret_scans": secrets.q_secret_scans,
+    "op6_warc": warc.q_warc,
     "op7_toxicity": toxicity.q_toxicity,
     "op8_token_counts": unigram.q_token_counts,
     "op9_minmax_near_dedup": minmax.q_minmax,
@@ -17,4 +18,5 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op1_decontamination": contamination.ORACLE,
+    "op6_warc": warc.ORACLE,
 }
