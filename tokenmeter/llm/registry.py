@@ -3,11 +3,12 @@ DuckDB oracle."""
 
 from __future__ import annotations
 
-from tokenmeter.llm import bpe, contamination, minmax, repeats, secrets, toxicity, unigram, urls, warc
+from tokenmeter.llm import bpe, contamination, minmax, repeats, secrets, toxicity, unigram, urls, vectors, warc
 
 QUERIES = {
     "op1_decontamination": contamination.q_decontamination,
     "op2_repeats": repeats.q_repeats,
+    "op3_vectors": vectors.q_vectors,
     "op4_bpe": bpe.q_bpe,
     "op5_secret_scans": secrets.q_secret_scans,
     "op6_warc": warc.q_warc,
