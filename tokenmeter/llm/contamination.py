@@ -143,6 +143,14 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW, slop: i
     return out.select("doc_id", *KEY, F.col("n_words").cast("bigint").alias("n_words"), zero("n_hit"), F.size(ids).cast("bigint").alias("n_items"), ids.alias("item_ids"))
 
 
+def decontaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
+    """``docs`` without the rows that hold a window of an item."""
+    found = contamination(docs.select("doc_id", "text"), items, size)
+    bad = written(found.where("n_hit > 0").select("doc_id", "hash").distinct(), "contamination-dropped")
+    d, x = docs.alias("d"), maybe_broadcast(bad, bad.count()).alias("x")
+    return d.join(x, F.expr("d.doc_id <=> x.doc_id AND xxhash64(d.text) = x.hash"), "left_anti")
+
+
 def q_decontamination(spark, sf_dir: str) -> DataFrame:
     from tokenmeter.llm.common import table
 

@@ -140,8 +140,9 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, component_id) of every row of ``docs``
-    (doc_id, text); text_hash tells apart rows that share an id."""
+    """(doc_id, text_hash, n_shingles, root, component_id) of every row of
+    ``docs`` (doc_id, text); text_hash tells apart rows that share an id, root
+    is the same for all rows of a component (null for an empty set)."""
     rows = written(signed(docs, width), "minmax-signed")
     nodes = written(rows.where("n > 0").groupBy("set_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.max("n").alias("n"), F.first("bands").alias("bands"),
                                                               F.min("doc_id").alias("least")), "minmax-nodes")
@@ -178,9 +179,28 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     classes = nodes.select("set_id", "least").join(final.select(F.col("node").alias("set_id"), "root"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     classes = written(classes, "minmax-classes")
     least = written(classes.groupBy("root").agg(F.min("least").alias("component_id")), "minmax-least")
-    by_set = written(classes.join(least, "root").select("set_id", "component_id"), "minmax-component")
+    by_set = written(classes.join(least, "root").select("set_id", "root", "component_id"), "minmax-component")
     out = rows.select("doc_id", "text_hash", "n", "set_id").join(by_set, "set_id", "left")
-    return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "root", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each component: that of the least id (then text
+    hash; null ids last).  Rows without words all stay."""
+    found = written(near_duplicates(docs.select("doc_id", "text"), width, percent), "minmax-found")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    first = found.where("root IS NOT NULL").groupBy("root").agg(F.min(order).alias("first"))
+    rest = found.join(first, "root").where(~order.eqNullSafe(F.col("first"))).select("doc_id", "text_hash").distinct()
+    rest = written(rest, "minmax-dropped")
+    d, x = docs.alias("d"), maybe_broadcast(rest, rest.count()).alias("x")
+    kept = d.join(x, F.expr("d.doc_id <=> x.doc_id AND xxhash64(d.text) = x.text_hash"), "left_anti")
+    repeated = found.where("root IS NOT NULL").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    if repeated.isEmpty():
+        return kept
+    row = kept.select(F.struct("*").alias("row"), F.col("d.doc_id").alias("key"), F.xxhash64("d.text").alias("hash"), F.col("d.text").alias("text"))
+    worded = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    one = row.where(worded).groupBy("key", "hash").agg(F.first("row").alias("row")).select("row.*")  # rows repeated whole
+    return one.unionByName(row.where(~worded).select("row.*"))
 
 
 def q_minmax(spark, sf_dir: str) -> DataFrame:
