@@ -24,7 +24,7 @@ def ledger(spark, rows):
 
 
 def limits(spark, rows=(("freemium", 1000, 10000), ("pro", 5000, 100000), ("enterprise", -1, -1))):
-    return spark.createDataFrame([(g, d, m, None, None) for g, d, m in rows], LIMITS)
+    return spark.createDataFrame([(g, d, m, None, None, None, None) for g, d, m in rows], LIMITS)
 
 
 def groups(spark, rows):

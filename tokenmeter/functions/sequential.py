@@ -31,12 +31,14 @@ def _under(used: int, limit: int) -> bool:
     return limit == -1 or used < limit
 
 
-def step(state: dict, day, month, tokens: int, dl: int, ml: int, admin: bool, blocking: bool):
-    """Advance one request.  ``state`` holds day, month, day_used, month_used."""
+def step(state: dict, day, month, tokens: int, dl: int, ml: int, admin: bool, blocking: bool, carry_day: int = 0,
+         carry_month: int = 0):
+    """Advance one request.  ``state`` holds day, month, day_used, month_used;
+    a day and a month begin with the usage carried into them."""
     if state.get("month") != month:
-        state.update(month=month, month_used=0, day=day, day_used=0)
+        state.update(month=month, month_used=carry_month, day=None)
     if state.get("day") != day:
-        state.update(day=day, day_used=0)
+        state.update(day=day, day_used=carry_day)
     today, mon = state["day_used"], state["month_used"]
     label = "daily" if not _under(today, dl) else ("monthly" if not _under(mon, ml) else None)
     over = label is not None
@@ -63,16 +65,12 @@ def replay_fn(blocking: bool):
 def replay_group(pdf: pd.DataFrame, blocking: bool) -> pd.DataFrame:
     pdf = pdf.sort_values(["requested_at", "id"], kind="mergesort")
     state: dict = {}
-    if len(pdf) and "carry_month_used" in pdf.columns:
-        first = pdf.iloc[0]
-        day = None if pd.isna(first["carry_day_key"]) else int(first["carry_day_key"])
-        state = dict(month=first["month_key"], month_used=int(first["carry_month_used"]), day=day,
-                     day_used=int(first["carry_day_used"]))
     out = []
     for r in pdf.itertuples(index=False):
         tok = 0 if pd.isna(r.total_tokens) else int(r.total_tokens)
         adm, outcome, label, today, mon = step(
-            state, r.day_key, r.month_key, tok, int(r.daily_limit), int(r.monthly_limit), bool(r.is_admin), blocking
+            state, r.day_key, r.month_key, tok, int(r.daily_limit), int(r.monthly_limit), bool(r.is_admin), blocking,
+            int(r.carry_day_used), int(r.carry_month_used),
         )
         out.append((r.id, r.user_id, r.requested_at, r.role, r.group_name, r.total_tokens, adm, outcome, label, today, mon))
     cols = ["id", "user_id", "requested_at", "role", "group_name", "total_tokens", "admitted", "outcome",

@@ -50,7 +50,7 @@ def usage_recordable(extracted: DataFrame) -> DataFrame:
     return extracted.filter(recordable(extracted)).select("conv_id", "user_id", "prompt_tokens", "completion_tokens")
 
 
-def record_usage(extracted: DataFrame, recorded_at: Column, id_col: str = "conv_id") -> DataFrame:
+def record_usage(extracted: DataFrame, recorded_at: Column, id_col: str = "conv_id", pipeline_id: Column | None = None) -> DataFrame:
     """O-05 + O-15: ledger rows for the recordable responses.
 
     total = prompt + completion; a payload's own total is ignored (S13).  An
@@ -69,7 +69,7 @@ def record_usage(extracted: DataFrame, recorded_at: Column, id_col: str = "conv_
         F.col("completion_tokens").cast("int").alias("completion_tokens"),
         total.cast("int").alias("total_tokens"),
         "model_id",
-        F.lit(None).cast("string").alias("pipeline_id"),
+        (pipeline_id if pipeline_id is not None else F.lit(None)).cast("string").alias("pipeline_id"),
         "chat_id",
         F.lit(DEFAULT_REQUEST_TYPE).alias("request_type"),
     ).filter(F.col("total_tokens").isNotNull())

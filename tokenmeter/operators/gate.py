@@ -21,7 +21,6 @@ from tokenmeter.params import (
     FALLBACK_MONTHLY_LIMIT,
     RESET_DAILY,
     RESET_MONTHLY,
-    UNLIMITED,
     Clock,
     QuotaSettings,
 )
@@ -122,21 +121,11 @@ def _tier_enricher(groups: DataFrame, limits: DataFrame, settings: QuotaSettings
             "__ml", F.coalesce(F.col("monthly_token_limit"), F.lit(FALLBACK_MONTHLY_LIMIT).cast("long"))
         ).drop("daily_token_limit", "monthly_token_limit")
         if carry is None:
-            return t.select("*", zero.alias("__cm"), F.lit(None).cast("int").alias("__cdk"), zero.alias("__cdu"),
-                            zero.alias("__cd"))
-        c = carry.select(
-            "user_id", F.col("month").alias("__c_month"), F.unix_date(F.col("day")).alias("__c_day"),
-            F.col("month_used").cast("long").alias("__c_mu"), F.col("day_used").cast("long").alias("__c_du"),
-        )
-        same_month = F.coalesce(F.col("__c_month") == F.col("__month"), F.lit(False))
-        t = t.join(c, "user_id", "left").select(
-            "*",
-            F.when(same_month, F.col("__c_mu")).otherwise(zero).alias("__cm"),
-            F.when(same_month, F.col("__c_day")).alias("__cdk"),
-            F.when(same_month, F.col("__c_du")).otherwise(zero).alias("__cdu"),
-        )
-        t = t.withColumn("__cd", F.when(F.col("__cdk") == F.col("__day"), F.col("__cdu")).otherwise(zero))
-        return t.drop("__c_month", "__c_day", "__c_mu", "__c_du")
+            return t.select("*", zero.alias("__cm"), zero.alias("__cd"))
+        days = carry.select("user_id", F.unix_date("day").alias("__day"), F.col("used").alias("__cd"))
+        months = carry.groupBy("user_id", F.trunc("day", "month").alias("__month")).agg(F.sum("used").alias("__cm"))
+        t = t.join(days, ["user_id", "__day"], "left").join(months, ["user_id", "__month"], "left")
+        return t.withColumns({"__cm": F.coalesce("__cm", zero), "__cd": F.coalesce("__cd", zero)})
 
     return enrich
 
@@ -189,10 +178,9 @@ def gate_replay(
     Flagged user-months take the exact sequential path (``replay_exact``).
     Requests without a user id or a time are not part of a replay.
 
-    ``carry`` (user_id, month, day, month_used, day_used) continues earlier
-    traffic: each user's admitted usage of that month and day before the
-    first request of this log.  It is an offset on the running sums (carried
-    usage is admitted usage, a prefix of the sequence), looked up per bucket.
+    ``carry`` (user_id, day, used) continues earlier traffic: each user's
+    usage admitted before this log, per day.  The day's and the month's sum are
+    offsets on the running sums, looked up per bucket.
     """
     from tokenmeter.sources.store import cut_lineage
 
@@ -208,7 +196,9 @@ def gate_replay(
 
     def enrich(b: DataFrame) -> DataFrame:
         month = Window.partitionBy(*CALENDAR.partition)
-        return tiers(b).withColumn("__neg", F.min("__min_tok").over(month) < 0).drop("__min_tok")
+        # No count at all in a month (all NULL) is not a negative one.
+        negative = F.coalesce(F.min("__min_tok").over(month) < 0, F.lit(False))
+        return tiers(b).withColumn("__neg", negative).drop("__min_tok")
 
     s1 = running_sums(reqs, CALENDAR, {"a": tok}, bucket_aggs=[F.min("total_tokens").alias("__min_tok")], enrich=enrich)
     s1 = keep(s1.withColumn("__pass_d", ~blocking | admin | under(F.col("a__d1") + F.col("__cd"), F.col("__dl"))))
@@ -239,7 +229,7 @@ def replay_exact(rows: DataFrame, settings: QuotaSettings) -> DataFrame:
     (day usage, month usage) resets at month start, so user-months are
     independent.  Used only for user-months that break the closed form.
     ``rows`` carry the calendar keys, the tier limits (``__dl``, ``__ml``)
-    and the carried usage (``__cm``, ``__cdk``, ``__cdu``) that seeds the loop."""
+    and the carried usage of their month and day (``__cm``, ``__cd``)."""
     from tokenmeter.functions.sequential import REPLAY_SCHEMA, replay_fn
 
     rows = rows.select(
@@ -247,8 +237,7 @@ def replay_exact(rows: DataFrame, settings: QuotaSettings) -> DataFrame:
         F.col("__month").alias("month_key"), F.col("__day").alias("day_key"),
         F.col("__dl").alias("daily_limit"), F.col("__ml").alias("monthly_limit"),
         is_admin(settings).alias("is_admin"),
-        F.col("__cm").alias("carry_month_used"), F.col("__cdk").alias("carry_day_key"),
-        F.col("__cdu").alias("carry_day_used"),
+        F.col("__cm").alias("carry_month_used"), F.col("__cd").alias("carry_day_used"),
     )
     return rows.groupBy("user_id", "month_key").applyInPandas(replay_fn(settings.enable_blocking), REPLAY_SCHEMA)
 
@@ -286,7 +275,3 @@ def status_after_each(ledger: DataFrame, groups: DataFrame, limits: DataFrame, s
         is_over(F.col("u__d1"), F.col("__dl")).alias("is_over_daily"),
         is_over(F.col("u__d0"), F.col("__ml")).alias("is_over_monthly"),
     )
-
-
-def unlimited(col: str) -> Column:
-    return F.col(col) == UNLIMITED

@@ -5,41 +5,51 @@ caller's (``sources.store``): a new table version, never the path being read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenmeter.functions.literals import ts_ntz
 from tokenmeter.params import DEFAULT_GROUP, DEFAULT_TIERS, Clock
-from tokenmeter.sources.schemas import LIMITS, VARCHAR_LIMITS
+from tokenmeter.sources.schemas import GROUPS, LIMITS, VARCHAR_LIMITS
 
 
 def default_tiers(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(g, d, m, None, desc) for g, d, m, desc in DEFAULT_TIERS], LIMITS)
-
-
-def seed_limits(existing: DataFrame, seed: DataFrame) -> DataFrame:
-    """O-04 insert-if-absent: existing tiers keep their limits (G24); seed
-    tiers not present are added.  A repeated key within the seed keeps its
-    first occurrence (S23): the seed is a small literal list, ranked by its
-    given order."""
-    cols = ["group_name", "daily_token_limit", "monthly_token_limit"]
-    first = seed.select(*cols, F.monotonically_increasing_id().alias("__pos"))
-    first = first.groupBy("group_name").agg(
-        F.min_by(F.struct("daily_token_limit", "monthly_token_limit"), F.col("__pos")).alias("v")
-    ).select("group_name", "v.daily_token_limit", "v.monthly_token_limit")
+    rows = [(g, d, m, None, None, None, desc) for g, d, m, desc in DEFAULT_TIERS]
+    return spark.createDataFrame(rows, LIMITS)
+
+
+def seed_limits(existing: DataFrame, seed: DataFrame, now: Column | None = None) -> DataFrame:
+    """O-04 insert-if-absent: existing tiers keep all their columns (G24); seed
+    tiers not present are added, with the table's defaults (creation and update
+    time).  A repeated key within the seed keeps its first occurrence (S23): the
+    seed is a small literal list, ranked by its given order."""
+    values = [c for c in seed.columns if c != "group_name"]
+    first = seed.withColumn("__pos", F.monotonically_increasing_id()).groupBy("group_name").agg(
+        F.min_by(F.struct(*values), F.col("__pos")).alias("v")
+    ).select("group_name", "v.*")
     new = first.join(existing.select("group_name"), "group_name", "left_anti")
-    return existing.select(*cols).unionByName(new.select(*cols))
+    if now is not None:
+        new = new.withColumns({c: F.coalesce(F.col(c), now) for c in ("created_at", "updated_at")})
+    return existing.unionByName(new, allowMissingColumns=True)
 
 
-def register_first_seen(groups: DataFrame, ledger_rows: DataFrame, default_group: str = DEFAULT_GROUP) -> DataFrame:
-    """O-06: every user of ``ledger_rows`` without a tier row gets one in the
-    default tier; existing rows are untouched.  Distinct users first (partial
+def new_users(known: DataFrame, ledger_rows: DataFrame, default_group: str = DEFAULT_GROUP,
+              assigned_at: Column | None = None) -> DataFrame:
+    """Tier rows (all columns of GROUPS) for the users of ``ledger_rows`` that
+    ``known`` (user_id) does not have.  Distinct users first (partial
     aggregate), then an anti-join on user_id."""
     users = ledger_rows.select("user_id").filter(F.col("user_id").isNotNull()).distinct()
-    new = users.join(groups.select("user_id"), "user_id", "left_anti").select(
-        "user_id", F.lit(default_group).alias("group_name")
-    )
-    return groups.select("user_id", "group_name").unionByName(new)
+    at = assigned_at if assigned_at is not None else F.lit(None)
+    values = {"group_name": F.lit(default_group), "assigned_at": at}
+    columns = [values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in GROUPS.fields if f.name != "user_id"]
+    return users.join(known.select("user_id"), "user_id", "left_anti").select("user_id", *columns)
+
+
+def register_first_seen(groups: DataFrame, ledger_rows: DataFrame, default_group: str = DEFAULT_GROUP,
+                        assigned_at: Column | None = None) -> DataFrame:
+    """O-06: every user of ``ledger_rows`` without a tier row gets one in the
+    default tier, assigned now; existing rows are untouched in all columns."""
+    return groups.unionByName(new_users(groups, ledger_rows, default_group, assigned_at), allowMissingColumns=True)
 
 
 def upsert_groups(groups: DataFrame, batch: DataFrame, clock: Clock) -> DataFrame:

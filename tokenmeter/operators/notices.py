@@ -33,7 +33,8 @@ def _warned(dp: Column, mp: Column, settings: QuotaSettings) -> Column:
 
 
 def status_lines(status: DataFrame, settings: QuotaSettings = QuotaSettings()) -> DataFrame:
-    """O-38/O-39 for each status row (one per user).  Percents are the hook's
+    """O-38/O-39 for each status row: one per request, as the hook shows it (or
+    per user).  Percents are the hook's
     floating percents (0 when unlimited).  D4: a zero limit makes the percent
     NULL and so the line NULL (the reference fails open there)."""
     f = _figures()
@@ -45,6 +46,7 @@ def status_lines(status: DataFrame, settings: QuotaSettings = QuotaSettings()) -
     if not settings.show_usage_status:
         line = F.lit(None).cast("string")
     return status.select(
+        *(["id"] if "id" in status.columns else []),
         "user_id",
         "group_name",
         dp.alias("daily_percent"),

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tokenmeter.functions.quota import is_over, view_percent
 from tokenmeter.operators.rollups import period_totals
@@ -65,12 +66,46 @@ def near_limit(summary: DataFrame) -> DataFrame:
     )
 
 
+def near_order() -> list[Column]:
+    return [F.col("monthly_percent_used").desc(), F.col("daily_percent_used").desc(), F.col("user_id")]
+
+
 def users_near_limit(ledger: DataFrame, groups: DataFrame, limits: DataFrame, clock: Clock) -> DataFrame:
     """O-18 + O-31: near-limit users, monthly percent then daily percent
     descending; ``user_id`` breaks ties so the order is total.  The sort is a
     range-partitioned distributed sort."""
-    return near_limit(usage_summary(ledger, groups, limits, clock)).orderBy(
-        F.col("monthly_percent_used").desc(), F.col("daily_percent_used").desc(), F.col("user_id")
+    return near_limit(usage_summary(ledger, groups, limits, clock)).orderBy(*near_order())
+
+
+def ranked_near_limit(near: DataFrame) -> DataFrame:
+    """O-31 as a column: ``position`` 1, 2, ... in the view's order.  Numbers
+    are dealt per range partition on top of the partitions' counts, so the
+    rows are never gathered into one task."""
+    from tokenmeter.sources.store import write_version
+
+    spark = near.sparkSession
+    parts = near.orderBy(*near_order()).withColumns({"__part": F.spark_partition_id(), "__row": F.monotonically_increasing_id()})
+    rows = spark.read.schema(parts.schema).parquet(write_version(parts, spark, "near-limit"))
+    sizes = rows.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))  # one row per range
+    ahead = sizes.withColumn("__ahead", F.sum("__n").over(Window.orderBy("__part")) - F.col("__n"))
+    own = F.row_number().over(Window.partitionBy("__part").orderBy("__row"))
+    return rows.withColumn("__own", own).join(ahead, "__part").withColumn("position", F.col("__ahead") + F.col("__own")).select(*near.columns, "position")
+
+
+def user_status(ledger: DataFrame, groups: DataFrame, limits: DataFrame, clock: Clock,
+                settings: QuotaSettings = QuotaSettings(), users: DataFrame | list[str] | None = None) -> DataFrame:
+    """One row per user that has a tier row or usage this month: tier, limits
+    and period totals.  With ``users`` (a relation or a list of ids) only their
+    ledger and tier rows are read: the ids filter below the aggregate."""
+    if isinstance(users, list):
+        ledger, groups = ledger.filter(F.col("user_id").isin(users)), groups.filter(F.col("user_id").isin(users))
+    elif users is not None:
+        ledger, groups = ledger.join(users, "user_id", "left_semi"), groups.join(users, "user_id", "left_semi")
+    both = groups.select("user_id", "group_name").join(period_totals(ledger, clock), "user_id", "full_outer")
+    tier = F.coalesce(F.col("group_name"), F.lit(settings.default_group))
+    return both.withColumn("group_name", tier).join(_limits(limits), "group_name", "left").select(
+        "user_id", "group_name", F.coalesce("daily_token_limit", F.lit(FALLBACK_DAILY_LIMIT).cast("long")).alias("daily_limit"),
+        F.coalesce("monthly_token_limit", F.lit(FALLBACK_MONTHLY_LIMIT).cast("long")).alias("monthly_limit"), "tokens_today", "tokens_this_month",
     )
 
 
@@ -82,37 +117,39 @@ def with_status(
     clock: Clock,
     settings: QuotaSettings = QuotaSettings(),
     known: Column | None = None,
+    users: DataFrame | list[str] | None = None,
 ) -> DataFrame:
     """O-33's status columns added to every row of ``rows`` (keyed by
-    ``user_id``; any number of rows per user).  The per-user lookups of the
-    reference (one scalar subquery per id) are decorrelated into equi-joins
-    on ``user_id``: tier, limits, and the one-scan period totals.
+    ``user_id``; any number of rows per user), by ONE join on ``user_id`` with
+    the per-user status table.  The table's key is renewed by an expression, so
+    the planner shuffles it for this join alone: then both sides are plain
+    shuffles and AQE can split a user with a third of the rows.
 
     Unknown users and users without a tier row get the default tier (D2); a
     tier missing from ``usage_limits`` gets the fallback limits 1M / 10M.
     Rows where ``known`` is false get NULL status columns."""
-    lim = _limits(limits)
-    with_tier = rows.join(groups.select("user_id", "group_name"), "user_id", "left").withColumn(
-        "group_name", F.coalesce(F.col("group_name"), F.lit(settings.default_group))
-    )
-    with_limits = with_tier.join(lim, "group_name", "left")
-    s = with_limits.join(period_totals(ledger, clock), "user_id", "left")
-    daily = F.coalesce(F.col("daily_token_limit"), F.lit(FALLBACK_DAILY_LIMIT).cast("long"))
-    monthly = F.coalesce(F.col("monthly_token_limit"), F.lit(FALLBACK_MONTHLY_LIMIT).cast("long"))
+    table = user_status(ledger, groups, limits, clock, settings, users)
+    table = table.withColumn("user_id", F.concat(F.col("user_id"), F.lit("")))
+    s = rows.join(table, "user_id", "left")
+    default = _limits(limits).filter(F.col("group_name") == settings.default_group)
+
+    def limit(column: str, source: str, fallback: int) -> Column:
+        # A user without any row: the default tier's limit, one scalar.
+        of_default = default.agg(F.max(source)).scalar()
+        return F.coalesce(F.col(column), of_default, F.lit(fallback).cast("long"))
+
+    daily = limit("daily_limit", "daily_token_limit", FALLBACK_DAILY_LIMIT)
+    monthly = limit("monthly_limit", "monthly_token_limit", FALLBACK_MONTHLY_LIMIT)
     today = F.coalesce(F.col("tokens_today"), F.lit(0).cast("long"))
     month = F.coalesce(F.col("tokens_this_month"), F.lit(0).cast("long"))
-    status = {
-        "group_name": F.col("group_name"),
-        "daily_limit": daily,
-        "monthly_limit": monthly,
-        "tokens_today": today,
-        "tokens_this_month": month,
-        "is_over_daily": is_over(today, daily),
-        "is_over_monthly": is_over(month, monthly),
-    }
+    figures = s.select(*rows.columns, F.coalesce("group_name", F.lit(settings.default_group)).alias("group_name"), daily.alias("daily_limit"),
+                       monthly.alias("monthly_limit"), today.alias("tokens_today"), month.alias("tokens_this_month"))
+    status = {c: F.col(c) for c in ("group_name", "daily_limit", "monthly_limit", "tokens_today", "tokens_this_month")}
+    status["is_over_daily"] = is_over(F.col("tokens_today"), F.col("daily_limit"))
+    status["is_over_monthly"] = is_over(F.col("tokens_this_month"), F.col("monthly_limit"))
     if known is not None:
         status = {k: F.when(known, v) for k, v in status.items()}
-    return s.select(*rows.columns, *[v.alias(k) for k, v in status.items()])
+    return figures.select(*rows.columns, *[v.alias(k) for k, v in status.items()])
 
 
 STATUS_COLUMNS = ["user_id", "group_name", "daily_limit", "monthly_limit", "tokens_today", "tokens_this_month",
@@ -120,16 +157,21 @@ STATUS_COLUMNS = ["user_id", "group_name", "daily_limit", "monthly_limit", "toke
 
 
 def user_usage_status(
-    ids: DataFrame,
+    ids: DataFrame | list[str],
     ledger: DataFrame,
     groups: DataFrame,
     limits: DataFrame,
     clock: Clock,
     settings: QuotaSettings = QuotaSettings(),
 ) -> DataFrame:
-    """O-33 over a set of user ids: every distinct requested id gets a row."""
+    """O-33 over a set of user ids: every distinct requested id gets a row.
+    Only the requested users' rows are aggregated: a list of ids reaches the
+    scan as a filter, a relation of ids is semi-joined first."""
+    if isinstance(ids, list):
+        wanted = ledger.sparkSession.createDataFrame([(u,) for u in dict.fromkeys(ids)], "user_id string")
+        return with_status(wanted, ledger, groups, limits, clock, settings, users=list(dict.fromkeys(ids))).select(*STATUS_COLUMNS)
     wanted = ids.select("user_id").distinct()
-    return with_status(wanted, ledger, groups, limits, clock, settings).select(*STATUS_COLUMNS)
+    return with_status(wanted, ledger, groups, limits, clock, settings, users=wanted).select(*STATUS_COLUMNS)
 
 
 def orphan_groups(groups: DataFrame, limits: DataFrame) -> DataFrame:

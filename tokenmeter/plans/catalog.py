@@ -33,10 +33,6 @@ def q_ledger_scan(spark, sf_dir):
     return rollups.ledger_scan(_inputs(spark, sf_dir)[0])
 
 
-def q_limits_dim(spark, sf_dir):
-    return fx.usage_limits(spark)
-
-
 def q_groups_dim(spark, sf_dir):
     return _inputs(spark, sf_dir)[1]
 
@@ -49,6 +45,12 @@ def q_usage_monthly(spark, sf_dir):
     return rollups.usage_monthly(_inputs(spark, sf_dir)[0])
 
 
+def q_usage_monthly_orders(spark, sf_dir):
+    """The monthly rollup of a ledger that spans years."""
+    configure(spark)
+    return rollups.usage_monthly(fx.second_ledger(spark, sf_dir))
+
+
 def q_tokens_today(spark, sf_dir):
     return rollups.tokens_today(_inputs(spark, sf_dir)[0], CLOCK)
 
@@ -62,7 +64,7 @@ def q_usage_summary(spark, sf_dir):
 
 
 def q_users_near_limit(spark, sf_dir):
-    return quota.users_near_limit(*_inputs(spark, sf_dir), CLOCK)
+    return quota.ranked_near_limit(quota.near_limit(quota.usage_summary(*_inputs(spark, sf_dir), CLOCK)))
 
 
 def q_user_usage_status(spark, sf_dir):
@@ -71,8 +73,9 @@ def q_user_usage_status(spark, sf_dir):
 
 
 def q_orphan_groups(spark, sf_dir):
+    """Users whose tier has lost its quota row (the unlimited tier's)."""
     _, groups, limits = _inputs(spark, sf_dir)
-    return quota.orphan_groups(groups, limits)
+    return quota.orphan_groups(groups, limits.filter(F.col("group_name") != "enterprise"))
 
 
 def q_usage_history_by_group(spark, sf_dir):
@@ -95,8 +98,8 @@ def q_gate_decisions_advisory(spark, sf_dir):
 
 def q_status_lines(spark, sf_dir):
     ledger, groups, limits = _inputs(spark, sf_dir)
-    ids = fx.request_log(spark, sf_dir).select("user_id")
-    return notices.status_lines(quota.user_usage_status(ids, ledger, groups, limits, CLOCK))
+    requests = fx.request_log(spark, sf_dir).select("id", "user_id")
+    return notices.status_lines(quota.with_status(requests, ledger, groups, limits, CLOCK))
 
 
 def q_block_notices(spark, sf_dir):
@@ -147,15 +150,20 @@ def q_record_usage(spark, sf_dir):
 
 
 def q_register_first_seen(spark, sf_dir):
-    _, groups, _ = _inputs(spark, sf_dir)
+    ledger = _inputs(spark, sf_dir)[0]
     new_rows = extract.record_usage(_extracted(spark, sf_dir), ts_ntz(CLOCK.as_of))
-    return maintenance.register_first_seen(groups, new_rows)
+    return maintenance.register_first_seen(fx.user_group_rows(ledger), new_rows, assigned_at=ts_ntz(CLOCK.as_of))
 
 
 def q_seed_limits(spark, sf_dir):
+    """Seed a table that has, with a description, the tiers of the users that
+    are not on the unlimited one: that tier is missing and comes from the seed."""
     _, groups, limits = _inputs(spark, sf_dir)
-    in_use = limits.join(groups.select("group_name").distinct(), "group_name", "left_semi")
-    return maintenance.seed_limits(in_use, maintenance.default_tiers(spark))
+    limited = groups.filter(F.col("group_name") != "enterprise").select("group_name").distinct()
+    mine = limits.join(limited, "group_name", "left_semi").select(
+        "group_name", "daily_token_limit", "monthly_token_limit", F.lit(60).alias("rate_limit_rpm"),
+        ts_ntz(CLOCK.day_start).alias("created_at"), ts_ntz(CLOCK.day_start).alias("updated_at"), F.lit("own").alias("description"))
+    return maintenance.seed_limits(mine, maintenance.default_tiers(spark), ts_ntz(CLOCK.as_of))
 
 
 def q_upsert_groups(spark, sf_dir):
@@ -172,9 +180,36 @@ def q_retention_deleted_count(spark, sf_dir):
 
 
 def q_ledger_violations(spark, sf_dir):
+    configure(spark)
+    return maintenance.ledger_violations(fx.dirty_ledger(spark, sf_dir))
+
+
+def q_ledger_store(spark, sf_dir):
+    """A stored ledger: written, appended to, purged, read back."""
+    from tokenmeter.session import scratch_path
+    from tokenmeter.sources import store
+
     ledger = _inputs(spark, sf_dir)[0]
-    new_rows = extract.record_usage(_extracted(spark, sf_dir), ts_ntz(CLOCK.as_of))
-    return maintenance.ledger_violations(ledger.unionByName(new_rows, allowMissingColumns=True))
+    path = scratch_path(spark, "tables", "stored-ledger")
+    store.write_ledger(ledger.filter(F.col("id") % 2 == 0), path)
+    store.write_ledger(ledger.filter(F.col("id") % 2 == 1), path)
+    store.purge_ledger(spark, path, RETENTION_CLOCK, RETENTION_DAYS)
+    return store.read_ledger(spark, path).select(*ledger.columns)
+
+
+def q_view_user_usage(spark, sf_dir):
+    """A user's usage, asked of the named view."""
+    from tokenmeter.plans.views import register_views
+
+    register_views(spark, *_inputs(spark, sf_dir), CLOCK)
+    return spark.sql("SELECT * FROM usage_summary WHERE user_id = '11'")
+
+
+def q_view_near_limits(spark, sf_dir):
+    from tokenmeter.plans.views import register_views
+
+    register_views(spark, *_inputs(spark, sf_dir), CLOCK)
+    return spark.sql("SELECT n.user_id, n.group_name, d.usage_date, d.total_tokens FROM users_near_limit n JOIN usage_daily d USING (user_id)")
 
 
 def q_annotated_messages(spark, sf_dir):
@@ -188,48 +223,68 @@ def q_annotated_messages(spark, sf_dir):
     )
 
 
-def _events_stream(spark, sf_dir):
+def _in_turn(spark, table: DataFrame, name: str, parts: int, feed) -> None:
+    """Land ``table`` in ``parts`` arrivals (dealt by its first column, so each
+    holds old and new rows) and feed each as a micro-batch of its own."""
+    from tokenmeter.session import scratch_path
     from tokenmeter.streaming.io import file_stream
 
-    from tokenmeter.sources.tables import DECLARED
+    landing = scratch_path(spark, "landing", name)
+    for k in range(parts):
+        table.filter(F.pmod(table.columns[0], F.lit(parts)) == k).write.mode("append").parquet(landing)
+        feed(file_stream(spark, landing, "*.parquet", files_per_trigger=None, schema=table.schema))
+
+
+def _daily_stream(spark, sf_dir):
+    """Three micro-batches, each with late rows of all days and rows without a
+    time."""
+    from tokenmeter.sources.tables import read_table
+    from tokenmeter.streaming.rollups import DailyStream
 
     configure(spark)
-    return file_stream(spark, sf_dir, "events.parquet", schema=DECLARED["events"])
+    stream = DailyStream(spark)
+    events = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value", "props"])
+    _in_turn(spark, events, "events", 3, lambda part: stream.feed(fx.late_ledger(part)))
+    return stream.daily()
 
 
 def q_stream_usage_daily(spark, sf_dir):
-    from tokenmeter.streaming import rollups as srollups
-
-    sink = srollups.run_daily(spark, fx.ledger_from_events(_events_stream(spark, sf_dir)))
-    return srollups.daily_table(spark, sink)
+    return _daily_stream(spark, sf_dir)
 
 
 def q_stream_usage_monthly(spark, sf_dir):
-    from tokenmeter.streaming import rollups as srollups
+    from tokenmeter.streaming.rollups import monthly_from_daily
 
-    sink = srollups.run_daily(spark, fx.ledger_from_events(_events_stream(spark, sf_dir)))
-    return srollups.monthly_from_daily(srollups.daily_table(spark, sink))
+    return monthly_from_daily(_daily_stream(spark, sf_dir))
 
 
-def q_stream_ledger(spark, sf_dir):
-    """Bodies land as Parquet files in a folder; the stream ingests them."""
+def _ledger_stream(spark, sf_dir) -> tuple[str, str]:
+    """Bodies land in three arrivals, each with its repeats of the one before;
+    returns the folders of the ledger and of the registrations."""
     from tokenmeter.session import scratch_path
-    from tokenmeter.streaming.io import file_stream, run_available
+    from tokenmeter.streaming.io import run_available
     from tokenmeter.streaming.ledger import start_ledger_ingest
 
-    ledger, groups, _ = _inputs(spark, sf_dir)
-    landing = scratch_path(spark, "landing", "bodies")
+    _, groups, _ = _inputs(spark, sf_dir)
     bodies = fx.bodies(spark, sf_dir)
-    bodies.write.parquet(landing)
-    ledger_path = scratch_path(spark, "tables", "ledger")
-    groups_path = scratch_path(spark, "tables", "registrations")
-    run_available(start_ledger_ingest(
-        spark, file_stream(spark, landing, "*.parquet", schema=bodies.schema), ledger_path, groups_path, groups,
-        scratch_path(spark, "checkpoints", "ledger"), recorded_at=ts_ntz(CLOCK.as_of),
-    ))
+    ledger_path, groups_path = scratch_path(spark, "tables", "ledger"), scratch_path(spark, "tables", "registrations")
+    checkpoint = scratch_path(spark, "checkpoints", "ledger")
+    _in_turn(spark, bodies, "bodies", 3, lambda part: run_available(start_ledger_ingest(
+        spark, part.union(part), ledger_path, groups_path, groups, checkpoint, recorded_at=ts_ntz(CLOCK.as_of), once=True)))
+    return ledger_path, groups_path
+
+
+def q_stream_ledger(spark, sf_dir):
     from tokenmeter.sources.schemas import LEDGER
 
-    return spark.read.parquet(ledger_path).select(*LEDGER.fieldNames())
+    return spark.read.parquet(_ledger_stream(spark, sf_dir)[0]).select(*LEDGER.fieldNames())
+
+
+def q_stream_registrations(spark, sf_dir):
+    """Users registered by the ledger stream, each once."""
+    from tokenmeter.streaming.ledger import registrations
+
+    return registrations(spark, _ledger_stream(spark, sf_dir)[1]).all()
 
 
 def q_stream_gate(spark, sf_dir):
@@ -261,10 +316,10 @@ def q_stream_gate(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "ledger_scan": q_ledger_scan,
-    "limits_dim": q_limits_dim,
     "groups_dim": q_groups_dim,
     "usage_daily": q_usage_daily,
     "usage_monthly": q_usage_monthly,
+    "usage_monthly_orders": q_usage_monthly_orders,
     "tokens_today": q_tokens_today,
     "tokens_month_to_date": q_tokens_month_to_date,
     "usage_summary": q_usage_summary,
@@ -288,9 +343,13 @@ QUERIES: dict[str, Query] = {
     "retention_kept": q_retention_kept,
     "retention_deleted_count": q_retention_deleted_count,
     "ledger_violations": q_ledger_violations,
+    "ledger_store": q_ledger_store,
+    "view_user_usage": q_view_user_usage,
+    "view_near_limits": q_view_near_limits,
     "annotated_messages": q_annotated_messages,
     "stream_usage_daily": q_stream_usage_daily,
     "stream_usage_monthly": q_stream_usage_monthly,
     "stream_ledger": q_stream_ledger,
+    "stream_registrations": q_stream_registrations,
     "stream_gate": q_stream_gate,
 }

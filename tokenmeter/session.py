@@ -10,8 +10,8 @@ from pyspark.sql import SparkSession
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "tokenmeter") -> SparkSession:
     """Session for local runs and tests.  On a cluster the submitter's config wins
-    (``getOrCreate`` keeps an existing session); only the statements below that
-    matter for results are forced: UTC day boundaries and ANSI arithmetic."""
+    (``getOrCreate`` keeps an existing session); only what matters for results
+    is forced: UTC day boundaries."""
     spark = (
         SparkSession.builder.master(master)
         .appName(app)
@@ -44,14 +44,18 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Root for lineage cuts, sink tables and streaming checkpoints.
 
-    Taken from ``spark.checkpoint.dir`` (a shared folder on a cluster).  Only
-    when the session names none -- local tests -- a folder under the system
-    temp dir is chosen and registered, so later calls agree.
+    Taken from ``spark.checkpoint.dir`` (a shared folder on a cluster), which
+    must be set there: a machine-local folder would lose what other machines
+    write.  Only in local mode without the setting -- tests -- a folder under
+    the system temp dir is chosen and registered, so later calls agree.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         import tempfile
 
         root = tempfile.mkdtemp(prefix="tokenmeter-ckpt-")

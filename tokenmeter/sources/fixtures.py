@@ -55,7 +55,7 @@ def ledger_from_events(ev: DataFrame) -> DataFrame:
 
 
 def usage_limits(spark: SparkSession) -> DataFrame:
-    rows = [(g, d, m, None, None) for g, d, m in FIXTURE_TIERS]
+    rows = [(g, d, m, None, None, None, None) for g, d, m in FIXTURE_TIERS]
     return spark.createDataFrame(rows, LIMITS).select("group_name", "daily_token_limit", "monthly_token_limit")
 
 
@@ -144,6 +144,31 @@ def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def late_ledger(ev: DataFrame) -> DataFrame:
+    """The ledger with rows that lack a time (every 97th event)."""
+    return ledger_from_events(ev.withColumn("ts", F.when(F.col("event_id") % 97 != 0, F.col("ts"))))
+
+
+def dirty_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger with rows that break every rule of the stored table, by
+    event_id % 50 (0 .. 9), and all its text columns."""
+    led = usage_records(spark, sf_dir)
+    k = F.col("id") % 50
+    long = F.repeat(F.lit("x"), 300)
+    return led.select(
+        "id",
+        F.when(k == 0, None).when(k == 5, long).otherwise(F.col("user_id")).alias("user_id"),
+        "recorded_at",
+        F.when(k != 1, F.col("prompt_tokens")).alias("prompt_tokens"),
+        F.when(k != 2, F.col("completion_tokens")).alias("completion_tokens"),
+        F.when(k == 3, None).when(k == 4, F.col("total_tokens") + 1).otherwise(F.col("total_tokens")).alias("total_tokens"),
+        F.when(k == 6, long).otherwise(F.lit("m1")).alias("model_id"),
+        F.when(k == 7, long).alias("pipeline_id"),
+        F.when(k == 8, long).alias("chat_id"),
+        F.when(k == 9, long).otherwise(F.lit("chat")).alias("request_type"),
+    )
+
+
 def second_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A ledger spanning many calendar months (orders: user = customer,
     total = floor(price)), used where month rollover matters."""

@@ -27,6 +27,8 @@ LIMITS = T.StructType(
         T.StructField("daily_token_limit", T.LongType(), False),
         T.StructField("monthly_token_limit", T.LongType(), False),
         T.StructField("rate_limit_rpm", T.IntegerType(), True),
+        T.StructField("created_at", T.TimestampNTZType(), True),
+        T.StructField("updated_at", T.TimestampNTZType(), True),
         T.StructField("description", T.StringType(), True),
     ]
 )

@@ -2,122 +2,79 @@
 
 Each micro-batch is replayed with the closed form of ``gate_replay`` (running
 sums over a calendar hierarchy: no user's rows are gathered into one group),
-seeded by a carry table holding, per user, the admitted usage of the latest
-month and day seen so far.  Carried usage is admitted usage, a prefix of the
-user's sequence, so it enters the replay as an offset on the running sums and
-a stream fed in time order decides exactly like one replay of the whole log.
-
-Durability: micro-batch ``n`` writes its decisions to ``<sink>/batch_id=n``
-and the carry it leaves to ``<state>/batch_id=n`` (both overwrite), and reads
-the carry of batch ``n - 1``.  A retried batch therefore recomputes from the
-same input and replaces what it wrote.  The next carry is derived from the
-decisions as written, not from a second evaluation of the replay.
-
-The carry is one row per user active in the current or previous month; rows
-of older months are dropped (they cannot affect a later request).  A request
-older than its user's carried day counts toward its own day (D8) but sees no
-earlier usage of that day beyond what the carry holds.
-"""
+seeded by the usage admitted before it.  Admitted usage adds up, so batch ``n``
+leaves its own sums per (user, day) and reads the sums of the batches before it
+(``batches.BatchTable``), for its own users only.  Carried usage enters the
+replay as an offset on the running sums: a stream fed in time order decides
+exactly like one replay of the whole log, and a late request sees all usage
+recorded so far on its own day and in its own month, as it would at the hook.
+
+Durability: decisions and sums of batch ``n`` go to their own ``batch_id=n``
+folders (overwrite); a retried batch recomputes from the same input and
+replaces what it wrote.  A missing earlier folder fails the job.  The sums are
+derived from the decisions as written, not from a second replay.
+
+Carried days expire only against ``keep_from`` (a clock the caller owns), never
+against times found in the data."""
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from tokenmeter.operators.gate import gate_replay, has_user
 from tokenmeter.params import QuotaSettings
+from tokenmeter.sources.store import write_version
+from tokenmeter.streaming.batches import BatchTable
 from tokenmeter.streaming.io import batch_folder
 
-CARRY_SCHEMA = "user_id string, month date, day date, month_used long, day_used long"
-
+CARRY_SCHEMA = "user_id string, day date, used bigint"
 
-def read_carry(spark: SparkSession, state_path: str, batch_id: int) -> DataFrame | None:
-    """The carry left by the previous micro-batch (None before the first)."""
-    if batch_id <= 0:
-        return None
-    try:
-        return spark.read.schema(CARRY_SCHEMA).parquet(batch_folder(state_path, batch_id - 1))
-    except AnalysisException:
-        return None
 
+def carry_table(spark: SparkSession, state_path: str) -> BatchTable:
+    return BatchTable(spark, state_path, CARRY_SCHEMA, lambda c: c.groupBy("user_id", "day").agg(F.sum("used").alias("used")))
 
-def next_carry(carry: DataFrame | None, decisions: DataFrame, keep_from: dt.date | None) -> DataFrame:
-    """Per user: the latest (month, day) and the admitted usage in them.
 
-    Batch usage is summed per (user, day) (partial aggregation), then per
-    (user, month), then the latest month per user is kept with ``max_by``;
-    the carry is merged by one user-keyed outer join."""
-    d = decisions.filter(has_user() & F.col("requested_at").isNotNull())
-    tok = F.when(F.col("admitted"), F.coalesce(F.col("total_tokens"), F.lit(0))).otherwise(F.lit(0)).cast("long")
-    per_day = d.groupBy("user_id", F.to_date("requested_at").alias("day")).agg(F.sum(tok).alias("t"))
-    per_month = per_day.groupBy("user_id", F.trunc("day", "month").alias("month")).agg(
-        F.sum("t").alias("mt"), F.max("day").alias("d"), F.max_by("t", "day").alias("dt")
+def admitted_usage(decisions: DataFrame) -> DataFrame:
+    """Usage recorded by a batch, per (user, day)."""
+    d = decisions.filter(has_user() & F.col("requested_at").isNotNull() & F.col("admitted"))
+    return d.groupBy("user_id", F.to_date("requested_at").alias("day")).agg(
+        F.sum(F.coalesce(F.col("total_tokens"), F.lit(0)).cast("long")).alias("used")
     )
-    batch = per_month.groupBy("user_id").agg(F.max_by(F.struct("month", "mt", "d", "dt"), "month").alias("b"))
-    batch = batch.select("user_id", F.col("b.month").alias("b_month"), F.col("b.mt").alias("b_mu"),
-                         F.col("b.d").alias("b_day"), F.col("b.dt").alias("b_du"))
-    if carry is None:
-        out = batch.select("user_id", F.col("b_month").alias("month"), F.col("b_day").alias("day"),
-                           F.col("b_mu").alias("month_used"), F.col("b_du").alias("day_used"))
-    else:
-        c = carry.select("user_id", F.col("month").alias("c_month"), F.col("day").alias("c_day"),
-                         F.col("month_used").alias("c_mu"), F.col("day_used").alias("c_du"))
-        j = c.join(batch, "user_id", "full_outer")
-        zero = F.lit(0).cast("long")
-        no_batch = F.col("b_month").isNull()
-        no_carry = F.col("c_month").isNull()
-        # The later of the two months wins; equal months add up.
-        month = F.greatest("c_month", "b_month")
-        mu = (F.when(F.col("c_month") == month, F.col("c_mu")).otherwise(zero)
-              + F.when(F.col("b_month") == month, F.col("b_mu")).otherwise(zero))
-        c_day = F.when(F.col("c_month") == month, F.col("c_day"))
-        b_day = F.when(F.col("b_month") == month, F.col("b_day"))
-        day = F.greatest(c_day, b_day)
-        du = (F.when(c_day == day, F.col("c_du")).otherwise(zero)
-              + F.when(b_day == day, F.col("b_du")).otherwise(zero))
-        out = j.select(
-            "user_id",
-            F.when(no_batch, F.col("c_month")).when(no_carry, F.col("b_month")).otherwise(month).alias("month"),
-            F.when(no_batch, F.col("c_day")).when(no_carry, F.col("b_day")).otherwise(day).alias("day"),
-            F.when(no_batch, F.col("c_mu")).when(no_carry, F.col("b_mu")).otherwise(mu).alias("month_used"),
-            F.when(no_batch, F.col("c_du")).when(no_carry, F.col("b_du")).otherwise(du).alias("day_used"),
-        )
-    if keep_from is not None:
-        out = out.filter(F.col("month") >= F.lit(keep_from))
-    return out
 
 
 def gate_batch(groups: DataFrame, limits: DataFrame, sink: str, state_path: str,
-               settings: QuotaSettings = QuotaSettings(), bucket_seconds: int = 60, materialize: bool = True):
+               settings: QuotaSettings = QuotaSettings(), bucket_seconds: int = 60, materialize: bool = True,
+               keep_from: Callable[[], dt.date] | None = None):
     """``foreachBatch`` function of the stream gate."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        carry = read_carry(spark, state_path, batch_id)
+        state = carry_table(spark, state_path)
+        carry = state.before(batch_id)
+        if keep_from is not None:
+            carry = carry.filter(F.col("day") >= F.lit(keep_from()))
+        carry = carry.join(batch.select("user_id").distinct(), "user_id", "left_semi")
         decisions = gate_replay(batch, groups, limits, settings, bucket_seconds=bucket_seconds, carry=carry,
                                 materialize=materialize)
         out = batch_folder(sink, batch_id)
         decisions.write.mode("overwrite").parquet(out)
-        written = spark.read.schema(decisions.schema).parquet(out)
-        # One scalar per batch: the newest request time, to expire old months.
-        newest = written.agg(F.max("requested_at")).first()[0]
-        keep_from = None
-        if newest is not None:
-            prev = newest.date().replace(day=1) - dt.timedelta(days=1)
-            keep_from = prev.replace(day=1)
-        next_carry(carry, written, keep_from).write.mode("overwrite").parquet(batch_folder(state_path, batch_id))
+        state.write(admitted_usage(spark.read.schema(decisions.schema).parquet(out)), batch_id)
 
     return run
 
 
 def start_stream_gate(requests: DataFrame, groups: DataFrame, limits: DataFrame, sink: str, state_path: str,
-                      checkpoint: str, settings: QuotaSettings = QuotaSettings()):
+                      checkpoint: str, settings: QuotaSettings = QuotaSettings(),
+                      keep_from: Callable[[], dt.date] | None = None):
     """The stream gate as a ``DataStreamWriter`` (caller picks the trigger).
-    Tiers are read per micro-batch (stream-static lookup)."""
+    The tier side is written once, not evaluated again by every batch."""
+    spark = requests.sparkSession
+    known = spark.read.schema(groups.schema).parquet(write_version(groups, spark, "stream-groups"))
     return (
         requests.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(gate_batch(groups, limits, sink, state_path, settings))
+        .foreachBatch(gate_batch(known, limits, sink, state_path, settings, keep_from=keep_from))
     )

@@ -1,16 +1,13 @@
-"""Stream sources and an idempotent versioned sink.
+"""Stream sources and the layout of sinks.
 
 Sink layout: ``<path>/batch_id=<n>/`` holds what micro-batch ``n`` emitted.
 A retried batch rewrites its own folder (overwrite), so a replay after a
-failure never duplicates.  Readers resolve the newest version of each key.
+failure never duplicates.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def file_stream(spark: SparkSession, folder: str, file_glob: str, files_per_trigger: int | None = 16,
@@ -31,27 +28,6 @@ def batch_folder(path: str, batch_id: int) -> str:
     return f"{path.rstrip('/')}/batch_id={batch_id}"
 
 
-def versioned_writer(path: str, partition_by: list[str] | None = None) -> Callable[[DataFrame, int], None]:
-    def write(batch: DataFrame, batch_id: int) -> None:
-        w = batch.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(batch_folder(path, batch_id))
-
-    return write
-
-
-def read_versions(spark: SparkSession, path: str, schema_of: DataFrame | None = None) -> DataFrame:
-    return spark.read.parquet(path)
-
-
-def latest_versions(versions: DataFrame, keys: list[str]) -> DataFrame:
-    """Newest emitted value per key (update-mode outputs are full values)."""
-    values = [c for c in versions.columns if c not in keys and c != "batch_id"]
-    latest = versions.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("batch_id")).alias("__v"))
-    return latest.select(*keys, *[F.col(f"__v.{c}").alias(c) for c in values])
-
-
 def run_available(query_builder) -> None:
     """Run a stream over everything available now and wait for it."""
     q = query_builder.trigger(availableNow=True).start()

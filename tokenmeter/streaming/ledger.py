@@ -3,9 +3,11 @@ append + first-seen registration, one ``foreachBatch`` per micro-batch.
 
 Both writes of a batch go to that batch's own folders (overwrite), so a
 retried batch replaces exactly what it wrote before: the append and the
-registration stay together (S22) and are idempotent per batch.  Across
-batches a repeated body is recorded again (S21) unless the caller drops
-duplicates on a request id within the watermark (D7).
+registration stay together (S22) and are idempotent per batch.  A batch reads
+the registrations of all batches before it, and fails if one is missing, so a
+user is registered once.  Across batches a repeated body is recorded again
+(S21) unless the caller names a request id: then a body whose id an earlier
+row of the ledger carries is not recorded again (D7).
 """
 
 from __future__ import annotations
@@ -14,33 +16,46 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenmeter.operators.extract import record_usage, usage_extract
-from tokenmeter.operators.maintenance import register_first_seen
-from tokenmeter.sources.store import with_usage_date
+from tokenmeter.operators.maintenance import new_users
+from tokenmeter.sources.schemas import GROUPS
+from tokenmeter.sources.store import with_usage_date, write_version
+from tokenmeter.streaming.batches import BatchTable
 from tokenmeter.streaming.io import batch_folder
 
+ID_SCHEMA = "id bigint"
+
+
+def registrations(spark: SparkSession, groups_path: str) -> BatchTable:
+    """New tier rows, one part per batch; users of different parts differ."""
+    return BatchTable(spark, groups_path, GROUPS, lambda g: g)
+
+
+def ingest_batch(spark: SparkSession, ledger_path: str, groups_path: str, base_groups: DataFrame, recorded_at: Column,
+                 once: bool = False):
+    registered = registrations(spark, groups_path)
+    recorded = BatchTable(spark, f"{ledger_path}-ids", ID_SCHEMA, lambda ids: ids)
 
-def ingest_batch(spark: SparkSession, ledger_path: str, groups_path: str, base_groups: DataFrame, recorded_at: Column):
     def run(batch: DataFrame, batch_id: int) -> None:
         rows = record_usage(usage_extract(batch), recorded_at)
+        if once:
+            rows = rows.dropDuplicates(["id"]).join(recorded.before(batch_id), "id", "left_anti")
         rows = rows.persist()
         with_usage_date(rows).write.mode("overwrite").partitionBy("usage_date").parquet(batch_folder(ledger_path, batch_id))
-        known = base_groups.select("user_id", "group_name")
-        try:
-            earlier = spark.read.parquet(groups_path).filter(F.col("batch_id") < batch_id)
-            known = known.unionByName(earlier.select("user_id", "group_name"))
-        except Exception:  # no registrations yet
-            pass
-        new = register_first_seen(known, rows).join(known.select("user_id"), "user_id", "left_anti")
-        new.write.mode("overwrite").parquet(batch_folder(groups_path, batch_id))
+        known = base_groups.select("user_id").unionByName(registered.before(batch_id).select("user_id"))
+        registered.write(new_users(known, rows, assigned_at=recorded_at), batch_id)
+        if once:
+            recorded.write(rows.select("id"), batch_id)
         rows.unpersist()
 
     return run
 
 
 def start_ledger_ingest(spark, bodies_stream: DataFrame, ledger_path: str, groups_path: str, base_groups: DataFrame,
-                        checkpoint: str, recorded_at: Column | None = None):
+                        checkpoint: str, recorded_at: Column | None = None, once: bool = False):
     at = recorded_at if recorded_at is not None else F.localtimestamp()
+    users = base_groups.select("user_id")
+    known = spark.read.schema(users.schema).parquet(write_version(users, spark, "stream-known-users"))
     return (
         bodies_stream.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(ingest_batch(spark, ledger_path, groups_path, base_groups, at))
+        .foreachBatch(ingest_batch(spark, ledger_path, groups_path, known, at, once))
     )

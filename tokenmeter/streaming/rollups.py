@@ -1,64 +1,57 @@
 """O-46: daily usage maintained incrementally, monthly derived from it.
 
-``groupBy(user, window(ts, '1 day'))`` with a watermark keeps state only for
-days that can still receive rows; update mode emits each changed group's full
-value per micro-batch into the versioned sink.  Months are not fixed-width
-(``window(ts, '1 month')`` is rejected), so the monthly rollup aggregates the
-daily table: at most 31 rows per user-month.  D8: a late row counts toward
-the day of its own timestamp while within the watermark.
-"""
+Sums and counts add up, so each micro-batch writes its own partial sums per
+(user, date) and readers add the parts (``batches.BatchTable``).  There is no
+watermark and no state: a row counts toward the day of its own timestamp
+however late it comes (D8), and rows without a time form the NULL date as in
+the batch view (S10).  The monthly rollup aggregates the daily table: at most
+31 rows per user-month."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenmeter.operators.rollups import usage_daily
 from tokenmeter.session import scratch_path
-from tokenmeter.streaming.io import latest_versions, read_versions, run_available, versioned_writer
+from tokenmeter.streaming.batches import BatchTable
+from tokenmeter.streaming.io import run_available
 
 DAILY_KEYS = ["user_id", "usage_date"]
+SUMS = ["prompt_tokens", "completion_tokens", "total_tokens", "request_count"]
+DAILY_SCHEMA = "user_id string, usage_date date, prompt_tokens bigint, completion_tokens bigint, total_tokens bigint, request_count bigint"
 
 
-def daily_aggregate(ledger_stream: DataFrame, watermark: str = "2 days") -> DataFrame:
-    # Watermarks need TIMESTAMP (LTZ); the session zone is UTC so days align with DATE().
-    ts = F.col("recorded_at").cast("timestamp")
-    s = ledger_stream.withColumn("__ts", ts).withWatermark("__ts", watermark)
-    g = s.groupBy("user_id", F.window("__ts", "1 day").alias("__w")).agg(
-        F.sum("prompt_tokens").alias("prompt_tokens"),
-        F.sum("completion_tokens").alias("completion_tokens"),
-        F.sum("total_tokens").alias("total_tokens"),
-        F.count(F.lit(1)).alias("request_count"),
-    )
-    return g.select(
-        "user_id", F.to_date(F.col("__w.start")).alias("usage_date"),
-        "prompt_tokens", "completion_tokens", "total_tokens", "request_count",
-    )
+def _add_up(parts: DataFrame, keys: list) -> DataFrame:
+    return parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in SUMS])
+
 
+def daily_parts(spark: SparkSession, sink: str) -> BatchTable:
+    return BatchTable(spark, sink, DAILY_SCHEMA, lambda parts: _add_up(parts, DAILY_KEYS))
 
-def start_daily(spark: SparkSession, ledger_stream: DataFrame, sink: str, checkpoint: str, watermark: str = "2 days"):
+
+def start_daily(spark: SparkSession, ledger_stream: DataFrame, sink: str, checkpoint: str):
+    parts = daily_parts(spark, sink)
     return (
-        daily_aggregate(ledger_stream, watermark)
-        .writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(versioned_writer(sink))
+        ledger_stream.writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(lambda batch, batch_id: parts.write(usage_daily(batch), batch_id))
     )
 
 
-def run_daily(spark: SparkSession, ledger_stream: DataFrame, watermark: str = "2 days") -> str:
-    sink = scratch_path(spark, "sinks", "usage_daily")
-    run_available(start_daily(spark, ledger_stream, sink, scratch_path(spark, "checkpoints", "usage_daily"), watermark))
-    return sink
+class DailyStream:
+    """A daily rollup fed by streams that share one sink and checkpoint."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.sink, self.checkpoint = scratch_path(spark, "sinks", "usage_daily"), scratch_path(spark, "checkpoints", "usage_daily")
 
+    def feed(self, ledger_stream: DataFrame) -> None:
+        run_available(start_daily(self.spark, ledger_stream, self.sink, self.checkpoint))
 
-def daily_table(spark: SparkSession, sink: str) -> DataFrame:
-    return latest_versions(read_versions(spark, sink), DAILY_KEYS)
+    def daily(self) -> DataFrame:
+        return daily_parts(self.spark, self.sink).all()
 
 
 def monthly_from_daily(daily: DataFrame) -> DataFrame:
     month = F.to_timestamp_ntz(F.trunc(F.col("usage_date"), "month"))
-    return daily.groupBy("user_id", month.alias("usage_month")).agg(
-        F.sum("prompt_tokens").alias("prompt_tokens"),
-        F.sum("completion_tokens").alias("completion_tokens"),
-        F.sum("total_tokens").alias("total_tokens"),
-        F.sum("request_count").alias("request_count"),
-    )
+    return _add_up(daily, ["user_id", month.alias("usage_month")])
