@@ -181,6 +181,44 @@ def test_g17_overflow_dropped(spark):
     assert rec == []
 
 
+@pytest.mark.parametrize("value", [3000000000, "12", 1.5, [1], 10**30])
+def test_count_that_is_no_int_drops_the_row(spark, value):
+    ex, rec = _extract(spark, {"usage": {"prompt_tokens": value, "completion_tokens": 5}})
+    assert ex["prompt_tokens"] is None and rec == []
+
+
+@pytest.mark.parametrize("value,blocked", [("false", True), ("0", True), ("", False), (0, False), (0.0, False), (None, False), ([], False), ({}, False), ({"a": 1}, True), (False, False), (2, True)])
+def test_blocked_flag_by_json_type(spark, value, blocked):
+    assert _extract(spark, {"_usage_blocked": value, "usage": {"prompt_tokens": 1}})[0]["usage_blocked"] is blocked
+
+
+def test_empty_usage_is_no_usage(spark):
+    ex, rec = _extract(spark, {"usage": {}})
+    assert ex["has_usage"] is False and rec == []
+
+
+def test_tag_wins_over_the_session(spark):
+    assert _extract(spark, {"_usage_user_id": "t", "usage": {"prompt_tokens": 1}})[0]["user_id"] == "t"
+    assert _extract(spark, {"_usage_user_id": "", "usage": {"prompt_tokens": 1}})[0]["user_id"] == "u1"
+
+
+def test_seed_and_registration_keep_all_columns(spark):
+    existing = spark.createDataFrame([("freemium", 7, 70, 5, T0, T0, "mine")], LIMITS)
+    out = {r["group_name"]: r for r in maintenance.seed_limits(existing, maintenance.default_tiers(spark), ts_ntz(AS_OF)).collect()}
+    assert tuple(out["freemium"]) == ("freemium", 7, 70, 5, T0, T0, "mine")
+    assert out["pro"]["created_at"] == AS_OF and out["pro"]["description"].startswith("Pro tier")
+    grp = spark.createDataFrame([("a", "pro", T0, "alice", "n1")], GROUPS)
+    led = ledger(spark, [(1, "a", T0, 1, 1, 2), (2, "b", T0, 1, 1, 2)])
+    got = {r["user_id"]: tuple(r) for r in maintenance.register_first_seen(grp, led, assigned_at=ts_ntz(AS_OF)).collect()}
+    assert got == {"a": ("a", "pro", T0, "alice", "n1"), "b": ("b", "freemium", AS_OF, None, None)}
+
+
+def test_body_is_parsed_once(spark):
+    df = spark.createDataFrame([(1, "u", "{}")], "conv_id long, user_id string, payload string")
+    plan = extract.usage_recordable(extract.usage_extract(df))._jdf.queryExecution().executedPlan().toString()
+    assert plan.lower().count("parse_json") + plan.count("parseJson") <= 1, plan
+
+
 def test_g18_blocked_body_not_recorded(spark):
     ex, rec = _extract(spark, {"_usage_blocked": True, "usage": {"prompt_tokens": 1, "completion_tokens": 1}})
     assert ex["usage_blocked"] is True and rec == []
@@ -217,20 +255,22 @@ def test_g22_list_content_unchanged(spark):
     df = spark.createDataFrame([(1, "u1", json.dumps(body))], "conv_id long, user_id string, payload string")
     out = notices.annotated_messages(df, led, groups(spark, [("u1", "freemium")]), limits(spark), CLOCK).collect()[0]
     assert out["warning_kind"] == "reached"
-    assert out["messages"][0]["content"] == "first"
-    assert out["messages"][2]["content"] == '[{"type":"text","text":"x"}]'
+    got = [json.loads(m) for m in out["messages"]]
+    assert got == body["messages"] and json.loads(out["body"]) == body
 
 
 def test_annotation_appends_to_text(spark):
     led = ledger(spark, [(1, "u1", T0, 700, 0, 700)])
     body = {"usage": {"prompt_tokens": 50, "completion_tokens": 50},
-            "messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "answer"}]}
+            "messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "answer", "id": "x7", "files": [1, {"a": None}]}],
+            "extra": {"k": [1.5, "é"]}}
     df = spark.createDataFrame([(1, "u1", json.dumps(body))], "conv_id long, user_id string, payload string")
     out = notices.annotated_messages(df, led, groups(spark, [("u1", "freemium")]), limits(spark), CLOCK).collect()[0]
     assert out["warning_kind"] == "approaching"
     expected = ("answer\n\n---\n⚠️ **Approaching Usage Limit**\n\n- Today: 800/1.0K (80%)\n"
                 "- This month: 800/10.0K (8%)")
-    assert out["messages"][1]["content"] == expected
+    assert json.loads(out["messages"][1]) == {"role": "assistant", "content": expected, "id": "x7", "files": [1, {"a": None}]}
+    assert json.loads(out["body"])["extra"] == {"k": [1.5, "é"]}
 
 
 def test_blocked_body_replaced(spark):
@@ -239,8 +279,9 @@ def test_blocked_body_replaced(spark):
     df = spark.createDataFrame([(1, "u1", json.dumps(body))], "conv_id long, user_id string, payload string")
     out = notices.annotated_messages(df, led, groups(spark, [("u1", "freemium")]), limits(spark), CLOCK).collect()[0]
     assert out["usage_blocked"] is True and len(out["messages"]) == 1
-    assert out["messages"][0]["role"] == "assistant"
-    assert "You've reached your daily token limit for the **freemium** tier." in out["messages"][0]["content"]
+    message = json.loads(out["messages"][0])
+    assert message["role"] == "assistant" and json.loads(out["body"]) == {"messages": [message], "_usage_blocked": True}
+    assert "You've reached your daily token limit for the **freemium** tier." in message["content"]
 
 
 def test_g23_upsert_keeps_assigned_by(spark):

@@ -36,7 +36,7 @@ def test_expected_counts_sf001(spark):
     by = {r["group_name"]: r["count"] for r in s.groupBy("group_name").count().collect()}
     assert by == {"freemium": 77, "pro": 39, "enterprise": 12}
     assert q["users_near_limit"](spark, SF_MID).count() == 84
-    assert q["usage_recordable"](spark, SF_MID).count() == 67
+    assert q["usage_recordable"](spark, SF_MID).count() == 50
 
 
 def test_replay_counts_sf001(spark):

@@ -1,69 +1,83 @@
-"""Expressions over chat bodies kept as JSON text.
+"""Expressions over chat bodies, parsed once into a variant.
 
-Messages are parsed as ``array<string>`` so each stays raw JSON: that keeps
-"key present with null" (the hit that still overrides, S11) apart from "key
-absent" (skipped, S12), which a typed ``from_json`` collapses into NULL.
-"""
+A variant keeps JSON types apart (the string "false" from false) and a present
+null from an absent key (a present one still overrides, S11; an absent one is
+skipped, S12).  A variant column here is null where the key is absent or the
+body is not JSON."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tokenmeter.sources.schemas import BODY_DDL, USAGE_DDL
+INT_MIN, INT_MAX = -(2**31), 2**31 - 1
 
-# JSON texts that Python's truthiness treats as false.
-FALSY_JSON = ["false", "0", "0.0", "", "[]", "{}", "null"]
 
+def parsed_once(payload: Column) -> Column:
+    """The body as a generator output: the planner neither repeats it for each
+    reference nor pushes predicates on it below, so the text is parsed once."""
+    return F.explode(F.array(F.try_parse_json(payload)))
 
-def parse_body(payload: Column) -> Column:
-    return F.from_json(payload, BODY_DDL)
 
+def field(v: Column, key: str) -> Column:
+    return F.try_variant_get(v, f"$.{key}", "variant")
 
-def msg_role(m: Column) -> Column:
-    return F.get_json_object(m, "$.role")
 
+def messages(body: Column) -> Column:
+    return F.try_variant_get(body, "$.messages", "array<variant>")
 
-def msg_has_key(m: Column, key: str) -> Column:
-    return F.coalesce(F.array_contains(F.json_object_keys(m), key), F.lit(False))
 
+def is_text(v: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(v) == "STRING", F.lit(False))
 
-def msg_content(m: Column) -> Column:
-    return F.get_json_object(m, "$.content")
 
+def as_text(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "string")
 
-def msg_content_is_text(m: Column) -> Column:
-    """True only when the message's content is a JSON string."""
-    t = F.call_function("schema_of_variant", F.call_function("try_variant_get", F.parse_json(m), F.lit("$.content")))
-    return F.coalesce(t == "STRING", F.lit(False))
 
+def is_assistant(m: Column) -> Column:
+    role = field(m, "role")
+    return is_text(role) & F.coalesce(as_text(role) == "assistant", F.lit(False))
 
-def truthy(raw: Column) -> Column:
-    """Python truthiness of a JSON value read as text."""
-    return raw.isNotNull() & ~F.trim(raw).isin(FALSY_JSON)
+
+def truthy(v: Column) -> Column:
+    """Python truthiness of a JSON value: by its type, so the string "false" is
+    true and the number 0 is not."""
+    text = F.to_json(v)
+    number = text.rlike(r"^-?[0-9]")
+    zero = number & (text.try_cast("double") == 0)
+    return F.coalesce(v.isNotNull() & ~text.isin("false", "null", '""', "[]", "{}") & ~F.coalesce(zero, F.lit(False)), F.lit(False))
+
+
+def int_or_null(v: Column) -> Column:
+    """A JSON number that fits a 32-bit integer (12.0 is 12); null for any other
+    number and for strings, which the reference's insert rejects."""
+    n = F.when(F.to_json(v).rlike(r"^-?[0-9]+$"), F.to_json(v).try_cast("decimal(38,0)"))
+    return F.when(n.between(INT_MIN, INT_MAX), n.cast("int"))
 
 
 def located_usage(body: Column) -> Column:
     """O-10: the usage object the outlet reads.  The last assistant message
     that has a ``usage`` key wins (even when its value is null); assistant
     messages without the key are skipped; otherwise the body's own usage."""
-    hits = F.filter(
-        F.reverse(body["messages"]),
-        lambda m: (F.coalesce(msg_role(m) == "assistant", F.lit(False))) & msg_has_key(m, "usage"),
-    )
+    hits = F.filter(F.reverse(messages(body)), lambda m: is_assistant(m) & field(m, "usage").isNotNull())
     hit = F.try_element_at(hits, F.lit(1))
-    from_msg = F.from_json(hit, f"usage {USAGE_DDL}")["usage"]
-    return F.when(hit.isNotNull(), from_msg).otherwise(body["usage"])
+    return F.when(hit.isNotNull(), field(hit, "usage")).otherwise(field(body, "usage"))
 
 
-def first_nonzero(*cols: Column) -> Column:
-    """``a or b or 0``: null and 0 both fall through (S13)."""
-    return F.coalesce(*[F.nullif(c, F.lit(0)) for c in cols], F.lit(0))
+def first_truthy(usage: Column, *keys: str) -> Column:
+    """``a or b or 0`` (S13) as a 32-bit integer, null where the chosen value is
+    not one."""
+    out = F.lit(0)
+    for key in reversed(keys):
+        v = field(usage, key)
+        out = F.when(truthy(v), int_or_null(v)).otherwise(out)
+    return out
 
 
 def prompt_count(usage: Column) -> Column:
-    return first_nonzero(usage["prompt_tokens"], usage["prompt_eval_count"])
+    return first_truthy(usage, "prompt_tokens", "prompt_eval_count")
 
 
 def completion_count(usage: Column) -> Column:
-    return first_nonzero(usage["completion_tokens"], usage["eval_count"])
+    return first_truthy(usage, "completion_tokens", "eval_count")

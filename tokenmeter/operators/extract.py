@@ -14,34 +14,46 @@ EXTRACT_COLUMNS = ["conv_id", "user_id", "usage_blocked", "has_usage", "prompt_t
 
 
 def usage_extract(bodies: DataFrame, key: str = "conv_id", user_col: str = "user_id", payload: str = "payload",
-                  keep: tuple[str, ...] = ()) -> DataFrame:
+                  session_first: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """Per body: the resolved user (O-14: the id the inlet tagged, else the
     session user; empty counts as missing), whether it was blocked (O-13),
-    the located usage (O-10) and its token counts with fallbacks (O-11).
-    ``keep`` passes input columns through (e.g. the payload for annotation)."""
-    b = P.parse_body(F.col(payload))
+    the located usage (O-10) and its token counts with fallbacks (O-11; null
+    where the chosen value is not a 32-bit integer).  ``session_first`` is for
+    bodies that have yet to pass the inlet, which tags the session user over
+    any tag.  ``keep`` passes slim input columns through.  The body is parsed
+    once and does not travel on."""
+    parsed = bodies.select(F.col(key).alias("conv_id"), F.col(user_col).alias("__user"), *keep, P.parsed_once(F.col(payload)).alias("__body"))
+    b = F.col("__body")
     u = P.located_usage(b)
-    user = F.coalesce(F.nullif(b["_usage_user_id"], F.lit("")), F.nullif(F.col(user_col), F.lit("")))
-    return bodies.select(
-        F.col(key).alias("conv_id"),
-        user.alias("user_id"),
-        P.truthy(b["_usage_blocked"]).alias("usage_blocked"),
-        u.isNotNull().alias("has_usage"),
-        F.when(u.isNotNull(), P.prompt_count(u)).otherwise(F.lit(0)).alias("prompt_tokens"),
-        F.when(u.isNotNull(), P.completion_count(u)).otherwise(F.lit(0)).alias("completion_tokens"),
-        b["model"].alias("model_id"),
-        b["chat_id"].alias("chat_id"),
+    tag, user = F.nullif(P.as_text(P.field(b, "_usage_user_id")), F.lit("")), F.nullif(F.col("__user"), F.lit(""))
+    located = parsed.select(
+        "conv_id",
+        (F.coalesce(user, tag) if session_first else F.coalesce(tag, user)).alias("user_id"),
+        P.truthy(P.field(b, "_usage_blocked")).alias("usage_blocked"),
+        F.explode(F.array(u)).alias("__usage"),
+        P.as_text(P.field(b, "model")).alias("model_id"),
+        P.as_text(P.field(b, "chat_id")).alias("chat_id"),
         *keep,
     )
+    has, usage = P.truthy(F.col("__usage")), F.col("__usage")
+    return located.select(
+        "conv_id", "user_id", "usage_blocked", has.alias("has_usage"),
+        F.when(has, P.prompt_count(usage)).otherwise(F.lit(0)).alias("prompt_tokens"),
+        F.when(has, P.completion_count(usage)).otherwise(F.lit(0)).alias("completion_tokens"),
+        "model_id", "chat_id", *keep,
+    )
 
 
 def recordable(extracted: DataFrame) -> Column:
-    """O-12..O-14: not blocked, a user, a usage object, a positive count.
-    A negative count is kept when the other one is positive (S14)."""
+    """O-12..O-14: not blocked, a user, a usage object, counts that fit the
+    ledger, one of them positive.  A negative count is kept when the other one
+    is positive (S14)."""
     return (
         ~F.col("usage_blocked")
         & F.col("user_id").isNotNull()
         & F.col("has_usage")
+        & F.col("prompt_tokens").isNotNull()
+        & F.col("completion_tokens").isNotNull()
         & ((F.col("prompt_tokens") > 0) | (F.col("completion_tokens") > 0))
     )
 

@@ -103,89 +103,91 @@ def annotated_messages(
     clock,
     settings: QuotaSettings = QuotaSettings(),
 ) -> DataFrame:
-    """O-42/O-43 for a batch of concurrent chat bodies at ``clock.as_of``.
-
-    Inlet: every body is checked against its user's status before the batch
-    (requests in flight together see the same status).  A blocked body is
-    replaced by one assistant message carrying the block notice and is not
-    recorded.  Outlet, in source-key order: the body's usage is recorded, the
-    status is re-read (prior usage + this batch's recordings up to and
-    including this one) and the warning, if any, is appended to the last
-    assistant message when its content is text (S19: a non-text last
-    assistant message is left unchanged and no earlier one is used).
-    """
+    """O-42/O-43 for a batch of concurrent chat bodies at ``clock.as_of``: body
+    in, body out (``messages`` as JSON texts, ``body`` as one).
+
+    Inlet: every body of a session user is checked against the user's status
+    before the batch (requests in flight together see the same status).  A
+    blocked body's messages are replaced by one assistant message with the
+    block notice, it is flagged, and not recorded; any other is tagged with the
+    user.  Outlet, in source-key order: a body that came flagged passes as it
+    is; else the tag is taken off, the usage is recorded, the status is re-read
+    (prior usage + this batch's recordings up to and including this one) and
+    the warning, if any, is appended to the last assistant message when its
+    content is text (S19: a non-text last assistant message is left unchanged
+    and no earlier one is used).  All other keys of bodies and messages stay.
+
+    Only slim rows (key, user, counts) pass the status join and the running
+    sums; bodies without a user stay out of the sums.  The bodies meet their
+    decisions once, on the key."""
     from tokenmeter.functions import payload as P
     from tokenmeter.functions.quota import is_over
     from tokenmeter.operators.extract import recordable, usage_extract
     from tokenmeter.operators.gate import is_admin, outcome_of
     from tokenmeter.operators.prefix import Hierarchy, running_sums
     from tokenmeter.operators.quota import with_status
+    from tokenmeter.params import RESET_DAILY, RESET_MONTHLY
 
     role = F.col("role") if "role" in bodies.columns else F.lit("user")
-    src = bodies.select("*", F.col("payload").alias("__payload"), role.alias("__role"))
-    ex = usage_extract(src, keep=("__payload", "__role"))
-    role = F.col("__role")
-    j = with_status(ex, ledger, groups, limits, clock, settings, known=F.col("user_id").isNotNull())
-    j = j.withColumnsRenamed({
-        "tokens_today": "__base_today", "tokens_this_month": "__base_month",
-        "is_over_daily": "__od0", "is_over_monthly": "__om0",
-    })
-    over0 = F.coalesce(F.col("__od0") | F.col("__om0"), F.lit(False))
-    blocked = F.col("user_id").isNotNull() & (outcome_of(over0, is_admin(settings, role), settings) == "blocked")
-    j = j.withColumn("__blocked", blocked)
-
+    session = F.coalesce(F.col("user_id") != "", F.lit(False))
+    slim = usage_extract(bodies.select("*", role.alias("__role"), session.alias("__session")), session_first=True, keep=("__role", "__session"))
+    j = with_status(slim.filter(F.col("user_id").isNotNull()), ledger, groups, limits, clock, settings)
+    j = j.withColumnsRenamed({"tokens_today": "__base_today", "tokens_this_month": "__base_month", "is_over_daily": "__od0", "is_over_monthly": "__om0"})
+    outcome = outcome_of(F.col("__od0") | F.col("__om0"), is_admin(settings, F.col("__role")), settings)
+    j = j.withColumn("__blocked", F.col("__session") & (outcome == "blocked"))
     rec = F.when(~F.col("__blocked") & recordable(j), F.try_add(F.col("prompt_tokens"), F.col("completion_tokens")))
-    # Bodies without a user take the key '' (never a resolved user id, which
-    # is non-empty) so they stay in the one pass; their sums are unused.
-    j = j.select(
-        "*", rec.cast("long").alias("__rec"), F.coalesce(F.col("user_id"), F.lit("")).alias("__uk"),
-        F.floor(F.col("conv_id") / 1048576).alias("__hi"), F.floor(F.col("conv_id") / 1024).alias("__lo"),
-    )
-    h = Hierarchy(("__uk",), "__hi", "__lo", ("conv_id",))
+    j = j.select("*", rec.cast("long").alias("__rec"), F.floor(F.col("conv_id") / 1048576).alias("__hi"), F.floor(F.col("conv_id") / 1024).alias("__lo"))
+    h = Hierarchy(("user_id",), "__hi", "__lo", ("conv_id",))
     after = running_sums(j, h, {"r": F.coalesce(F.col("__rec"), F.lit(0).cast("long"))}, inclusive=True)
-    after = after.withColumn("tokens_today", F.col("__base_today") + F.col("r__d0")).withColumn(
-        "tokens_this_month", F.col("__base_month") + F.col("r__d0")
-    )
-    after = after.withColumn("is_over_daily", is_over(F.col("tokens_today"), F.col("daily_limit"))).withColumn(
-        "is_over_monthly", is_over(F.col("tokens_this_month"), F.col("monthly_limit"))
-    )
-    kind, body = warning_text(settings)
-    kind = F.when(F.col("__rec").isNotNull(), kind)
-    body = F.when(F.col("__rec").isNotNull(), body)
-
-    msgs = P.parse_body(F.col("__payload"))["messages"]
-    last_asst = F.array_max(
-        F.transform(msgs, lambda m, i: F.when(F.coalesce(P.msg_role(m) == "assistant", F.lit(False)), i).otherwise(-1))
-    )
-
-    def as_struct(m, content):
-        return F.struct(P.msg_role(m).alias("role"), content.alias("content"))
-
-    annotated = F.transform(
-        msgs,
-        lambda m, i: F.when(
-            (i == last_asst) & P.msg_content_is_text(m) & F.col("__warning").isNotNull(),
-            as_struct(m, F.concat(P.msg_content(m), F.col("__warning"))),
-        ).otherwise(as_struct(m, P.msg_content(m))),
-    )
-    over = F.coalesce(F.col("__od0"), F.lit(False))
-    limit_type = F.when(over, F.lit("daily")).otherwise(F.lit("monthly"))
-    from tokenmeter.params import RESET_DAILY, RESET_MONTHLY
-
+    after = after.withColumns({"tokens_today": F.col("__base_today") + F.col("r__d0"), "tokens_this_month": F.col("__base_month") + F.col("r__d0")})
+    after = after.withColumns({"is_over_daily": is_over(F.col("tokens_today"), F.col("daily_limit")),
+                               "is_over_monthly": is_over(F.col("tokens_this_month"), F.col("monthly_limit"))})
+    kind, warning = warning_text(settings)
+    over = F.col("__od0")
     notice = text.render(
         text.BLOCK_NOTICE,
-        limit_type=limit_type,
+        limit_type=F.when(over, F.lit("daily")).otherwise(F.lit("monthly")),
         group_name=F.col("group_name"),
         used=text.thousands(F.when(over, F.col("__base_today")).otherwise(F.col("__base_month"))),
         limit=text.thousands(F.when(over, F.col("daily_limit")).otherwise(F.col("monthly_limit"))),
         reset_info=F.when(over, F.lit(RESET_DAILY)).otherwise(F.lit(RESET_MONTHLY)),
     )
-    replaced = F.array(F.struct(F.lit("assistant").alias("role"), notice.alias("content")))
-    out = after.withColumn("__warning", body).select(
+    recorded = F.col("__rec").isNotNull()
+    decided = after.select("conv_id", F.col("user_id").alias("__who"), F.col("__blocked"), F.when(recorded, kind).alias("warning_kind"),
+                           F.when(recorded, warning).alias("__warning"), F.when(F.col("__blocked"), notice).alias("__notice"))
+    decided = decided.withColumnRenamed("conv_id", "__key")
+
+    whole = bodies.select("conv_id", F.nullif(F.col("user_id"), F.lit("")).alias("__user"), P.parsed_once(F.col("payload")).alias("__body"))
+    joined = whole.join(decided, F.col("conv_id") == F.col("__key"), "left").withColumn("__blocked", F.coalesce("__blocked", F.lit(False)))
+    body = F.col("__body")
+    msgs = F.coalesce(P.messages(body), F.array().cast("array<variant>"))
+    last = F.array_max(F.transform(msgs, lambda m, i: F.when(P.is_assistant(m), i).otherwise(-1)))
+
+    def warned(m: Column) -> Column:
+        content = F.concat(P.as_text(P.field(m, "content")), F.col("__warning")).cast("variant")
+        return F.to_json(F.transform_values(F.try_variant_get(m, "$", "map<string,variant>"), lambda k, v: F.when(k == "content", content).otherwise(v)))
+
+    kept = F.transform(msgs, lambda m, i: F.when((i == last) & F.col("__warning").isNotNull() & P.is_text(P.field(m, "content")), warned(m)).otherwise(F.to_json(m)))
+    replaced = F.array(F.to_json(F.struct(F.col("__notice").alias("content"), F.lit("assistant").alias("role"))))
+    out = joined.withColumn("messages", F.when(F.col("__blocked"), replaced).otherwise(kept))
+
+    # The body again: its messages, what the hooks set, and all its other keys.
+    flag, tag = P.field(body, "_usage_blocked"), P.field(body, "_usage_user_id")
+    json_text = lambda c: F.to_json(c.cast("variant"))
+    flagged = F.when(F.col("__blocked"), F.lit("true")).otherwise(F.to_json(flag))
+    came_flagged = P.truthy(flag)
+    tagged = F.when(F.col("__blocked"), F.to_json(tag)).when(came_flagged, F.coalesce(F.when(F.col("__user").isNotNull(), json_text(F.col("__user"))), F.to_json(tag)))
+    hooks = F.create_map(F.lit("_usage_blocked"), flagged, F.lit("_usage_user_id"), tagged)
+    own = F.map_filter(F.try_variant_get(body, "$", "map<string,variant>"), lambda k, _: ~k.isin("messages", "_usage_blocked", "_usage_user_id"))
+    rest = F.transform(F.map_entries(own), lambda e: F.concat(json_text(e["key"]), F.lit(":"), F.to_json(e["value"])))
+    set_ = F.transform(F.map_entries(F.map_filter(hooks, lambda _, v: v.isNotNull())), lambda e: F.concat(F.lit('"'), e["key"], F.lit('":'), e["value"]))
+    list_ = F.concat(F.lit('"messages":['), F.array_join("messages", ","), F.lit("]"))
+    text_ = F.concat(F.lit("{"), F.array_join(F.concat(F.array(list_), set_, F.coalesce(rest, F.array().cast("array<string>"))), ","), F.lit("}"))
+    return out.select(
         "conv_id",
-        "user_id",
+        F.col("__who").alias("user_id"),
         F.col("__blocked").alias("usage_blocked"),
-        kind.alias("warning_kind"),
-        F.when(F.col("__blocked"), replaced).otherwise(annotated).alias("messages"),
+        "warning_kind",
+        "messages",
+        text_.alias("body"),
     )
-    return out

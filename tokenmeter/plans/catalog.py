@@ -215,12 +215,7 @@ def q_view_near_limits(spark, sf_dir):
 def q_annotated_messages(spark, sf_dir):
     ledger, groups, limits = _inputs(spark, sf_dir)
     out = notices.annotated_messages(fx.bodies(spark, sf_dir), ledger, groups, limits, CLOCK)
-    last = F.try_element_at(F.filter(F.col("messages"), lambda m: m["role"] == "assistant"), F.lit(-1))
-    return out.select(
-        "conv_id", "user_id", "usage_blocked", "warning_kind",
-        F.size("messages").alias("message_count"),
-        last["content"].alias("annotated_content"),
-    )
+    return out.select("conv_id", "user_id", "usage_blocked", "warning_kind", F.size("messages").alias("message_count"), "body")
 
 
 def _in_turn(spark, table: DataFrame, name: str, parts: int, feed) -> None:

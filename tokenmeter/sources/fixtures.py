@@ -107,6 +107,7 @@ def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id",
         "turn",
         "role",
+        F.coalesce("text", F.lit("")).alias("text"),
         F.max(F.when(is_asst, F.col("turn"))).over(per_conv).alias("la"),
         F.min(F.when(is_asst, F.col("turn"))).over(per_conv).alias("fa"),
         F.sum(F.when(~is_asst, est).otherwise(0)).over(per_conv).cast("int").alias("p"),
@@ -124,22 +125,32 @@ def bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((case == 5) & (F.col("turn") == F.col("la")), F.lit(',"usage":null'))
         .otherwise(F.lit(""))
     )
+    written = F.to_json(F.struct("role", F.col("text").alias("content")))
     m = c.select(
         "conv_id", "turn", "p", "k",
-        F.concat(F.lit('{"role":"'), F.col("role"), F.lit('","content":"m'), F.col("turn").cast("string"),
-                 F.lit('"'), usage_frag, F.lit("}")).alias("j"),
+        # to_json(struct(role, content)) without its closing brace, then the usage
+        F.concat(F.substring(written, F.lit(1), F.length(written) - 1), usage_frag, F.lit("}")).alias("j"),
     )
     g = m.groupBy("conv_id").agg(
         F.max("p").alias("p"),
         F.max("k").alias("k"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "j"))), lambda x: x["j"]), ",").alias("msgs"),
     )
-    body_usage = F.when((F.col("conv_id") % 6).isin(1, 4, 5),
-                        F.format_string(',"usage":{"prompt_tokens":%d,"completion_tokens":%d}', "p", "k")).otherwise(F.lit(""))
+    # What the hooks and providers leave in a body, by conv_id.
+    cid = F.col("conv_id")
+    usage = (
+        F.when(cid % 13 == 0, F.lit("{}"))
+        .when(cid % 19 == 0, F.format_string('{"prompt_tokens":3000000000,"completion_tokens":%d}', "k"))
+        .when(cid % 23 == 0, F.format_string('{"prompt_tokens":"12","completion_tokens":%d}', "k"))
+        .otherwise(F.format_string('{"prompt_tokens":%d,"completion_tokens":%d}', "p", "k"))
+    )
+    body_usage = F.when((cid % 6).isin(1, 4, 5), F.concat(F.lit(',"usage":'), usage)).otherwise(F.lit(""))
+    flag = F.when(cid % 11 == 0, ',"_usage_blocked":true').when(cid % 11 == 1, ',"_usage_blocked":"false"').when(cid % 11 == 2, ',"_usage_blocked":0').otherwise("")
+    tag = F.when(cid % 7 == 0, F.format_string(',"_usage_user_id":"%d"', cid % 15 + 1)).otherwise("")
     return g.select(
         "conv_id",
-        (F.col("conv_id") % 15).cast("string").alias("user_id"),
-        F.concat(F.lit('{"model":"m1","chat_id":"'), F.col("conv_id").cast("string"), F.lit('"'), body_usage,
+        F.when(cid % 17 != 0, (cid % 15).cast("string")).alias("user_id"),
+        F.concat(F.lit('{"model":"m1","chat_id":"'), cid.cast("string"), F.lit('"'), body_usage, flag, tag,
                  F.lit(',"messages":['), F.col("msgs"), F.lit("]}")).alias("payload"),
     )
 

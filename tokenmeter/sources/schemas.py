@@ -53,13 +53,3 @@ VARCHAR_LIMITS = {
     "request_type": 50,
     "group_name": 50,
 }
-
-# Token counts as they appear in a response's usage object.
-USAGE_DDL = "struct<prompt_tokens:int,completion_tokens:int,prompt_eval_count:int,eval_count:int>"
-
-# Chat body: messages stay raw JSON so a present-but-null key can be told
-# apart from an absent one; only the chosen message is parsed further.
-BODY_DDL = (
-    f"usage {USAGE_DDL}, messages array<string>, model string, chat_id string, "
-    "_usage_user_id string, _usage_blocked string"
-)
