@@ -173,6 +173,16 @@ def test_replay_windows_are_bounded(spark):
         assert "__month" in part or "__bucket" in part, w
 
 
+def test_replay_shuffles_the_log_once(spark):
+    """Of all that the replay returns, one exchange carries whole requests."""
+    df = E.queries()["gate_replay"](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    rows = [l for l in plan.splitlines() if "Exchange hashpartitioning" in l and "__bucket" in l]
+    assert len(rows) <= 2, plan  # the requests, and the bucket table
+    scans = [l for l in plan.splitlines() if "FileScan parquet" in l and "event_id" in l]
+    assert len(scans) == 1, plan
+
+
 def test_gate_decisions_reads_requests_once(spark):
     """Status lookups join the requests directly: the request log (the only
     scan reading event_id) is read once, not again for a distinct-id set."""

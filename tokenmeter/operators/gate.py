@@ -143,13 +143,17 @@ def _label(today: Column, month: Column, dl: Column, ml: Column) -> Column:
     return F.when(~under(today, dl), F.lit("daily")).when(~under(month, ml), F.lit("monthly"))
 
 
+#: Buckets that a limit is crossed in are looked up by broadcast up to this
+#: counted number, else by a shuffle join.
+BROADCAST_BUCKETS = 100_000
+
+
 def gate_replay(
     requests: DataFrame,
     groups: DataFrame,
     limits: DataFrame,
     settings: QuotaSettings = QuotaSettings(),
     bucket_seconds: int = 60,
-    materialize: bool = True,
     carry: DataFrame | None = None,
 ) -> DataFrame:
     """O-44: which requests of a time-ordered log would have been admitted,
@@ -167,16 +171,20 @@ def gate_replay(
       3. counters shown to the request (and its label) = earlier *admitted*
          usage that day / month.
 
-    Each step is a running sum computed by ``prefix.running_sums`` (bounded
-    groups; the log is shuffled once).  With ``materialize`` each step is
-    checkpointed to ``spark.checkpoint.dir`` (reliable, keeps partitioning):
-    the next step reads it instead of recomputing, and lineage stays short.
+    Each step needs the step's usage in all earlier buckets (W seconds of one
+    user), so the steps run on the bucket table: a bucket wholly below a limit
+    counts all its usage, one wholly above it only that of requests no limit
+    holds (admins).  Only the buckets in which a limit is crossed, at most one
+    a day and one a month for each user, are looked at request by request.  At
+    the end the requests meet the bucket table once: that is the only time the
+    whole log is shuffled.  The bucket tables are written to
+    ``spark.checkpoint.dir`` between steps.
 
     Preconditions of the closed form, checked rather than assumed: no negative
-    token count within a user-month (flagged per bucket, then per month, in the
-    same pass) and a constant tier (looked up once per user, so it holds).
-    Flagged user-months take the exact sequential path (``replay_exact``).
-    Requests without a user id or a time are not part of a replay.
+    token count within a user-month (flagged per bucket, then per month) and a
+    constant tier (looked up once per user, so it holds).  Flagged user-months
+    take the exact sequential path (``replay_exact``).  Requests without a user
+    id or a time are not part of a replay.
 
     ``carry`` (user_id, day, used) continues earlier traffic: each user's
     usage admitted before this log, per day.  The day's and the month's sum are
@@ -184,33 +192,67 @@ def gate_replay(
     """
     from tokenmeter.sources.store import cut_lineage
 
-    keep = cut_lineage if materialize else (lambda df: df)
+    keys = CALENDAR.keys
+    tok = F.coalesce(F.col("total_tokens"), F.lit(0)).cast("long")
+    zero = F.lit(0).cast("long")
     reqs = requests.filter(has_user() & F.col("requested_at").isNotNull()).select(
         "id", "user_id", "requested_at", F.coalesce(F.col("role"), F.lit("user")).alias("role"), "total_tokens",
         *calendar_keys("requested_at", bucket_seconds),
     )
     admin = is_admin(settings)
-    blocking = F.lit(settings.enable_blocking)
-    tok = F.coalesce(F.col("total_tokens"), F.lit(0)).cast("long")
-    tiers = _tier_enricher(groups, limits, settings, carry)
-
-    def enrich(b: DataFrame) -> DataFrame:
-        month = Window.partitionBy(*CALENDAR.partition)
-        # No count at all in a month (all NULL) is not a negative one.
-        negative = F.coalesce(F.min("__min_tok").over(month) < 0, F.lit(False))
-        return tiers(b).withColumn("__neg", negative).drop("__min_tok")
-
-    s1 = running_sums(reqs, CALENDAR, {"a": tok}, bucket_aggs=[F.min("total_tokens").alias("__min_tok")], enrich=enrich)
-    s1 = keep(s1.withColumn("__pass_d", ~blocking | admin | under(F.col("a__d1") + F.col("__cd"), F.col("__dl"))))
-    clean, dirty = s1.filter(~F.col("__neg")), s1.filter(F.col("__neg"))
-    s2 = running_sums(clean, CALENDAR, {"b": F.when(F.col("__pass_d"), tok).otherwise(F.lit(0).cast("long"))})
-    s2 = keep(s2.withColumn(
-        "admitted", F.col("__pass_d") & (~blocking | admin | under(F.col("b__d0") + F.col("__cm"), F.col("__ml")))
-    ))
-    s3 = running_sums(s2, CALENDAR, {"c": F.when(F.col("admitted"), tok).otherwise(F.lit(0).cast("long"))})
-    today, month = F.col("c__d1") + F.col("__cd"), F.col("c__d0") + F.col("__cm")
-    label = _label(today, month, F.col("__dl"), F.col("__ml"))
-    closed = s3.select(
+    free = ~F.lit(settings.enable_blocking) | admin  # no limit holds these
+    within = Window.partitionBy(*keys).orderBy(*CALENDAR.order).rowsBetween(Window.unboundedPreceding, -1)
+    month = Window.partitionBy(*CALENDAR.partition)
+
+    def earlier(b: DataFrame, value: str, in_day: str, in_month: str) -> DataFrame:
+        """Sums of ``value`` over the earlier buckets of the day and month, with
+        what is carried into them."""
+        ordered = month.orderBy(CALENDAR.coarse, CALENDAR.fine).rowsBetween(Window.unboundedPreceding, -1)
+        days = month.orderBy(CALENDAR.coarse).rangeBetween(Window.unboundedPreceding, -1)
+        upto, before = F.coalesce(F.sum(value).over(ordered), zero), F.coalesce(F.sum(value).over(days), zero)
+        return b.withColumns({in_day: upto - before + F.col("__cd"), in_month: upto + F.col("__cm")})
+
+    def by_request(b: DataFrame) -> DataFrame:
+        """The requests of the buckets ``b``, with the bucket's columns and the
+        step sums within it."""
+        r = reqs.join(b, keys).withColumn("__a", F.coalesce(F.sum(tok).over(within), zero))
+        r = r.withColumn("__pass", free | under(F.col("__a") + F.col("__ud"), F.col("__dl")))
+        if "__um" not in b.columns:
+            return r
+        r = r.withColumn("__b", F.coalesce(F.sum(F.when(F.col("__pass"), tok)).over(within), zero))
+        return r.withColumn("admitted", F.col("__pass") & (free | under(F.col("__b") + F.col("__um"), F.col("__ml"))))
+
+    def crossed(b: DataFrame, where: Column, flag: str, name: str) -> DataFrame:
+        """``b`` with ``name``: the tokens that pass ``flag`` in the buckets
+        ``where`` a limit is crossed, counted request by request."""
+        few = b.filter(where)
+        few = F.broadcast(few) if few.count() <= BROADCAST_BUCKETS else few
+        sums = by_request(few).filter(F.col(flag)).groupBy(*keys).agg(F.sum(tok).alias(name))
+        return b.join(sums, keys, "left").withColumn(name, F.coalesce(name, zero))
+
+    buckets = reqs.groupBy(*keys).agg(F.sum(tok).alias("__all"), F.sum(F.when(free, tok).otherwise(zero)).alias("__free"), F.min("total_tokens").alias("__min_tok"))
+    b = _tier_enricher(groups, limits, settings, carry)(buckets)
+    # No count at all in a month (all NULL) is not a negative one.
+    b = b.withColumn("__neg", F.coalesce(F.min("__min_tok").over(month) < 0, F.lit(False))).drop("__min_tok")
+    b = cut_lineage(earlier(b, "__all", "__ud", "__unused").drop("__unused"))
+    day_all = under(F.col("__ud") + F.col("__all"), F.col("__dl"))
+    day_none = ~under(F.col("__ud"), F.col("__dl"))
+    day_mixed = ~F.col("__neg") & ~day_all & ~day_none
+    b = crossed(b, day_mixed, "__pass", "__part")
+    b = b.withColumn("__two", F.when(day_all, F.col("__all")).when(day_none, F.col("__free")).otherwise(F.col("__part"))).drop("__part")
+    b = cut_lineage(earlier(b, "__two", "__unused", "__um").drop("__unused"))
+    month_all = under(F.col("__um") + F.col("__two"), F.col("__ml"))
+    month_none = ~under(F.col("__um"), F.col("__ml"))
+    mixed = day_mixed | (~F.col("__neg") & ~month_all & ~month_none)
+    b = crossed(b, mixed, "admitted", "__part")
+    b = b.withColumn("__three", F.when(mixed, F.col("__part")).when(day_all & month_all, F.col("__all")).otherwise(F.col("__free"))).drop("__part")
+    b = cut_lineage(earlier(b, "__three", "__today", "__this_month"))
+
+    s = by_request(b.filter(~F.col("__neg")))
+    s = s.withColumn("__c", F.coalesce(F.sum(F.when(F.col("admitted"), tok)).over(within), zero))
+    today, so_far = F.col("__c") + F.col("__today"), F.col("__c") + F.col("__this_month")
+    label = _label(today, so_far, F.col("__dl"), F.col("__ml"))
+    closed = s.select(
         "id", "user_id", "requested_at", "role", "group_name", "total_tokens", "admitted",
         F.when(~F.col("admitted"), F.lit("blocked"))
         .when(label.isNull(), F.lit("allowed"))
@@ -219,9 +261,12 @@ def gate_replay(
         .alias("outcome"),
         label.alias("limit_type"),
         today.alias("tokens_today_before"),
-        month.alias("tokens_month_before"),
+        so_far.alias("tokens_month_before"),
     )
-    return closed.unionByName(replay_exact(dirty, settings))
+    flagged = b.filter("__neg")
+    if flagged.isEmpty():
+        return closed
+    return closed.unionByName(replay_exact(reqs.join(flagged, keys), settings))
 
 
 def replay_exact(rows: DataFrame, settings: QuotaSettings) -> DataFrame:

@@ -47,7 +47,7 @@ def admitted_usage(decisions: DataFrame) -> DataFrame:
 
 
 def gate_batch(groups: DataFrame, limits: DataFrame, sink: str, state_path: str,
-               settings: QuotaSettings = QuotaSettings(), bucket_seconds: int = 60, materialize: bool = True,
+               settings: QuotaSettings = QuotaSettings(), bucket_seconds: int = 60,
                keep_from: Callable[[], dt.date] | None = None):
     """``foreachBatch`` function of the stream gate."""
 
@@ -58,8 +58,7 @@ def gate_batch(groups: DataFrame, limits: DataFrame, sink: str, state_path: str,
         if keep_from is not None:
             carry = carry.filter(F.col("day") >= F.lit(keep_from()))
         carry = carry.join(batch.select("user_id").distinct(), "user_id", "left_semi")
-        decisions = gate_replay(batch, groups, limits, settings, bucket_seconds=bucket_seconds, carry=carry,
-                                materialize=materialize)
+        decisions = gate_replay(batch, groups, limits, settings, bucket_seconds=bucket_seconds, carry=carry)
         out = batch_folder(sink, batch_id)
         decisions.write.mode("overwrite").parquet(out)
         state.write(admitted_usage(spark.read.schema(decisions.schema).parquet(out)), batch_id)
