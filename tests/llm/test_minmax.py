@@ -85,6 +85,22 @@ def test_large_group_and_chain(spark):
     check(rows, minmax.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect(), 2)
 
 
+def test_large_clusters_in_blocks(spark, monkeypatch):
+    """Copies of one text with growing numbers of edits: outliers link only
+    among themselves or through others, over several blocks."""
+    monkeypatch.setattr(minmax, "BLOCK", 16)
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(9000)}" for _ in range(90)]
+    rows = []
+    for i in range(160):
+        t = list(base)
+        for j in rng.sample(range(90), rng.choice([1, 2, 4, 6, 8, 9])):
+            t[j] = f"x{i}-{j}" if i % 3 else f"y{j}"
+        rows.append((i, " ".join(t)))
+    rows += [(500 + i, t) for i, (_, t) in enumerate(rows[:30])]
+    check(rows, minmax.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect(), 2)
+
+
 def test_signatures_estimate_similarity():
     own = minmax.Shingler(2)
     x = own.mix(np.arange(1, 2001, dtype=np.uint64))

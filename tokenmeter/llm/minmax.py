@@ -7,19 +7,21 @@ unbiased estimate.  Signatures are cut into ``BANDS`` bands of ``ROWS`` values;
 texts that share a band are candidates.  At similarity 0.8 a pair is missed with
 a probability of (1 - 0.8^6)^36, about 2 in 100,000.
 
-Links are confirmed on full sets, and only as many as components need:
-
-1. texts with equal sets are one node;
-2. in each bucket, members look to one centre (the least node); each member's
-   best centre (most buckets shared) is verified: one check per member;
-3. components of these links; then in buckets that still hold several
-   components, every pair across components is verified, each member outside
-   the bucket's largest component against all others.  Pairs within one
-   component cannot change the result, so no link between components is lost;
-4. components of all links.
-
-So a group of thousands of near copies costs one check per member, not one per
-pair.  Buckets are met by joins that AQE can split, counts are pre-aggregated.
+Links are confirmed on full sets, in blocks of bounded size:
+
+1. texts with equal sets are one node; nodes joined by shared buckets (each
+   member to its bucket's least node) form a cluster of candidates;
+2. a cluster of up to ``BLOCK`` nodes and ``BLOCK_SHINGLES`` shingles goes to
+   one task, which finds all its links by an inverted index of shingles;
+3. of a larger cluster, every node is first checked against the cluster's most
+   central one.  Those that do not link to it are queries against all nodes of
+   the cluster, block of queries by block of nodes.  Two nodes that both link to
+   the central one are connected already, so no link between components is
+   lost.  A task emits one edge from a node to its local root, never pairs.
+
+So a group of thousands of near copies costs one check per member and some
+blocks for its outliers.  Buckets are met by joins that AQE can split, counts
+are pre-aggregated.
 
 Defined results: a text without words, or a null one, has an empty set and
 links with nothing; with fewer words than a shingle has, the whole sequence is
@@ -40,6 +42,8 @@ from tokenmeter.llm.components import components
 
 BANDS, ROWS = 36, 6
 PERMUTATIONS = BANDS * ROWS // 2
+#: Most nodes of a block, and shingles of a cluster held in one task.
+BLOCK, BLOCK_SHINGLES = 512, 2_000_000
 #: Shingles signed at a time: the signing table is PERMUTATIONS x this.
 SIGN_STEP = 16_384
 SIGNED = "doc_id bigint, text_hash bigint, n bigint, set_id binary, bands array<bigint>"
@@ -114,28 +118,84 @@ def signed(docs: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(run, SIGNED)
 
 
-def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity; ``texts`` (set_id,
-    text) has one row per node."""
+def local_roots(placed: DataFrame, width: int, percent: int) -> DataFrame:
+    """(a, b) edges of each group of ``placed`` (part, set_id, text, member,
+    query): from a node to the least node of its component among the links of
+    the group's queries to its members."""
+
+    def roots(rows: list[tuple], own: Shingler) -> list[tuple]:
+        np = own.np
+        ids = [r[0] for r in rows]
+        sets = [own.shingles(r[1]) for r in rows]
+        long = np.array([len(s) for s in sets])
+        member = np.flatnonzero([r[2] for r in rows])
+        if not len(member):
+            return []
+        flat = np.concatenate([sets[i] for i in member])
+        owner = np.repeat(member, long[member])
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        parent = list(range(len(rows)))
+
+        def find(i: int) -> int:
+            while parent[i] != i:
+                parent[i] = parent[parent[i]]
+                i = parent[i]
+            return i
+
+        for q in np.flatnonzero([r[3] for r in rows]).tolist():
+            lo, hi = np.searchsorted(flat, sets[q], "left"), np.searchsorted(flat, sets[q], "right")
+            n = hi - lo
+            at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+            both = np.bincount(owner[at], minlength=len(rows))
+            for j in np.flatnonzero(100 * both >= percent * (long + long[q] - both)).tolist():
+                if both[j] and (x := find(q)) != (y := find(j)):
+                    parent[max(x, y)] = min(x, y)
+        return [(ids[i], ids[find(i)]) for i in range(len(rows)) if find(i) != i]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
+        own = Shingler(width)
+        last, rows, out = None, [], []
+        made = lambda e: pa.RecordBatch.from_arrays([pa.array([x[k] for x in e], pa.binary()) for k in (0, 1)], ["a", "b"])
+        for batch in batches:
+            cols = [batch.column(i) for i in range(5)]
+            for i in range(len(batch)):
+                part = cols[0][i].as_py()
+                if part != last:
+                    out += roots(rows, own) if len(rows) > 1 else []
+                    last, rows = part, []
+                rows.append(tuple(c[i].as_py() for c in cols[1:]))
+            if out:
+                yield made(out)
+                out = []
+        out += roots(rows, own) if len(rows) > 1 else []
+        if out:
+            yield made(out)
+
+    by_part = placed.select("part", "set_id", "text", "member", "query").repartition("part").sortWithinPartitions("part", "set_id")
+    return by_part.mapInArrow(run, "a binary, b binary")
+
+
+def hub_links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the similarity; every ``a`` has
+    one ``b``, the hub of its cluster."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Shingler(width)
         last, base = None, None
         for batch in batches:
-            a, b, ok = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
-            for i in range(len(a)):
-                if b[i] != last:
-                    last, base = b[i], own.shingles(batch.column(3)[i].as_py())
-                s = own.shingles(batch.column(2)[i].as_py())
-                both = len(np.intersect1d(s, base, assume_unique=True))
+            ok = []
+            for a, b in zip(batch.column(2), batch.column(3)):
+                if (text := b.as_py()) != last:
+                    last, base = text, own.shingles(text)
+                s = own.shingles(a.as_py())
+                both = len(own.np.intersect1d(s, base, assume_unique=True))
                 ok.append(100 * both >= percent * (len(s) + len(base) - both))
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
     left = texts.select(F.col("set_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("set_id").alias("b"), F.col("text").alias("text_b"))
-    met = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    right = texts.join(pairs.select(F.col("b").alias("set_id")).distinct(), "set_id").select(F.col("set_id").alias("b"), F.col("text").alias("text_b"))
+    met = pairs.select("a", "b").join(left, "a").join(written(right, "minmax-hubs"), "b").select("a", "b", "text_a", "text_b")
     return met.mapInArrow(run, "a binary, b binary")
 
 
@@ -147,8 +207,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     nodes = written(rows.where("n > 0").groupBy("set_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.max("n").alias("n"), F.first("bands").alias("bands"),
                                                               F.min("doc_id").alias("least")), "minmax-nodes")
     members = nodes.select("set_id", "n", F.explode("bands").alias("bucket"))
-    shared = written(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("set_id").alias("centre")).where("size > 1").select("bucket", "centre"), "minmax-buckets")
-    members = written(members.join(shared, "bucket").select("bucket", "centre", "set_id", "n"), "minmax-members")
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("set_id").alias("centre")).where("size > 1")
+    shared = written(shared, "minmax-buckets")
+    members = written(members.join(shared, "bucket").select("set_id", "n", "centre", "size"), "minmax-members")
 
     needed = members.select("set_id").distinct().join(nodes.select("set_id", "rep"), "set_id")
     needed = written(needed.select("set_id", F.col("rep.doc_id").alias("id"), F.col("rep.text_hash").alias("hash")), "minmax-needed")
@@ -159,22 +220,32 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     if not repeated.isEmpty():  # rows repeated whole: one text a node
         texts = written(texts.groupBy("set_id").agg(F.first("text").alias("text")), "minmax-texts")
 
-    votes = members.where("set_id != centre").groupBy("set_id", "centre").agg(F.count(F.lit(1)).alias("votes"))
-    best = votes.groupBy(F.col("set_id").alias("a")).agg(F.max(F.struct("votes", "centre"))["centre"].alias("b"))
-    first = written(verified(written(best, "minmax-pairs"), texts, width, percent), "minmax-links")
-
-    roots = written(components(first), "minmax-roots")
-    placed = written(members.join(roots.select(F.col("node").alias("set_id"), "root"), "set_id", "left")
-                     .select("bucket", "set_id", "n", F.coalesce("root", "set_id").alias("root")), "minmax-placed")
-    parts = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("k"))
-    mixed = written(parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("roots"), F.max(F.struct("k", "root"))["root"].alias("largest")).where("roots > 1").select("bucket", "largest"), "minmax-mixed")
-    across = written(placed.join(mixed, "bucket"), "minmax-across")
-    x, y = across.where("root != largest").alias("x"), across.alias("y")
-    apart = F.expr("x.bucket = y.bucket AND x.root != y.root AND (y.root = y.largest OR x.set_id < y.set_id)")
-    size = F.expr(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
-    pairs = x.join(y, apart & size).select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b")).distinct()
-    second = written(verified(written(pairs, "minmax-cross"), texts, width, percent), "minmax-links")
-    final = roots if second.isEmpty() else components(first.union(second).union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    candidates = components(members.select(F.col("set_id").alias("a"), F.col("centre").alias("b")))
+    central = members.groupBy("set_id").agg(F.sum("size").alias("central"), F.max("n").alias("n"))
+    cluster = written(central.join(candidates.select(F.col("node").alias("set_id"), F.col("root").alias("cluster")), "set_id"), "minmax-clusters")
+    sizes = cluster.groupBy("cluster").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("shingles"), F.max(F.struct("central", "set_id"))["set_id"].alias("hub"))
+    sizes = written(sizes.withColumn("large", (F.col("k") > BLOCK) | (F.col("shingles") > BLOCK_SHINGLES)), "minmax-sizes")
+    cluster = written(cluster.join(sizes, "cluster").select("cluster", "set_id", "hub", "large", "k"), "minmax-clusters")
+
+    yes, no = F.lit(True), F.lit(False)
+    small = cluster.where("NOT large").select("set_id", F.hex("cluster").alias("part"), yes.alias("member"), yes.alias("query"))
+    links = written(local_roots(small.join(texts, "set_id"), width, percent), "minmax-links")
+    crowd = cluster.where("large")
+    if not crowd.isEmpty():
+        to_hub = written(crowd.where("set_id != hub").select(F.col("set_id").alias("a"), F.col("hub").alias("b")), "minmax-to-hub")
+        near = written(hub_links(to_hub, texts, width, percent), "minmax-near")
+        far = to_hub.join(near.select("a"), "a", "left_anti").select(F.col("a").alias("set_id"), yes.alias("far"))
+        crowd = crowd.join(far, "set_id", "left").withColumn("far", F.coalesce("far", no))
+        queries = crowd.where("far").groupBy("cluster").agg(F.count(F.lit(1)).alias("q"))
+        crowd = written(crowd.join(queries, "cluster").withColumns({"kb": F.ceil(F.col("k") / BLOCK), "qb": F.ceil(F.col("q") / BLOCK)}), "minmax-crowds")
+        block = lambda c: F.pmod(F.xxhash64("set_id"), F.col(c))
+        part = lambda m, q: F.concat_ws("|", F.hex("cluster"), m.cast("string"), q.cast("string")).alias("part")
+        upto = lambda c: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(c) - 1)).alias("other")
+        as_member = crowd.select("cluster", "set_id", block("kb").alias("own"), upto("qb")).select("set_id", part(F.col("own"), F.col("other")), yes.alias("member"), no.alias("query"))
+        as_query = crowd.where("far").select("cluster", "set_id", block("qb").alias("own"), upto("kb")).select("set_id", part(F.col("other"), F.col("own")), no.alias("member"), yes.alias("query"))
+        outliers = written(local_roots(as_member.union(as_query).join(texts, "set_id"), width, percent), "minmax-outliers")
+        links = links.union(near).union(outliers)
+    final = components(links)
 
     classes = nodes.select("set_id", "least").join(final.select(F.col("node").alias("set_id"), "root"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     classes = written(classes, "minmax-classes")
