@@ -220,8 +220,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     if not repeated.isEmpty():  # rows repeated whole: one text a node
         texts = written(texts.groupBy("set_id").agg(F.first("text").alias("text")), "minmax-texts")
 
-    candidates = components(members.select(F.col("set_id").alias("a"), F.col("centre").alias("b")))
-    central = members.groupBy("set_id").agg(F.sum("size").alias("central"), F.max("n").alias("n"))
+    # A node's centres (at most one a band) hang on the least of them; nodes of
+    # one group share most centres, so few different links are left.
+    central = members.groupBy("set_id").agg(F.sum("size").alias("central"), F.max("n").alias("n"), F.collect_set("centre").alias("centres"))
+    central = written(central.withColumn("least", F.array_min("centres")), "minmax-central")
+    shared = central.select(F.explode("centres").alias("a"), F.col("least").alias("b")).distinct()
+    candidates = components(shared.union(central.select(F.col("set_id").alias("a"), F.col("least").alias("b"))))
+    central = central.drop("centres", "least")
     cluster = written(central.join(candidates.select(F.col("node").alias("set_id"), F.col("root").alias("cluster")), "set_id"), "minmax-clusters")
     sizes = cluster.groupBy("cluster").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("shingles"), F.max(F.struct("central", "set_id"))["set_id"].alias("hub"))
     sizes = written(sizes.withColumn("large", (F.col("k") > BLOCK) | (F.col("shingles") > BLOCK_SHINGLES)), "minmax-sizes")
