@@ -8,12 +8,11 @@ merge.  That is quadratic in the length of a word, so words beyond
 ``SHORT_WORD`` bytes take the same merges from a heap over linked parts.
 
 Words repeat, so a task keeps the packed ids of words it has met, up to
-``CACHE_WORDS`` of them (then it starts afresh: memory stays bounded).
+``CACHE_WORDS`` of them: memory stays bounded, and common words come early.
 
-No shuffle: the work is one expression over the text column, so rows, other
-columns and their order are untouched, whatever they are called.
+No shuffle: each row is read and answered where it lies.
 
-Defined results: a null text encodes as the empty text (no ids); repeated rows
+Defined results (other columns are not read): a null text encodes as the empty text (no ids); repeated rows
 give repeated results; an empty table gives an empty table; texts of any length
 are encoded whole; the strings of special tokens in a text become their ids,
 as the public library does by default."""
@@ -26,13 +25,16 @@ import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
+
+from tokenmeter.llm.common import release
 
 SHORT_WORD = 256
 CACHE_WORDS = 400_000
-#: Texts handed to one step inside a batch, so that its lists stay small.
-STEP_CHARS = 4_000_000
+#: Characters of text answered in one output batch.
+STEP_CHARS = 2_000_000
 
 # The split pattern of the byte-level pre-tokenizer.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -126,10 +128,8 @@ class WordCache(dict):
         self.make, self.most = make, most
 
     def __missing__(self, word):
-        if len(self) >= self.most:
-            self.clear()
         made = self.make(word)
-        if len(word) <= 64:
+        if len(self) < self.most and len(word) <= 64:  # common words come early
             self[word] = made
         return made
 
@@ -165,43 +165,37 @@ class Codec:
         return b"".join(map(self.table.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
-ENCODED = "struct<token_ids: binary, decoded: string>"
+def read_spec(path: str) -> str:
+    """A tokenizer file: bounded by its vocabulary, read once by the driver and
+    shipped with the task (the executors need not have the file)."""
+    with open(path, encoding="utf-8") as f:
+        return f.read()
 
 
-def codec_column(spec: str, text: Column) -> Column:
-    """``struct(token_ids, decoded)`` of a text column: ids as packed
-    little-endian unsigned 32-bit integers, and the text decoded from them."""
+def encode_documents(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, token_ids, decoded) of every row: ids as packed little-endian
+    unsigned 32-bit integers, and the text decoded from them.  Results leave in
+    batches of about ``STEP_CHARS``, whatever the size of the input's."""
 
-    @F.arrow_udf(ENCODED)
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(spec)
         for batch in batches:
-            done, at = [], 0
+            at = 0
             while at < len(batch):
-                ids, back, chars = [], [], 0
+                begin, ids, back, chars = at, [], [], 0
                 while at < len(batch) and chars < STEP_CHARS:
-                    text = batch[at].as_py() or ""
+                    text = batch.column(1)[at].as_py()
                     ids.append(codec.encode(text))
                     back.append(codec.decode(ids[-1]))
                     chars, at = chars + len(text) + 1, at + 1
-                done.append(pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(back, pa.string())],
-                                                       ["token_ids", "decoded"]))
-            yield pa.concat_arrays(done) if done else pa.array([], pa.struct([("token_ids", pa.binary()), ("decoded", pa.string())]))
-
-    return run(F.coalesce(text.cast("string"), F.lit("")))
-
-
-def read_spec(path: str) -> str:
-    """A tokenizer file: bounded by its vocabulary, read once by the driver and
-    shipped with the task (the executors need not have the file)."""
-    with open(path, encoding="utf-8") as f:
-        return f.read()
-
-
-def encode_documents(docs: DataFrame, spec: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, token_ids, decoded) of every row."""
-    made = docs.select(docs[id_col], codec_column(spec, docs[text_col]).alias("made"))
-    return made.select(id_col, F.col("made.token_ids").alias("token_ids"), F.col("made.decoded").alias("decoded"))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, at - begin), pa.array(ids, pa.binary()), pa.array(back, pa.string())], names)
+        codec = None
+        release()
+
+    names = [id_col, "token_ids", "decoded"]
+    rows = docs.select(docs[id_col], F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("__text"))
+    schema = StructType([rows.schema[0], StructField("token_ids", BinaryType()), StructField("decoded", StringType())])
+    return rows.mapInArrow(run, schema)
 
 
 def digest(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:

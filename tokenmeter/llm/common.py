@@ -38,5 +38,20 @@ def ascii_lower(c: Column) -> Column:
     return F.when(F.octet_length(c) == F.length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
+def release() -> None:
+    """Give freed memory back to the system at the end of a task: workers are
+    reused, and what one stage's worker keeps is missing in the next stage."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim is not None:
+        trim(0)
+
+
 def text_of(docs: DataFrame, column: str = "text") -> Column:
     return F.coalesce(docs[column].cast("string"), F.lit(""))

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenmeter.llm.common import maybe_broadcast, written
+from tokenmeter.llm.common import maybe_broadcast, release, written
 from tokenmeter.llm.components import components
 
 BANDS, ROWS = 36, 6
@@ -52,7 +52,7 @@ SIGNED = "doc_id bigint, text_hash bigint, n bigint, set_id binary, bands array<
 class Shingler:
     """Shingle sets and signatures, for one task."""
 
-    def __init__(self, width: int, words_kept: int = 500_000):
+    def __init__(self, width: int, words_kept: int = 200_000):
         import numpy as np
         import xxhash
 
@@ -113,6 +113,7 @@ def signed(docs: DataFrame, width: int) -> DataFrame:
                 ids.append(own.digest(s.tobytes()) if len(s) else None)
                 bands.append(own.bands(s).view("int64") if len(s) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names)
+        release()
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     return rows.mapInArrow(run, SIGNED)
@@ -171,6 +172,7 @@ def local_roots(placed: DataFrame, width: int, percent: int) -> DataFrame:
         out += roots(rows, own) if len(rows) > 1 else []
         if out:
             yield made(out)
+        release()
 
     by_part = placed.select("part", "set_id", "text", "member", "query").repartition("part").sortWithinPartitions("part", "set_id")
     return by_part.mapInArrow(run, "a binary, b binary")
@@ -192,6 +194,7 @@ def hub_links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
                 both = len(own.np.intersect1d(s, base, assume_unique=True))
                 ok.append(100 * both >= percent * (len(s) + len(base) - both))
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+        release()
 
     left = texts.select(F.col("set_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.join(pairs.select(F.col("b").alias("set_id")).distinct(), "set_id").select(F.col("set_id").alias("b"), F.col("text").alias("text_b"))

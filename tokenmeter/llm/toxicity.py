@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenmeter.llm.common import maybe_broadcast
+from tokenmeter.llm.common import maybe_broadcast, release
 
 SAMPLE = 12_000
 LEAST = 6
@@ -214,6 +214,7 @@ def patterns_column(grammar: Grammar, text: Column) -> Column:
         own = Grammar(lexicon)
         for batch in batches:
             yield pa.array([" ".join(sorted({k for k, _ in own.patterns(t.as_py() or "")})) for t in batch], pa.string())
+        release()
 
     return run(text)
 
@@ -226,6 +227,7 @@ def score_column(grammar: Grammar, text: Column) -> Column:
         own = Grammar(*parts)
         for batch in batches:
             yield pa.array([own.score(t.as_py() or "") for t in batch], pa.float64())
+        release()
 
     return run(F.coalesce(text.cast("string"), F.lit("")))
 
