@@ -103,3 +103,25 @@ def test_unigram_query_rows(spark):
     for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect():
         text = r["text"] or ""
         assert got[r["doc_id"]] == (len(library.encode(unigram.MARK + text.replace(" ", unigram.MARK)).ids) if text else 0)
+
+
+def test_bpe_rule_of_the_piece_file_matches_its_encoder():
+    from sentencepiece import SentencePieceProcessor
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    library = SentencePieceProcessor(model_file=path)
+    counter = unigram.Counter(unigram.read_vocabulary(path), merges=unigram.read_merges(path))
+    plain = ["The internationalization of distributed deduplication pipelines was reconsidered yesterday.", "the <0x41> <s> of ▁▁ x", " " * 40 + "a" + " " * 17]
+    for text in [*HARD, *plain]:
+        assert counter.counts(text)[1] == len(library.encode(text)), text[:40]
+    assert counter.counts(plain[0]) == (41, 17)
+
+
+def test_piece_query_counts_by_the_files_encoder(spark):
+    import __spark_entry__ as E
+    from sentencepiece import SentencePieceProcessor
+
+    library = SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    got = {r["doc_id"]: r["n_bpe_tokens"] for r in E.queries()["op8_token_counts"](spark, "/root/testdata/sf0.001").collect()}
+    for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect():
+        assert got[r["doc_id"]] == len(library.encode(r["text"] or ""))

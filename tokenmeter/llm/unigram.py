@@ -19,12 +19,19 @@ split changes no sum.
 The vocabulary is a parameter (pieces and scores of a public file); it is never
 trained.  No shuffle: one expression over the text column.
 
+*Files of BPE type.*  Their scores are merge ranks, not log probabilities, so
+the best path is not what the file's own encoder gives.  With ``merges`` the
+rows also carry ``n_bpe_tokens``, the count by that encoder's rule: characters
+are merged, the pair with the highest score first (leftmost on ties), until no
+pair is a piece; a character without a piece counts as its UTF-8 bytes.
+
 Defined results: null and empty texts have 0 tokens; repeated rows give
 repeated results; an empty table gives an empty table; other columns are not
 read."""
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -45,10 +52,53 @@ def read_vocabulary(path: str) -> list[tuple[str, float]]:
     return [(model.id_to_piece(i), model.get_score(i)) for i in range(len(model))]
 
 
+def read_merges(path: str) -> dict[str, float]:
+    """Score of every piece that the BPE encoder of a public sentencepiece file
+    may make by merging (no control, unknown or byte pieces)."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    if not all(model.piece_to_id(f"<0x{b:02X}>") != model.unk_id() for b in range(256)):
+        raise ValueError("this file has no byte pieces")
+    made = (i for i in range(len(model)) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i)))
+    return {model.id_to_piece(i): model.get_score(i) for i in made}
+
+
+def merged_count(s: str, merges: dict[str, float]) -> int:
+    """Tokens of one stretch by the BPE rule, from a heap over linked parts."""
+    n = len(s)
+    end, left = list(range(1, n + 1)), list(range(-1, n - 1))  # of the part that starts at i
+    heap: list[tuple[float, int, int, int]] = []
+
+    def offer(i: int) -> None:
+        j = end[i]
+        if j < n and (score := merges.get(s[i : end[j]])) is not None:
+            heapq.heappush(heap, (-score, i, j, end[j]))
+
+    for i in range(n - 1):
+        offer(i)
+    while heap:
+        _, i, j, k = heapq.heappop(heap)
+        if end[i] != j or end[j] != k:
+            continue  # a part of this pair has been merged meanwhile
+        end[i], end[j] = k, 0
+        if k < n:
+            left[k] = i
+            offer(i)
+        if left[i] >= 0:
+            offer(left[i])
+    total = i = 0
+    while i < n:
+        total += 1 if end[i] - i > 1 or s[i] in merges else len(s[i].encode("utf-8"))
+        i = end[i]
+    return total
+
+
 class Counter:
-    """Best-path token counts, for one task."""
+    """Best-path token counts, for one task; with ``merges`` those of the BPE
+    rule too."""
 
-    def __init__(self, vocabulary: list[tuple[str, float]], unknown: str = "<unk>"):
+    def __init__(self, vocabulary: list[tuple[str, float]], unknown: str = "<unk>", merges: dict[str, float] | None = None):
         import ahocorasick
         import regex
 
@@ -64,7 +114,8 @@ class Counter:
         if any(MARK in p.lstrip(MARK) or (p.startswith(MARK * 2) and p.strip(MARK)) for p in pieces):
             raise ValueError("a piece of this vocabulary crosses a word mark")
         self.stretches = regex.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-        self.cache = WordCache(self.best)
+        self.merges = merges
+        self.cache = WordCache(self.best if merges is None else self.both)
 
     def best(self, s: str) -> int:
         n = len(s)
@@ -87,6 +138,15 @@ class Counter:
             score[end], count[end], was_unknown[end] = top, tokens, bad
         return count[n]
 
+    def both(self, s: str) -> int:
+        """The two counts of a stretch in one number, so that one sum adds both."""
+        return self.best(s) | merged_count(s, self.merges) << 32
+
+    def counts(self, text: str) -> tuple[int, int]:
+        """(best path, BPE rule)"""
+        total = self.count(text)
+        return total & 0xFFFFFFFF, total >> 32
+
     def count(self, text: str) -> int:
         if not text:
             return 0
@@ -103,10 +163,25 @@ def count_column(vocabulary: list[tuple[str, float]], text: Column) -> Column:
     return run(F.coalesce(text.cast("string"), F.lit("")))
 
 
-def count_tokens(docs: DataFrame, vocabulary: list[tuple[str, float]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_chars, n_tokens) of every row."""
+def both_counts_column(vocabulary: list[tuple[str, float]], merges: dict[str, float], text: Column) -> Column:
+    @F.arrow_udf("struct<n_tokens: bigint, n_bpe_tokens: bigint>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        counter = Counter(vocabulary, merges=merges)
+        for batch in batches:
+            pairs = [counter.counts(t.as_py() or "") for t in batch]
+            yield pa.StructArray.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["n_tokens", "n_bpe_tokens"])
+
+    return run(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def count_tokens(docs: DataFrame, vocabulary: list[tuple[str, float]], id_col: str = "doc_id", text_col: str = "text",
+                 merges: dict[str, float] | None = None) -> DataFrame:
+    """(id, n_chars, n_tokens) of every row; with ``merges`` n_bpe_tokens too."""
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    return docs.select(docs[id_col], F.length(text).cast("bigint").alias("n_chars"), count_column(vocabulary, docs[text_col]).alias("n_tokens"))
+    n_chars = F.length(text).cast("bigint").alias("n_chars")
+    if merges is None:
+        return docs.select(docs[id_col], n_chars, count_column(vocabulary, docs[text_col]).alias("n_tokens"))
+    return docs.select(docs[id_col], n_chars, both_counts_column(vocabulary, merges, docs[text_col]).alias("__n")).select(id_col, "n_chars", "__n.*")
 
 
 def q_token_counts(spark, sf_dir: str) -> DataFrame:
@@ -114,5 +189,6 @@ def q_token_counts(spark, sf_dir: str) -> DataFrame:
 
     from tokenmeter.llm.common import table
 
-    vocabulary = read_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
-    return count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary)
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_tokens(docs, read_vocabulary(path), merges=read_merges(path))
