@@ -116,3 +116,27 @@ def test_template_tree_rejects_a_bad_branch(spark):
 def test_many_variable_children_share_a_template(spark):
     pages = spark.range(200).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h.net/u/name"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("url"))
     assert [r[0] for r in urls.filter_urls(pages, [("x", "/", "allow")]).select("template").distinct().collect()] == ["h.net/u/*"]
+
+
+def test_template_tree_parts_branches_at_any_depth(spark):
+    """Good and bad sections that part at the fourth segment and at the
+    tenth."""
+    for above in ("/a/b/c", "/d" * 9):
+        rows = [(i, f"http://h.net{above}/ads/{'x' if i % 2 else 'y'}/{i}") for i in range(60)] + [(100 + i, f"http://h.net{above}/news/{'x' if i % 2 else 'y'}/{i}") for i in range(60)]
+        pages = spark.createDataFrame(rows, "page_id long, url string")
+        rules = [("h.net", f"{above}/ads/x", "block"), ("h.net", f"{above}/news/x", "allow")]
+        got = {r["page_id"]: r for r in urls.filter_urls(pages, rules).collect()}
+        assert all(got[i]["verdict"] == "block" for i in range(60)) and all(got[100 + i]["verdict"] == "allow" for i in range(60))
+        assert got[0]["template"] == f"h.net{above}/ads/y/*"
+
+
+def test_deep_paths_below_a_merged_level(spark):
+    names = [chr(97 + i // 26) + chr(97 + i % 26) for i in range(40)]
+    rows = [(10 * i + j, f"http://h.net/u/{n}/p/q/{s}/{'x' if j % 2 else 'y'}") for i, n in enumerate(names) for j, s in enumerate(["ads", "ads", "news", "news"])]
+    pages = spark.createDataFrame([*rows, (9999, "http://h.net/u")], "page_id long, url string")
+    rules = [("h.net", f"/u/{n}/p/q/ads/x", "block") for n in names[:20]] + [("h.net", f"/u/{n}/p/q/news/x", "allow") for n in names[:20]]
+    got = {r["page_id"]: r for r in urls.filter_urls(pages, rules).collect()}
+    assert len(got) == 161
+    for i in range(40):
+        assert got[10 * i]["verdict"] == "block" and got[10 * i + 2]["verdict"] == "allow"
+        assert got[10 * i]["template"] == "h.net/u/*/p/q/ads/y"

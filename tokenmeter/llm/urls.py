@@ -11,8 +11,11 @@ when they are rare or when their labelled share of bad urls does not differ
 from the node's by a two-proportion z-test.  Each template (a path from the
 host to a leaf) is judged by its labelled purity, smoothed towards its parent's
 along the path, up to the host's and the whole table's; it is rejected from
-``REJECT`` on.  Levels beyond ``DEPTH`` form one ``**`` branch that counts them
-all.
+``REJECT`` on.  Levels go on for as long as a node has several raw templates
+one of which has a further segment, so paths of any depth are told apart; a
+node beyond that (nothing in it can merge any more) is finished by one
+expression.  Paths of fewer than ``DEPTH`` segments are smoothed as if they had
+as many.
 
 Everything is grouping and joining of counts: urls are pre-aggregated to
 templates before anything is shuffled by host, so a host with a third of the
@@ -65,21 +68,13 @@ def segments(path: Column) -> Column:
 
 
 def leaf_table(pages: DataFrame) -> DataFrame:
-    """Counts of every raw template: host, s0.., n, bad, good (from ``bad``,
+    """Counts of every raw template: host, segs, n, bad, good (from ``bad``,
     1, 0 or null, of each page)."""
-    keys = ["host", *[f"s{d}" for d in range(DEPTH + 1)]]
-    return pages.groupBy(*keys).agg(
+    return pages.groupBy("host", "segs").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("bad") == 1, 1).otherwise(0)).alias("bad"),
         F.sum(F.when(F.col("bad") == 0, 1).otherwise(0)).alias("good"))
 
 
-def with_levels(pages: DataFrame) -> DataFrame:
-    segs = segments(F.col("path"))
-    level = [F.coalesce(F.get(F.col("segs"), F.lit(d)), F.lit("")).alias(f"s{d}") for d in range(DEPTH)]
-    rest = F.when(F.size("segs") > DEPTH, F.lit("**")).otherwise(F.lit("")).alias(f"s{DEPTH}")
-    return pages.withColumn("segs", segs).select("*", *level, rest).drop("segs")
-
-
 def similar(n: Column, bad: Column, lab: Column, all_bad: Column, all_lab: Column) -> Column:
     """Rare, unlabelled, or a share of bad urls within Z standard errors of the
     rest of the node's children."""
@@ -90,32 +85,51 @@ def similar(n: Column, bad: Column, lab: Column, all_bad: Column, all_lab: Colum
     return (n < RARE) | (lab == 0) | (rest_lab == 0) | (apart <= Z * error)
 
 
+def smoothed(bad: Column, lab: Column, p: Column) -> Column:
+    return (bad + SMOOTH * p) / (lab + SMOOTH)
+
+
+def level_step(leaves: DataFrame, d: int) -> DataFrame:
+    """Leaves moved from their node to its branch for segment ``d``, with the
+    branch's counts (bad_k, lab_k), its raw templates (fan_k), the segments of
+    its longest (deep_k) and its purity."""
+    at = leaves.withColumn("seg", F.coalesce(F.get("segs", F.lit(d)), F.lit("")))
+    child = at.groupBy("node", "seg").agg(F.sum("n").alias("c_n"), F.sum("bad").alias("c_bad"), (F.sum("bad") + F.sum("good")).alias("c_lab"),
+                                          F.count(F.lit(1)).alias("c_fan"), F.max(F.size("segs")).alias("c_deep"))
+    parent = child.groupBy("node").agg(F.count(F.lit(1)).alias("fan"), F.sum("c_bad").alias("p_bad"), F.sum("c_lab").alias("p_lab"))
+    merged = (F.col("fan") > FANOUT) & similar(*(F.col(c) for c in ("c_n", "c_bad", "c_lab", "p_bad", "p_lab")))
+    child = child.join(parent, "node").withColumn("k", F.when(merged, F.lit("*")).otherwise(F.col("seg")))
+    branch = child.groupBy("node", "k").agg(F.sum("c_bad").alias("bad_k"), F.sum("c_lab").alias("lab_k"), F.sum("c_fan").alias("fan_k"), F.max("c_deep").alias("deep_k"))
+    to = child.select("node", "seg", "k").join(branch, ["node", "k"])
+    moved = at.join(to, ["node", "seg"])
+    return moved.select("host", "segs", "n", "bad", "good", F.concat_ws("/", "node", "k").alias("node"), "bad_k", "lab_k", "fan_k", "deep_k",
+                        smoothed(F.col("bad_k"), F.col("lab_k"), F.col("p")).alias("p"))
+
+
 def template_tree(leaves: DataFrame) -> DataFrame:
-    """Leaves with the branch k0.. that each level's segment belongs to."""
-    for d in range(DEPTH):
-        node = ["host", *[f"k{i}" for i in range(d)]]
-        child = leaves.groupBy(*node, f"s{d}").agg(F.sum("n").alias("c_n"), F.sum("bad").alias("c_bad"), (F.sum("bad") + F.sum("good")).alias("c_lab"))
-        parent = child.groupBy(*node).agg(F.count(F.lit(1)).alias("fan"), F.sum("c_bad").alias("p_bad"), F.sum("c_lab").alias("p_lab"))
-        merged = (F.col("fan") > FANOUT) & similar(*(F.col(c) for c in ("c_n", "c_bad", "c_lab", "p_bad", "p_lab")))
-        branch = child.join(parent, node).select(*node, f"s{d}", F.when(merged, F.lit("*")).otherwise(F.col(f"s{d}")).alias(f"k{d}"))
-        leaves = written(leaves.join(branch, [*node, f"s{d}"]), f"urls-level{d}")
-    return leaves
-
-
-def purity(leaves: DataFrame) -> DataFrame:
-    """host, s0.., template, p_bad: the smoothed share of bad urls of each
+    """host, segs, template, p_bad: the smoothed share of bad urls of each
     leaf's template."""
     total = leaves.agg(F.sum("bad"), F.sum("good")).first()  # one row
     bad, good = total[0] or 0, total[1] or 0
-    p = F.lit((bad + 1.0) / (bad + good + 2.0))
-    out, names = leaves, ["host", *[f"k{d}" for d in range(DEPTH)], f"s{DEPTH}"]
-    for d in range(len(names)):
-        node = names[: d + 1]
-        sums = leaves.groupBy(*node).agg(F.sum("bad").alias(f"bad{d}"), (F.sum("bad") + F.sum("good")).alias(f"lab{d}"))
-        out = out.join(sums, node)
-        p = (F.col(f"bad{d}") + SMOOTH * p) / (F.col(f"lab{d}") + SMOOTH)
-    template = F.concat(F.col("host"), F.lit("/"), F.array_join(F.filter(F.array(*names[1:]), lambda s: s != ""), "/"))
-    return out.select("host", *[f"s{d}" for d in range(DEPTH + 1)], template.alias("template"), p.alias("p_bad"))
+    hosts = leaves.groupBy("host").agg(F.sum("bad").alias("h_bad"), (F.sum("bad") + F.sum("good")).alias("h_lab"))
+    p = smoothed(F.col("h_bad"), F.col("h_lab"), F.lit((bad + 1.0) / (bad + good + 2.0)))
+    open_, done, d = leaves.join(hosts, "host").withColumns({"node": F.col("host"), "p": p}).drop("h_bad", "h_lab"), None, 0
+    while True:
+        moved = written(level_step(open_, d), f"urls-level{d}")
+        # Below a node of one raw template, or without further segments, every
+        # node has the same counts: what is left is to smooth on.
+        ended = (F.col("fan_k") == 1) | (F.col("deep_k") <= d + 1)
+        levels = F.greatest(F.lit(max(DEPTH, d) + 1), F.col("deep_k") + 1)
+        p = F.aggregate(F.array_repeat(F.lit(0), levels - (d + 1)), F.col("p"), lambda acc, _: smoothed(F.col("bad_k"), F.col("lab_k"), acc))
+        rest = F.slice("segs", d + 2, F.greatest(F.size("segs"), F.lit(1)))
+        way = F.concat(F.slice(F.split("node", "/"), 2, d + 1), rest)
+        template = F.concat(F.col("host"), F.lit("/"), F.array_join(F.filter(way, lambda s: s != ""), "/"))
+        part = moved.where(ended).select("host", "segs", template.alias("template"), p.alias("p_bad"))
+        done = part if done is None else done.union(part)
+        open_ = moved.where(~ended).drop("bad_k", "lab_k", "fan_k", "deep_k")
+        if open_.isEmpty():
+            return done
+        d += 1
 
 
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -125,10 +139,9 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str
     parts = pages.select(pages[id_col].alias("id"), host_of(url).alias("host"), path_of(url).alias("path"))
     ruled = parts.withColumn("fit", fitting_rule(F.col("host"), F.col("path"), rules))
     bad = F.when(F.col("fit.verdict") == "block", 1).when(F.col("fit.verdict") == "allow", 0)
-    slim = with_levels(ruled.withColumn("bad", bad))
-    judged = written(purity(template_tree(written(leaf_table(slim), "urls-leaves"))), "urls-templates")
-    keys = ["host", *[f"s{d}" for d in range(DEPTH + 1)]]
-    out = slim.join(maybe_broadcast(judged, judged.count()), keys, "left")
+    slim = ruled.withColumn("bad", bad).withColumn("segs", segments(F.col("path")))
+    judged = written(template_tree(written(leaf_table(slim), "urls-leaves")), "urls-templates")
+    out = slim.join(maybe_broadcast(judged, judged.count()), ["host", "segs"], "left")
     verdict = F.coalesce(F.col("fit.verdict"), F.when(F.col("p_bad") >= REJECT, "block").otherwise("allow"))
     return out.select(F.col("id").alias(id_col), "host", "path", F.col("fit.rule").alias("rule"), verdict.alias("verdict"), "template", "p_bad")
 
