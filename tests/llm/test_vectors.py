@@ -83,3 +83,16 @@ def test_query_recall(spark):
     assert V.audit(rows, got) >= 0.9
     links, comps = brute([tuple(r) for r in rows.select("vec_id", "embedding", "label").collect()])
     assert sum(r["n_links"] for r in got.collect()) >= 0.9 * sum(links)
+
+
+def test_no_group_of_a_crowd_holds_it_whole(spark):
+    """Near-equal vectors are guests of every centre: groups stay within two
+    blocks, and every query meets every member once."""
+    rng = np.random.default_rng(5)
+    vecs = crowd(rng, 1500, rng.normal(size=16), 0.01)
+    nodes = spark.createDataFrame([(1, 16, i, v, 1) for i, v in enumerate(vecs)], "label int, long int, node long, embedding array<double>, weight long")
+    groups = V.shards(nodes, 100, 400, V.MARGIN)
+    sizes = [r["count"] for r in groups.groupBy("key").count().collect()]
+    assert max(sizes) <= 2 * 100 * 1.5  # blocks are dealt by hash
+    met = groups.where("query").selectExpr("key", "node").join(groups.where("member").selectExpr("key", "node other"), "key").groupBy("node", "other").count()
+    assert met.agg({"count": "max"}).first()[0] == 1 and met.count() == 1500 * 1500

@@ -7,9 +7,10 @@ Equal vectors are one node with a weight, so copies are never paired.
    until a shard is home to at most ``SHARD`` nodes.  Centres are fitted on at
    most about ``SAMPLE`` nodes of each shard; every node is assigned: home to
    its nearest centre, and a guest of all centres within ``MARGIN`` of that, so
-   shards overlap where links may cross.  A shard that a split does not shrink
-   (a dense crowd) is dealt in blocks instead: every block of members meets
-   every block of queries, so no task holds more than two blocks.
+   shards overlap where links may cross.  A shard whose homes or members a
+   split does not shrink (a dense crowd) is not split again, and one with more
+   than two blocks of members (guests count) is dealt in blocks: every block of
+   members meets every block of queries, so no task holds more than two blocks.
 2. *Graph.*  In each shard the members' nearest candidates are robust-pruned (a
    candidate goes when a kept one is ``ALPHA`` times nearer to it) to ``DEGREE``
    edges, with reverse edges.  A node's edges of all shards are united into one
@@ -121,19 +122,22 @@ def shards(nodes: DataFrame, shard: int, sample: int, margin: float) -> DataFram
     at, done = written(at, "vectors-shards"), None
     before = None
     while True:
-        sizes = at.where("home").groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
+        sizes = at.groupBy("shard").agg(F.sum(F.col("home").cast("int")).alias("n"), F.count(F.lit(1)).alias("m"))
         if before is None:
             sizes = sizes.withColumn("solid", F.lit(False))
         else:
-            parent = before.select(F.col("shard").alias("parent"), F.col("n").alias("parent_n"))
+            parent = before.select(F.col("shard").alias("parent"), F.col("n").alias("parent_n"), F.col("m").alias("parent_m"))
             sizes = sizes.withColumn("parent", F.regexp_extract("shard", r"\A(.*)/[0-9]+\z", 1)).join(parent, "parent")
-            sizes = sizes.select("shard", "n", (F.col("n") > SOLID * F.col("parent_n")).alias("solid"))
+            solid = (F.col("n") > SOLID * F.col("parent_n")) | (F.col("m") > SOLID * F.col("parent_m"))
+            sizes = sizes.select("shard", "n", "m", solid.alias("solid"))
         sizes = written(sizes, "vectors-sizes")
         large = sizes.where((F.col("n") > shard) & ~F.col("solid"))
         n_large = large.count()
         settled = at.join(maybe_broadcast(large, n_large), "shard", "left_anti") if n_large else at
-        solid = sizes.where((F.col("n") > shard) & F.col("solid")).select("shard", F.ceil(F.col("n") / shard).cast("int").alias("blocks"))
-        settled = settled.join(maybe_broadcast(solid, solid.count()), "shard", "left")
+        # Guests of many centres make a shard large whose homes are few.
+        crowded = sizes.where(((F.col("n") > shard) & F.col("solid")) | ((F.col("n") <= shard) & (F.col("m") > 2 * shard)))
+        crowded = crowded.select("shard", F.ceil(F.col("m") / shard).cast("int").alias("blocks"), F.greatest(F.ceil(F.col("n") / shard), F.lit(1)).cast("int").alias("q_blocks"))
+        settled = settled.join(maybe_broadcast(crowded, crowded.count()), "shard", "left")
         done = settled if done is None else done.union(settled)
         if not n_large:
             break
@@ -143,11 +147,11 @@ def shards(nodes: DataFrame, shard: int, sample: int, margin: float) -> DataFram
         centres = written(picked.groupBy("shard").applyInPandas(fit_centres, "shard string, centres array<array<double>>"), "vectors-centres")
         before = sizes
         at = written(assign(part.drop("n"), maybe_broadcast(centres, n_large * FANOUT), margin), "vectors-shards")
-    mine, others = F.pmod(F.xxhash64("node"), F.col("blocks")), F.sequence(F.lit(0), F.col("blocks") - 1)
+    mine, others = (lambda n: F.pmod(F.xxhash64("node"), F.col(n))), (lambda n: F.sequence(F.lit(0), F.col(n) - 1))
     name = lambda m, q: F.concat_ws("|", "shard", m.cast("string"), q.cast("string"))
     role = lambda key, member, query: F.struct(key.alias("key"), F.lit(member).alias("member"), query.alias("query"))
-    as_member = F.transform(others, lambda q: role(name(mine, q), True, F.lit(False)))
-    as_query = F.when(F.col("home"), F.transform(others, lambda m: role(name(m, mine), False, F.lit(True)))).otherwise(F.array())
+    as_member = F.transform(others("q_blocks"), lambda q: role(name(mine("blocks"), q), True, F.lit(False)))
+    as_query = F.when(F.col("home"), F.transform(others("blocks"), lambda m: role(name(m, mine("q_blocks")), False, F.lit(True)))).otherwise(F.array())
     roles = F.when(F.col("blocks").isNull(), F.array(role(F.col("shard"), True, F.col("home")))).otherwise(F.concat(as_member, as_query))
     return done.select("node", "embedding", "weight", F.explode(roles).alias("r")).select("r.key", "node", "embedding", "weight", "r.member", "r.query")
 
