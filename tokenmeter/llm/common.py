@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tokenmeter.session import scratch_path
 
@@ -26,6 +27,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, by: list[str], order: list, name: str) -> DataFrame:
+    """``df`` with ``id`` 0, 1, ... in the given order within equal values of
+    ``by`` (never null).  Rows are numbered per range of a sort, on top of the
+    ranges before, so no task holds all rows of one value."""
+    at = df.orderBy(*by, *order).withColumns({"__part": F.spark_partition_id(), "__row": F.monotonically_increasing_id()})
+    at = written(at, name)
+    sizes = at.groupBy(*by, "__part").agg(F.count(F.lit(1)).alias("__size"))  # a row per range and value in it
+    ahead = sizes.withColumn("__ahead", F.sum("__size").over(Window.partitionBy(*by).orderBy("__part")) - F.col("__size")).drop("__size")
+    own = F.row_number().over(Window.partitionBy(*by, "__part").orderBy("__row"))
+    rows = at.withColumn("__own", own).join(ahead, [*by, "__part"])
+    return rows.select(*df.columns, (F.col("__ahead") + F.col("__own") - 1).alias("id"))
+
+
 def maybe_broadcast(df: DataFrame, rows: int, bound: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only when its counted ``rows`` are within ``bound``;
     beyond it the join is a shuffle join that AQE may split."""

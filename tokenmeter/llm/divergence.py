@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tokenmeter.llm.common import release, table, written
+from tokenmeter.llm.common import numbered, release, table, written
 
 LEAST_DOCS = 10
 TOP_TERMS = 10
@@ -106,17 +106,6 @@ def term_counts(docs: DataFrame) -> DataFrame:
     return parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
-def numbered(terms: DataFrame) -> DataFrame:
-    """(lang, term, total, id): ids 0, 1, ... within the language by descending
-    total.  Rows are numbered per range of the sort, on top of the ranges before."""
-    at = terms.select("lang", "term", "total").orderBy("lang", F.desc("total"), "term")
-    at = written(at.withColumns({"part": F.spark_partition_id(), "row": F.monotonically_increasing_id()}), "divergence-terms")
-    sizes = at.groupBy("lang", "part").agg(F.count(F.lit(1)).alias("size"))  # a row per range and language in it
-    ahead = sizes.withColumn("ahead", F.sum("size").over(Window.partitionBy("lang").orderBy("part")) - F.col("size")).drop("size")
-    own = F.row_number().over(Window.partitionBy("lang", "part").orderBy("row"))
-    return at.withColumn("own", own).join(ahead, ["lang", "part"]).select("lang", "term", "total", (F.col("ahead") + F.col("own") - 1).alias("id"))
-
-
 def shares(count, words):
     """1 + floor(10^9 (count + 2) / words), by long division in steps of 1,000:
     exact in 64 bits."""
@@ -247,7 +236,8 @@ def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP_TERMS, g
     uses more than its language does.  Ties go to the lesser item."""
     counts = written(term_counts(docs), "divergence-counts")
     terms = counts.where("term IS NOT NULL").groupBy("lang", "term").agg(F.sum("n").alias("total"), F.sum("docs").alias("docs")).where(F.col("docs") >= least_docs)
-    kept = written(numbered(terms), "divergence-kept")
+    terms = numbered(terms.select("lang", "term", "total"), ["lang"], [F.desc("total"), "term"], "divergence-terms")
+    kept = written(terms, "divergence-kept")
     leaf = written(counts.join(kept, ["lang", "term"]).select("lang", "source", "id", "n"), "divergence-leaves")
     langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("total").alias("lang_words"))
     groups = counts.where("term IS NULL").select("lang", "source")

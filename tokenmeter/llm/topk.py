@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tokenmeter.llm.common import release, table, written
+from tokenmeter.llm.common import numbered, release, table, written
 
 K = 5
 EVERY = 50
@@ -259,9 +259,8 @@ def search(rows: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE,
     floored = queries.join(floors, "row", "left").withColumn("least", F.coalesce("floor", F.lit(float("-inf"))))
     floored = floored.withColumn("need", F.coalesce(F.when(F.col("floor") > 0, need), F.lit(float("-inf"))))
 
-    # Query blocks of like need: ranges of a sort, about ``block`` rows each.
-    floored = floored.repartitionByRange(max(1, q_blocks), "need", "row").withColumn("b", F.spark_partition_id())
-    floored = written(floored, "topk-queries")
+    # Query blocks of like need: ``block`` rows each.
+    floored = numbered(floored, ["long"], ["need", "row"], "topk-queries").withColumn("b", F.floor(F.col("id") / block)).drop("id")
     cuts = floored.groupBy("long", "b").agg(F.min("need").alias("need"))  # a row per block: the least length it takes
     cuts = cuts.groupBy("long").agg(F.sort_array(F.collect_list(F.struct("need", "b"))).alias("cuts"))
     parts = F.sequence(F.lit(0), F.lit(max(1, stripes) - 1))
