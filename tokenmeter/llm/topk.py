@@ -59,16 +59,31 @@ ROWS = "long int, part bigint, block bigint, role int, row bigint, vec_id bigint
 def integer_rows(rows: DataFrame, scale: int = SCALE) -> DataFrame:
     """(row, vec_id, vector, long, size) of the vectors that take part; ``size``
     is the Euclidean length.  Written: row numbers stay as they are."""
-    e = F.transform(rows["embedding"].cast("array<double>"), lambda x: F.lit(float(scale)) * x)
-    good = rows["embedding"].isNotNull() & F.forall(e, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
-    # Floats of 2^52 and more are whole, and may not fit the long of a floor.
-    floor = lambda x: F.when(F.abs(x) < 2.0**52, F.floor(x).cast("double")).otherwise(x)
-    ints = rows.where(good).select(rows["vec_id"].cast("bigint").alias("vec_id"), F.transform(e, floor).alias("vector"))
-    largest = F.greatest(F.array_max(F.transform("vector", lambda x: F.abs(x))), F.lit(1.0))
-    square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x / largest) * (x / largest))
-    ints = ints.select(F.monotonically_increasing_id().alias("row"), "vec_id", "vector", F.size("vector").alias("long"),
-                       F.coalesce(F.sqrt(square) * largest, F.lit(0.0)).alias("size"))
-    return written(ints, "topk-vectors")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        for batch in batches:
+            lists = batch.column(1)
+            many = np.asarray(lists.value_lengths().fill_null(-1)).astype(np.int64)
+            begin = np.cumsum(np.maximum(many, 0)) - np.maximum(many, 0)
+            flat = np.asarray(lists.flatten().cast(pa.float64()).fill_null(float("nan")))
+            for d in np.unique(many[many >= 0]).tolist():
+                at = np.flatnonzero(many == d)
+                with np.errstate(over="ignore"):
+                    x = np.floor(flat[begin[at][:, None] + np.arange(d)] * float(scale))
+                good = np.isfinite(x).all(axis=1)
+                at, x = at[good], x[good] + 0.0  # no negative zero
+                largest = np.maximum(np.abs(x).max(axis=1, initial=0.0), 1.0)
+                size = np.sqrt(((x / largest[:, None]) ** 2).sum(axis=1)) * largest
+                vectors = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * d, pa.int32()), pa.array(x.ravel()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), vectors, pa.array(np.full(len(at), d), pa.int32()), pa.array(size)], names)
+        release()
+
+    names = ["vec_id", "vector", "long", "size"]
+    given = rows.select(rows["vec_id"].cast("bigint"), rows["embedding"])
+    ints = given.mapInArrow(run, "vec_id bigint, vector array<double>, long int, size double")
+    return written(ints.select(F.monotonically_increasing_id().alias("row"), *names), "topk-vectors")
 
 
 def leading_directions(vectors: DataFrame, counts: list, fit: int = FIT) -> dict:
