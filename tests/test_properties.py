@@ -40,16 +40,16 @@ def python_replay(rows, tiers, lims, blocking=True, admin_bypass=True):
     return out
 
 
-def random_log(seed, n=400, negative=False):
+def random_log(seed, n=400, negative=False, admins=0.1):
     rnd = random.Random(seed)
     start = dt.datetime(2024, 1, 28)
     rows = []
     for i in range(n):
         uid = str(rnd.randrange(6))
         ts = start + dt.timedelta(seconds=rnd.randrange(6 * 86400))  # crosses a month end
-        role = "admin" if rnd.random() < 0.1 else "user"
+        role = "admin" if rnd.random() < admins else "user"
         tok = rnd.randrange(0, 400)
-        if negative and rnd.random() < 0.05:
+        if negative and rnd.random() < (0.05 if negative is True else negative):
             tok = -rnd.randrange(1, 300)
         rows.append((i, uid, ts, role, tok))
     # ties on time exercise the id tie-break
@@ -57,9 +57,12 @@ def random_log(seed, n=400, negative=False):
     return rows
 
 
-@pytest.mark.parametrize("seed,negative,bucket", [(1, False, 60), (2, False, 7), (3, True, 60), (4, True, 3600)])
-def test_replay_matches_sequential_loop(spark, seed, negative, bucket):
-    rows = random_log(seed, negative=negative)
+@pytest.mark.parametrize("seed,negative,bucket,admins", [(1, False, 60, 0.1), (2, False, 7, 0.1), (3, True, 60, 0.1), (4, True, 3600, 0.1), (11, 0.3, 3600, 0.3),
+                                                         (12, True, 3600, 0), (13, 0.4, 20000, 0), (14, 0.4, 20000, 0.2), (15, 0.4, 60, 0)])
+def test_replay_matches_sequential_loop(spark, seed, negative, bucket, admins):
+    """Negative counts of held requests take the closed form, those of requests
+    that no limit holds the composed functions; both equal the literal loop."""
+    rows = random_log(seed, negative=negative, admins=admins)
     tiers = {"0": "pro", "1": "freemium", "2": "enterprise", "3": "gold", "4": "freemium"}
     lims = {"freemium": (900, 3000), "pro": (2000, 8000), "enterprise": (-1, -1)}
     req = spark.createDataFrame(rows, REQ_DDL)

@@ -1,7 +1,8 @@
 """The gate as a sequential loop over one key's time-ordered requests.
 
-Small per-group helper for ``applyInPandas``: the exact replay fallback for
-user-months the closed form does not cover.  It applies the reference's rules
+Small per-group helper: one bucket of a user whose usage at its begin is known
+(the composed replay), or one user's requests of a micro-batch (the keyed
+stream).  It applies the reference's rules
 literally: check the status before the request (S1, equality blocks), record
 the request's tokens only if it is admitted.
 """
@@ -58,7 +59,7 @@ def step(state: dict, day, month, tokens: int, dl: int, ml: int, admin: bool, bl
 
 
 def replay_fn(blocking: bool):
-    """``applyInPandas`` function over one (user, month)."""
+    """``applyInPandas`` function over one bucket of a user."""
     return lambda pdf: replay_group(pdf, blocking)
 
 
