@@ -124,7 +124,7 @@ def annotated_messages(
     from tokenmeter.functions.quota import is_over
     from tokenmeter.operators.extract import recordable, usage_extract
     from tokenmeter.operators.gate import is_admin, outcome_of
-    from tokenmeter.operators.prefix import Hierarchy, running_sums
+    from tokenmeter.operators.prefix import layered_sums
     from tokenmeter.operators.quota import with_status
     from tokenmeter.params import RESET_DAILY, RESET_MONTHLY
 
@@ -136,10 +136,9 @@ def annotated_messages(
     outcome = outcome_of(F.col("__od0") | F.col("__om0"), is_admin(settings, F.col("__role")), settings)
     j = j.withColumn("__blocked", F.col("__session") & (outcome == "blocked"))
     rec = F.when(~F.col("__blocked") & recordable(j), F.try_add(F.col("prompt_tokens"), F.col("completion_tokens")))
-    j = j.select("*", rec.cast("long").alias("__rec"), F.floor(F.col("conv_id") / 1048576).alias("__hi"), F.floor(F.col("conv_id") / 1024).alias("__lo"))
-    h = Hierarchy(("user_id",), "__hi", "__lo", ("conv_id",))
-    after = running_sums(j, h, {"r": F.coalesce(F.col("__rec"), F.lit(0).cast("long"))}, inclusive=True)
-    after = after.withColumns({"tokens_today": F.col("__base_today") + F.col("r__d0"), "tokens_this_month": F.col("__base_month") + F.col("r__d0")})
+    j = j.select("*", rec.cast("long").alias("__rec"))
+    after = layered_sums(j, ["user_id"], "conv_id", F.coalesce(F.col("__rec"), F.lit(0).cast("long")), "__recorded")
+    after = after.withColumns({"tokens_today": F.col("__base_today") + F.col("__recorded"), "tokens_this_month": F.col("__base_month") + F.col("__recorded")})
     after = after.withColumns({"is_over_daily": is_over(F.col("tokens_today"), F.col("daily_limit")),
                                "is_over_monthly": is_over(F.col("tokens_this_month"), F.col("monthly_limit"))})
     kind, warning = warning_text(settings)

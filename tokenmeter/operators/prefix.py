@@ -92,3 +92,32 @@ def running_sums(
         cols += [(p + w).alias(f"{n}__d0"), (p - c + w).alias(f"{n}__d1"), w.alias(f"{n}__d2")]
     drop = [f"__{k}_{n}" for n in names for k in ("v", "w", "p", "c")]
     return out.select("*", *cols).drop(*drop)
+
+
+def layered_sums(rows: DataFrame, partition: list[str], key: str, value: Column, name: str, fan: int = 1024, layers: int = 3) -> DataFrame:
+    """``rows`` with ``name``: the sum of ``value`` over the rows of ``partition`` up
+    to and including this one, in the order of the integer ``key``.
+
+    Keys are cut into buckets of ``fan``, these into buckets of ``fan`` buckets,
+    and so on: a window spans one bucket of rows, or the ``fan`` buckets of a
+    larger one (the last layer those of the partition: with three layers of 1024,
+    one per 2^30 keys).  No window holds all buckets of a user."""
+    zero = F.lit(0).cast("long")
+    at = lambda layer: f"__k{layer}"
+    r = rows.select("*", F.floor(F.col(key) / fan).alias(at(1)), value.cast("long").alias("__v"))
+    upto = Window.partitionBy(*partition, at(1)).orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    tables, totals = [], r.groupBy(*partition, at(1)).agg(F.sum("__v").alias("__t"))
+    for layer in range(1, layers + 1):
+        last = layer == layers
+        if not last:
+            totals = totals.withColumn(at(layer + 1), F.floor(F.col(at(layer)) / fan))
+        within = [*partition] if last else [*partition, at(layer + 1)]
+        earlier = Window.partitionBy(*within).orderBy(at(layer)).rowsBetween(Window.unboundedPreceding, -1)
+        tables.append(totals.select(*within, at(layer), F.coalesce(F.sum("__t").over(earlier), zero).alias("__p")))
+        totals = totals.groupBy(*within).agg(F.sum("__t").alias("__t"))
+    offsets = tables.pop()
+    for layer in range(layers - 1, 0, -1):
+        above = offsets.withColumnRenamed("__p", "__above")
+        offsets = tables.pop().join(above, [*partition, at(layer + 1)]).select(*partition, at(layer), (F.col("__p") + F.col("__above")).alias("__p"))
+    r = r.withColumn("__w", F.coalesce(F.sum("__v").over(upto), zero)).join(offsets, [*partition, at(1)])
+    return r.select(*rows.columns, (F.col("__w") + F.col("__p")).alias(name))
