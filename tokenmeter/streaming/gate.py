@@ -14,8 +14,9 @@ folders (overwrite); a retried batch recomputes from the same input and
 replaces what it wrote.  A missing earlier folder fails the job.  The sums are
 derived from the decisions as written, not from a second replay.
 
-Carried days expire only against ``keep_from`` (a clock the caller owns), never
-against times found in the data."""
+Carried days expire against the clock ``today`` (by default the wall clock), never
+against times found in the data: days before the month of ``KEEP_DAYS`` ago are
+no longer read."""
 
 from __future__ import annotations
 
@@ -31,6 +32,7 @@ from tokenmeter.sources.store import write_version
 from tokenmeter.streaming.batches import BatchTable
 from tokenmeter.streaming.io import batch_folder
 
+KEEP_DAYS = 31
 CARRY_SCHEMA = "user_id string, day date, used bigint"
 
 
@@ -66,11 +68,19 @@ def gate_batch(groups: DataFrame, limits: DataFrame, sink: str, state_path: str,
     return run
 
 
+def utc_today() -> dt.date:
+    return dt.datetime.now(dt.timezone.utc).date()
+
+
 def start_stream_gate(requests: DataFrame, groups: DataFrame, limits: DataFrame, sink: str, state_path: str,
                       checkpoint: str, settings: QuotaSettings = QuotaSettings(),
-                      keep_from: Callable[[], dt.date] | None = None):
+                      today: Callable[[], dt.date] = utc_today, keep_days: int = KEEP_DAYS):
     """The stream gate as a ``DataStreamWriter`` (caller picks the trigger).
     The tier side is written once, not evaluated again by every batch."""
+
+    def keep_from() -> dt.date:
+        return (today() - dt.timedelta(days=keep_days)).replace(day=1)
+
     spark = requests.sparkSession
     known = spark.read.schema(groups.schema).parquet(write_version(groups, spark, "stream-groups"))
     return (

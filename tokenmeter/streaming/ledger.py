@@ -6,8 +6,11 @@ retried batch replaces exactly what it wrote before: the append and the
 registration stay together (S22) and are idempotent per batch.  A batch reads
 the registrations of all batches before it, and fails if one is missing, so a
 user is registered once.  Across batches a repeated body is recorded again
-(S21) unless the caller names a request id: then a body whose id an earlier
-row of the ledger carries is not recorded again (D7).
+(S21) unless the caller gives a horizon: then a body whose request id arrived
+within that time before is not recorded again (D7).  Spark's state store keeps
+the ids of the horizon and drops older ones, so the state does not grow with the
+history.  Arrival is the micro-batch's own time, so no body comes too late to
+be recorded; ``received_at`` names a column instead.
 """
 
 from __future__ import annotations
@@ -22,40 +25,39 @@ from tokenmeter.sources.store import with_usage_date, write_version
 from tokenmeter.streaming.batches import BatchTable
 from tokenmeter.streaming.io import batch_folder
 
-ID_SCHEMA = "id bigint"
-
-
 def registrations(spark: SparkSession, groups_path: str) -> BatchTable:
     """New tier rows, one part per batch; users of different parts differ."""
     return BatchTable(spark, groups_path, GROUPS, lambda g: g)
 
 
-def ingest_batch(spark: SparkSession, ledger_path: str, groups_path: str, base_groups: DataFrame, recorded_at: Column,
-                 once: bool = False):
+def ingest_batch(spark: SparkSession, ledger_path: str, groups_path: str, base_groups: DataFrame, recorded_at: Column):
     registered = registrations(spark, groups_path)
-    recorded = BatchTable(spark, f"{ledger_path}-ids", ID_SCHEMA, lambda ids: ids)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        rows = record_usage(usage_extract(batch), recorded_at)
-        if once:
-            rows = rows.dropDuplicates(["id"]).join(recorded.before(batch_id), "id", "left_anti")
-        rows = rows.persist()
-        with_usage_date(rows).write.mode("overwrite").partitionBy("usage_date").parquet(batch_folder(ledger_path, batch_id))
+        rows = with_usage_date(record_usage(usage_extract(batch), recorded_at))
+        out = batch_folder(ledger_path, batch_id)
+        rows.write.mode("overwrite").partitionBy("usage_date").parquet(out)
+        users = spark.read.schema(rows.schema).parquet(out).select("user_id")
         known = base_groups.select("user_id").unionByName(registered.before(batch_id).select("user_id"))
-        registered.write(new_users(known, rows, assigned_at=recorded_at), batch_id)
-        if once:
-            recorded.write(rows.select("id"), batch_id)
-        rows.unpersist()
+        registered.write(new_users(known, users, assigned_at=recorded_at), batch_id)
 
     return run
 
 
+def once_within(bodies_stream: DataFrame, horizon: str, key: str = "conv_id", received_at: str | None = None) -> DataFrame:
+    """Bodies whose id did not arrive within ``horizon`` before."""
+    at = F.current_timestamp() if received_at is None else F.col(received_at).cast("timestamp")
+    stamped = bodies_stream.withColumn("__received", at).withWatermark("__received", horizon)
+    return stamped.dropDuplicatesWithinWatermark([key]).drop("__received")
+
+
 def start_ledger_ingest(spark, bodies_stream: DataFrame, ledger_path: str, groups_path: str, base_groups: DataFrame,
-                        checkpoint: str, recorded_at: Column | None = None, once: bool = False):
+                        checkpoint: str, recorded_at: Column | None = None, once: str | None = None, received_at: str | None = None):
     at = recorded_at if recorded_at is not None else F.localtimestamp()
     users = base_groups.select("user_id")
     known = spark.read.schema(users.schema).parquet(write_version(users, spark, "stream-known-users"))
+    bodies = bodies_stream if once is None else once_within(bodies_stream, once, received_at=received_at)
     return (
-        bodies_stream.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(ingest_batch(spark, ledger_path, groups_path, known, at, once))
+        bodies.writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(ingest_batch(spark, ledger_path, groups_path, known, at))
     )
