@@ -43,8 +43,14 @@ def _limits(limits: DataFrame) -> DataFrame:
 
 def usage_summary(ledger: DataFrame, groups: DataFrame, limits: DataFrame, clock: Clock) -> DataFrame:
     """O-32: one row per user that has a tier row whose tier exists."""
+    return summary_of(period_totals(ledger, clock), groups, limits)
+
+
+def summary_of(totals: DataFrame, groups: DataFrame, limits: DataFrame) -> DataFrame:
+    """O-32 over given period totals (user_id, tokens_today, tokens_this_month),
+    e.g. those a ``UsageStore`` maintains."""
     tiered = groups.select("user_id", "group_name").join(_limits(limits), "group_name")
-    s = tiered.join(period_totals(ledger, clock), "user_id", "left")
+    s = tiered.join(totals, "user_id", "left")
     today = F.coalesce(F.col("tokens_today"), F.lit(0).cast("long"))
     month = F.coalesce(F.col("tokens_this_month"), F.lit(0).cast("long"))
     return s.select(
@@ -101,7 +107,12 @@ def user_status(ledger: DataFrame, groups: DataFrame, limits: DataFrame, clock:
         ledger, groups = ledger.filter(F.col("user_id").isin(users)), groups.filter(F.col("user_id").isin(users))
     elif users is not None:
         ledger, groups = ledger.join(users, "user_id", "left_semi"), groups.join(users, "user_id", "left_semi")
-    both = groups.select("user_id", "group_name").join(period_totals(ledger, clock), "user_id", "full_outer")
+    return status_of(period_totals(ledger, clock), groups, limits, settings)
+
+
+def status_of(totals: DataFrame, groups: DataFrame, limits: DataFrame, settings: QuotaSettings = QuotaSettings()) -> DataFrame:
+    """The rows of ``user_status`` over given period totals."""
+    both = groups.select("user_id", "group_name").join(totals, "user_id", "full_outer")
     tier = F.coalesce(F.col("group_name"), F.lit(settings.default_group))
     return both.withColumn("group_name", tier).join(_limits(limits), "group_name", "left").select(
         "user_id", "group_name", F.coalesce("daily_token_limit", F.lit(FALLBACK_DAILY_LIMIT).cast("long")).alias("daily_limit"),
