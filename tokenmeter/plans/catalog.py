@@ -197,6 +197,36 @@ def q_ledger_store(spark, sf_dir):
     return store.read_ledger(spark, path).select(*ledger.columns)
 
 
+def _usage_store(spark, sf_dir, purged: bool):
+    """The ledger stored in three appends, the second one repeated, with rollups."""
+    from tokenmeter.session import scratch_path
+    from tokenmeter.sources.usage_store import UsageStore
+
+    ledger = _inputs(spark, sf_dir)[0]
+    store = UsageStore(spark, scratch_path(spark, "tables", "usage-store"), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ledger.schema))
+    for n in (0, 1, 1, 2):
+        store.append(ledger.filter(F.col("id") % 3 == n), n)
+    if purged:
+        store.purge(RETENTION_CLOCK, RETENTION_DAYS + 5)
+        store.purge(RETENTION_CLOCK, RETENTION_DAYS)
+    return store
+
+
+def q_purged_usage_daily(spark, sf_dir):
+    """Daily sums after two purges, by subtraction."""
+    return _usage_store(spark, sf_dir, purged=True).daily()
+
+
+def q_purged_usage_monthly(spark, sf_dir):
+    return _usage_store(spark, sf_dir, purged=True).monthly()
+
+
+def q_usage_summary_maintained(spark, sf_dir):
+    """The summary from folded days and today's partition."""
+    _, groups, limits = _inputs(spark, sf_dir)
+    return quota.summary_of(_usage_store(spark, sf_dir, purged=False).period_totals(CLOCK), groups, limits)
+
+
 def q_view_user_usage(spark, sf_dir):
     """A user's usage, asked of the named view."""
     from tokenmeter.plans.views import register_views
@@ -212,6 +242,51 @@ def q_view_near_limits(spark, sf_dir):
     return spark.sql("SELECT n.user_id, n.group_name, d.usage_date, d.total_tokens FROM users_near_limit n JOIN usage_daily d USING (user_id)")
 
 
+def q_sql_user_usage_status(spark, sf_dir):
+    """The status function asked in SQL for each row of a table of ids."""
+    from tokenmeter.plans.functions import register_functions
+
+    register_functions(spark, *_inputs(spark, sf_dir), CLOCK)
+    fx.request_ids(spark, sf_dir).createOrReplaceTempView("asked_users")
+    return spark.sql("SELECT a.user_id, s.* FROM (SELECT DISTINCT user_id FROM asked_users) a, LATERAL get_user_usage_status(a.user_id) s")
+
+
+def q_sql_record_usage(spark, sf_dir):
+    """Ledger rows of the recordable responses, made by the SQL function."""
+    from tokenmeter.plans.functions import register_functions
+
+    register_functions(spark, *_inputs(spark, sf_dir), CLOCK)
+    extracted = _extracted(spark, sf_dir)
+    extracted.filter(extract.recordable(extracted)).createOrReplaceTempView("responses")
+    return spark.sql("""SELECT r.conv_id AS id, u.* FROM responses r,
+        LATERAL record_usage(r.user_id, r.prompt_tokens, r.completion_tokens, r.model_id, NULL, r.chat_id) u""")
+
+
+def q_sql_cleanup(spark, sf_dir):
+    """Rows the purge would delete and keep, asked in SQL."""
+    from tokenmeter.plans.functions import register_functions
+
+    register_functions(spark, *_inputs(spark, sf_dir), RETENTION_CLOCK)
+    return spark.sql(f"""SELECT c.deleted_count, k.kept FROM cleanup_old_usage_records({RETENTION_DAYS}) c,
+        (SELECT count(*) AS kept FROM kept_usage_records({RETENTION_DAYS})) k""")
+
+
+def q_tier_store(spark, sf_dir):
+    """Tiers in buckets: a third of the users register when first seen, then a
+    fifth of all move to another tier."""
+    from tokenmeter.session import scratch_path
+    from tokenmeter.sources.tier_store import TierStore
+
+    ledger = _inputs(spark, sf_dir)[0]
+    rows = fx.user_group_rows(ledger)
+    low = F.col("user_id").cast("int") % 3 == 0
+    store = TierStore(spark, scratch_path(spark, "tables", "tiers"), buckets=8)
+    store.create(rows.filter(~low))
+    store.register(ledger.filter(low), ts_ntz(CLOCK.day_start))
+    store.upsert(fx.tier_change_batch(ledger.filter(F.col("user_id").cast("int") % 5 == 0)), CLOCK)
+    return store.read()
+
+
 def q_annotated_messages(spark, sf_dir):
     ledger, groups, limits = _inputs(spark, sf_dir)
     out = notices.annotated_messages(fx.bodies(spark, sf_dir), ledger, groups, limits, CLOCK)
@@ -253,6 +328,25 @@ def q_stream_usage_monthly(spark, sf_dir):
     return monthly_from_daily(_daily_stream(spark, sf_dir))
 
 
+def q_stream_usage_windowed(spark, sf_dir):
+    """Daily usage by a stateful windowed aggregate.  Three arrivals: the first and
+    third come in order of time, the second mixes all days; rows without a time
+    are in each."""
+    from tokenmeter.session import scratch_path
+    from tokenmeter.sources.tables import read_table
+    from tokenmeter.streaming.io import file_stream
+    from tokenmeter.streaming.windows import WindowedDaily
+
+    configure(spark)
+    stream, landing = WindowedDaily(spark), scratch_path(spark, "landing", "windowed")
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value", "props"])
+    mixed, early = F.col("event_id") % 5 == 0, F.coalesce(F.col("ts") < ts_ntz(CLOCK.as_of), F.lit(True))
+    for arrival in (~mixed & early, mixed, ~mixed & ~early):
+        ev.filter(arrival).write.mode("append").parquet(landing)
+        stream.feed(fx.late_ledger(file_stream(spark, landing, "*.parquet", files_per_trigger=None, schema=ev.schema)))
+    return stream.daily()
+
+
 def _ledger_stream(spark, sf_dir) -> tuple[str, str]:
     """Bodies land in three arrivals, each with its repeats of the one before;
     returns the folders of the ledger and of the registrations."""
@@ -265,7 +359,7 @@ def _ledger_stream(spark, sf_dir) -> tuple[str, str]:
     ledger_path, groups_path = scratch_path(spark, "tables", "ledger"), scratch_path(spark, "tables", "registrations")
     checkpoint = scratch_path(spark, "checkpoints", "ledger")
     _in_turn(spark, bodies, "bodies", 3, lambda part: run_available(start_ledger_ingest(
-        spark, part.union(part), ledger_path, groups_path, groups, checkpoint, recorded_at=ts_ntz(CLOCK.as_of), once=True)))
+        spark, part.union(part), ledger_path, groups_path, groups, checkpoint, recorded_at=ts_ntz(CLOCK.as_of), once="7 days")))
     return ledger_path, groups_path
 
 
@@ -282,30 +376,47 @@ def q_stream_registrations(spark, sf_dir):
     return registrations(spark, _ledger_stream(spark, sf_dir)[1]).all()
 
 
-def q_stream_gate(spark, sf_dir):
+def _in_halves(spark, sf_dir, start) -> None:
     """The events arrive in two halves (split at the midpoint of their time
-    span); the stream gate runs over each arrival in turn with one
-    checkpoint, so the second micro-batch continues the first one's days and
-    months through the carry table."""
+    span); the stream of ``start`` runs over each arrival in turn."""
     from tokenmeter.session import scratch_path
     from tokenmeter.sources.tables import read_table
-    from tokenmeter.streaming.gate import start_stream_gate
     from tokenmeter.streaming.io import file_stream, run_available
 
     configure(spark)
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value", "props"])
     groups = fx.user_groups(fx.request_log(spark, sf_dir), every_user=True)
     lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
-    landing, sink, state = (scratch_path(spark, "landing", "events"), scratch_path(spark, "sinks", "gate"),
-                            scratch_path(spark, "state", "gate"))
-    checkpoint = scratch_path(spark, "checkpoints", "gate")
+    landing = scratch_path(spark, "landing", "events")
     halves = [ev] if lo is None else [ev.filter(F.col("ts") < F.lit(lo + (hi - lo) / 2)),
                                       ev.filter(F.col("ts") >= F.lit(lo + (hi - lo) / 2))]
     for part in halves:
         part.write.mode("append").parquet(landing)
         stream = file_stream(spark, landing, "*.parquet", files_per_trigger=None, schema=ev.schema)
-        run_available(start_stream_gate(fx.requests_from_events(stream), groups, fx.usage_limits(spark), sink, state,
-                                        checkpoint))
+        run_available(start(fx.requests_from_events(stream), groups, fx.usage_limits(spark)))
+
+
+def q_stream_gate(spark, sf_dir):
+    """One checkpoint, so the second micro-batch continues the first one's days
+    and months through the carry table."""
+    from tokenmeter.session import scratch_path
+    from tokenmeter.streaming.gate import start_stream_gate
+
+    sink, state, checkpoint = (scratch_path(spark, kind, "gate") for kind in ("sinks", "state", "checkpoints"))
+    _in_halves(spark, sf_dir, lambda requests, groups, limits: start_stream_gate(requests, groups, limits, sink, state, checkpoint,
+                                                                                 today=lambda: CLOCK.as_of_date))
+    return spark.read.parquet(sink).drop("batch_id")
+
+
+def q_stream_gate_keyed(spark, sf_dir):
+    """The same over Spark's keyed state; each half is a run of its own, so the
+    second one restarts from the checkpoint."""
+    from tokenmeter.session import scratch_path
+    from tokenmeter.streaming.keyed import keyed_state, start_keyed_gate
+
+    sink, checkpoint = scratch_path(spark, "sinks", "keyed-gate"), scratch_path(spark, "checkpoints", "keyed-gate")
+    with keyed_state(spark):
+        _in_halves(spark, sf_dir, lambda requests, groups, limits: start_keyed_gate(requests, groups, limits, sink, checkpoint))
     return spark.read.parquet(sink).drop("batch_id")
 
 
@@ -339,12 +450,21 @@ QUERIES: dict[str, Query] = {
     "retention_deleted_count": q_retention_deleted_count,
     "ledger_violations": q_ledger_violations,
     "ledger_store": q_ledger_store,
+    "purged_usage_daily": q_purged_usage_daily,
+    "purged_usage_monthly": q_purged_usage_monthly,
+    "usage_summary_maintained": q_usage_summary_maintained,
     "view_user_usage": q_view_user_usage,
     "view_near_limits": q_view_near_limits,
+    "sql_user_usage_status": q_sql_user_usage_status,
+    "sql_record_usage": q_sql_record_usage,
+    "sql_cleanup": q_sql_cleanup,
+    "tier_store": q_tier_store,
     "annotated_messages": q_annotated_messages,
     "stream_usage_daily": q_stream_usage_daily,
     "stream_usage_monthly": q_stream_usage_monthly,
+    "stream_usage_windowed": q_stream_usage_windowed,
     "stream_ledger": q_stream_ledger,
     "stream_registrations": q_stream_registrations,
     "stream_gate": q_stream_gate,
+    "stream_gate_keyed": q_stream_gate_keyed,
 }
