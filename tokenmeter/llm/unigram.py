@@ -32,6 +32,7 @@ read."""
 from __future__ import annotations
 
 import heapq
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -42,6 +43,9 @@ from tokenmeter.llm.bpe import WordCache
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0  # fixed value of the public model
+NEVER = float("-inf")
+#: Characters up to which a stretch is merged in a contiguous array.
+SHORT = 48
 
 
 def read_vocabulary(path: str) -> list[tuple[str, float]]:
@@ -65,8 +69,26 @@ def read_merges(path: str) -> dict[str, float]:
 
 
 def merged_count(s: str, merges: dict[str, float]) -> int:
-    """Tokens of one stretch by the BPE rule, from a heap over linked parts."""
+    """Tokens of one stretch by the BPE rule: short ones by a contiguous rank
+    array, long ones from a heap over linked parts."""
     n = len(s)
+    if n <= SHORT:
+        get = merges.get
+        bounds = list(range(n + 1))
+        scores = [get(s[i : i + 2], NEVER) for i in range(n - 1)]
+        while scores:
+            top = max(scores)
+            if top == NEVER:
+                break
+            i = scores.index(top)
+            del bounds[i + 1], scores[i]
+            if i < len(scores):
+                scores[i] = get(s[bounds[i] : bounds[i + 2]], NEVER)
+            if i:
+                scores[i - 1] = get(s[bounds[i - 1] : bounds[i + 1]], NEVER)
+        if len(bounds) == 2 and n > 1:
+            return 1
+        return sum(1 if b - a > 1 or s[a] in merges else len(s[a].encode("utf-8")) for a, b in zip(bounds, bounds[1:]))
     end, left = list(range(1, n + 1)), list(range(-1, n - 1))  # of the part that starts at i
     heap: list[tuple[float, int, int, int]] = []
 
@@ -100,7 +122,6 @@ class Counter:
 
     def __init__(self, vocabulary: list[tuple[str, float]], unknown: str = "<unk>", merges: dict[str, float] | None = None):
         import ahocorasick
-        import regex
 
         self.found = ahocorasick.Automaton()
         pieces = dict(vocabulary)
@@ -113,12 +134,26 @@ class Counter:
         self.bytes = all(f"<0x{b:02X}>" in pieces for b in range(256))
         if any(MARK in p.lstrip(MARK) or (p.startswith(MARK * 2) and p.strip(MARK)) for p in pieces):
             raise ValueError("a piece of this vocabulary crosses a word mark")
-        self.stretches = regex.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+        self.stretches = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
         self.merges = merges
-        self.cache = WordCache(self.best if merges is None else self.both)
+        made = self.best if merges is None else self.both
+        self.cache, self.words = WordCache(made), WordCache(lambda word: made(MARK + word))
 
     def best(self, s: str) -> int:
         n = len(s)
+        if self.single.issuperset(s):
+            # Every position is the end of some piece.  Matches come by their
+            # end, the longest (earliest start) first.
+            score, count, at = [0.0] * (n + 1), [0] * (n + 1), -1
+            for end, (length, piece_score) in self.found.iter(s):
+                start = end + 1 - length
+                value = score[start] + piece_score
+                if end != at:
+                    at = end
+                elif value <= score[end + 1]:
+                    continue
+                score[end + 1], count[end + 1] = value, count[start] + 1
+            return count[n]
         score, count, was_unknown = [0.0] + [None] * n, [0] * (n + 1), [False] * (n + 1)
         ends: dict[int, list[tuple[int, float]]] = {}
         for end, match in self.found.iter(s):
@@ -150,6 +185,8 @@ class Counter:
     def count(self, text: str) -> int:
         if not text:
             return 0
+        if "  " not in text and MARK not in text and text[0] != " " and text[-1] != " ":  # each word is a stretch
+            return sum(map(self.words.__getitem__, text.split(" ")))
         return sum(map(self.cache.__getitem__, self.stretches.findall(MARK + text.replace(" ", MARK))))
 
 
