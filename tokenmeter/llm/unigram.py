@@ -13,7 +13,7 @@ vocabulary holds all byte pieces, else as one token (runs of them fused).
 
 No piece crosses from a character to a word mark after it, so the best path
 of a text is that of its stretches ``marks* other+``, each counted once per
-task and remembered (up to ``CACHE_WORDS``).  Scores are whole numbers, so the
+task and remembered (up to ``REMEMBERED``).  Scores are whole numbers, so the
 split changes no sum.
 
 The vocabulary is a parameter (pieces and scores of a public file); it is never
@@ -25,7 +25,8 @@ rows also carry ``n_bpe_tokens``, the count by that encoder's rule: characters
 are merged, the pair with the highest score first (leftmost on ties), until no
 pair is a piece; a character without a piece counts as its UTF-8 bytes.
 
-Defined results: null and empty texts have 0 tokens; repeated rows give
+Defined results: null and empty texts have 0 tokens; texts of any length are
+counted whole, and a stretch of any length is one; repeated rows give
 repeated results; an empty table gives an empty table; other columns are not
 read."""
 
@@ -44,6 +45,8 @@ from tokenmeter.llm.bpe import WordCache
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0  # fixed value of the public model
 NEVER = float("-inf")
+#: Plain words a task remembers, some 200 bytes each.
+REMEMBERED = 1_000_000
 #: Characters up to which a stretch is merged in a contiguous array.
 SHORT = 48
 
@@ -68,7 +71,7 @@ def read_merges(path: str) -> dict[str, float]:
     return {model.id_to_piece(i): model.get_score(i) for i in made}
 
 
-def merged_count(s: str, merges: dict[str, float]) -> int:
+def merged_count(s: str, merges: dict[str, float], known: frozenset = frozenset()) -> int:
     """Tokens of one stretch by the BPE rule: short ones by a contiguous rank
     array, long ones from a heap over linked parts."""
     n = len(s)
@@ -86,8 +89,8 @@ def merged_count(s: str, merges: dict[str, float]) -> int:
                 scores[i] = get(s[bounds[i] : bounds[i + 2]], NEVER)
             if i:
                 scores[i - 1] = get(s[bounds[i - 1] : bounds[i + 1]], NEVER)
-        if len(bounds) == 2 and n > 1:
-            return 1
+        if known.issuperset(s):  # characters that are pieces
+            return len(bounds) - 1
         return sum(1 if b - a > 1 or s[a] in merges else len(s[a].encode("utf-8")) for a, b in zip(bounds, bounds[1:]))
     end, left = list(range(1, n + 1)), list(range(-1, n - 1))  # of the part that starts at i
     heap: list[tuple[float, int, int, int]] = []
@@ -135,9 +138,9 @@ class Counter:
         if any(MARK in p.lstrip(MARK) or (p.startswith(MARK * 2) and p.strip(MARK)) for p in pieces):
             raise ValueError("a piece of this vocabulary crosses a word mark")
         self.stretches = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-        self.merges = merges
+        self.merges, self.known = merges, frozenset(p for p in merges or () if len(p) == 1)
         made = self.best if merges is None else self.both
-        self.cache, self.words = WordCache(made), WordCache(lambda word: made(MARK + word))
+        self.cache, self.words = WordCache(made), WordCache(lambda word: made(MARK + word), REMEMBERED)
 
     def best(self, s: str) -> int:
         n = len(s)
@@ -175,7 +178,7 @@ class Counter:
 
     def both(self, s: str) -> int:
         """The two counts of a stretch in one number, so that one sum adds both."""
-        return self.best(s) | merged_count(s, self.merges) << 32
+        return self.best(s) | merged_count(s, self.merges, self.known) << 32
 
     def counts(self, text: str) -> tuple[int, int]:
         """(best path, BPE rule)"""
