@@ -140,3 +140,12 @@ def test_deep_paths_below_a_merged_level(spark):
     for i in range(40):
         assert got[10 * i]["verdict"] == "block" and got[10 * i + 2]["verdict"] == "allow"
         assert got[10 * i]["template"] == "h.net/u/*/p/q/ads/y"
+
+
+def test_pages_without_any_label_are_allowed(spark):
+    """No rule fits, or there is no rule: nothing speaks against a template."""
+    rows = [(i, f"https://h{i % 7}.test/{'abc'[i % 3]}/{i}" + "/x" * (4000 if i == 3 else 0)) for i in range(60)] + [(100, None), (101, "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    for rules in (urls.RULES, []):
+        got = urls.filter_urls(pages, rules).collect()
+        assert len(got) == len(rows) and {r["verdict"] for r in got} == {"allow"} and {r["rule"] for r in got} == {None}

@@ -112,7 +112,8 @@ def template_tree(leaves: DataFrame) -> DataFrame:
     total = leaves.agg(F.sum("bad"), F.sum("good")).first()  # one row
     bad, good = total[0] or 0, total[1] or 0
     hosts = leaves.groupBy("host").agg(F.sum("bad").alias("h_bad"), (F.sum("bad") + F.sum("good")).alias("h_lab"))
-    p = smoothed(F.col("h_bad"), F.col("h_lab"), F.lit((bad + 1.0) / (bad + good + 2.0)))
+    # Without any labelled url there is nothing to reject by.
+    p = smoothed(F.col("h_bad"), F.col("h_lab"), F.lit((bad + 1.0) / (bad + good + 2.0) if bad + good else 0.0))
     open_, done, d = leaves.join(hosts, "host").withColumns({"node": F.col("host"), "p": p}).drop("h_bad", "h_lab"), None, 0
     while True:
         moved = written(level_step(open_, d), f"urls-level{d}")
