@@ -1,34 +1,50 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-A text is cut into clauses.  A transducer reads each clause that holds a term
-of the insult lexicon or a threat verb: word classes (insult, threat verb,
-intent, target, negation, reported speech) move it between states, and at the
-clause's end it emits one pattern (insult, insult at a target, threat, negated
-or reported match).  The score of a text is the noisy-or of its emitted
-patterns: each has the learned share of toxic texts among those that emit it,
-times the purity of its term.
+A text is cut into clauses.  Each clause that holds a term of the insult lexicon
+or a threat verb is read word by word as a string of word classes, by one
+transducer composed of five:
+
+* ``NEGATION`` marks an insult up to ``REACH`` words after a negation as denied,
+  and a threat verb there as mild;
+* ``REPORTED`` does so for what follows a verb of speech in the clause, or a
+  word that names a word ("the word ...") just before it;
+* ``TARGET`` tells an insult at somebody (a pronoun before or after it in the
+  clause) from a bare one;
+* ``THREAT`` emits a threat for an intent, a threat verb and a target, in the
+  orders "will kill you" and "werde dich schlagen";
+* ``insult(shares)`` emits the matched pattern with its weight.
+
+``compose`` feeds the output of one machine to the next: states become tuples,
+weights are multiplied.  A clause emits the pattern of the largest weight times
+purity of its term.  The score of a text is the noisy-or of its clauses;
+negated and reported ones weigh ``DAMPED`` and count once a text each, so they
+alone stay below ``CUT`` however often they come.  A bare insult in plain prose is what
+most labelled toxic texts hold: its weight is the learned share, not a rule.
 
 *Learning* (``train``) uses a bounded sample of labelled rows: at most
 ``SAMPLE`` of them, in hash order of the id.  Lexicon terms are words and word
 stems (first 4 to 8 letters) of toxic rows, kept by document counts: at least
 ``LEAST`` toxic rows, ``CONTEXTS`` different words before them (copies of one
-text prove nothing), and a share of toxic rows of ``PURE``.  A stem
-makes longer ones redundant.  Shares of patterns are smoothed towards stated
-priors, so an unseen pattern keeps its prior.  The lexicon is bounded by the
-sample and by ``TERMS``.
+text prove nothing), and a share of toxic rows of ``PURE``; all that pass are
+kept.  A stem makes longer ones redundant.  The weight of a plain pattern
+is the share of toxic texts among those it is the strongest plain pattern of,
+smoothed towards its weight in ``PRIORS``, which holds where no labelled text emits it.  The
+lexicon is bounded by the sample alone.
 
 Scoring reads only the text, in one expression without a shuffle: an
 Aho-Corasick automaton finds the terms, the transducer runs on their clauses.
 
 Defined results: null and empty texts score the share of toxic rows among those
-without any pattern; repeated rows score alike; an empty table gives an empty
-one; without labels the seed lexicon and the priors hold; other columns are not
-read."""
+without any pattern; a very long text is read whole, each clause once, also
+where it is one clause; repeated rows score alike; an empty table gives an empty
+one; without labels the seed lexicon and the priors hold; other columns, also of
+clashing names, are not read."""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -40,7 +56,6 @@ SAMPLE = 12_000
 LEAST = 6
 CONTEXTS = 5
 PURE = 0.96
-TERMS = 5_000
 STEMS = (4, 5, 6, 7, 8)
 CUT = 0.3
 
@@ -51,48 +66,118 @@ INTENTS = "will gonna shall going must werde werden vais vas va voy vamos".split
 TARGETS = "you your yours he she they them him her his their du dich dir ihr euch tu te vous toi tú usted ustedes".split()
 NEGATIONS = "not never no nobody cannot isn't aren't don't didn't nicht kein keine nie pas jamais aucun nunca ningún".split()
 REPORTS = "said says called calling wrote quoted claims alleged sagte nannte dit appelle dijo llamó".split()
-#: Prior share of toxic texts for each emitted pattern, worth PRIOR_N texts.
-PRIORS = {"insult": 0.85, "target": 0.95, "threat": 0.8, "negated": 0.3, "reported": 0.3}
+NAMINGS = "word words term noun wort begriff mot terme palabra término".split()
+#: Weight of each plain pattern before labels are seen, worth PRIOR_N texts.
+PRIORS = {"insult": 0.85, "target": 0.95, "threat": 0.8}
 PRIOR_N = 4.0
+#: Plain patterns, the strongest first.
+STRENGTH = ("threat", "target", "insult")
+#: Weight of a denied or reported insult.
+DAMPED = 0.1
 NONE_PRIOR, NONE_N = 0.05, 20.0
 
 WORDS = r"[^\W\d_]+(?:'[^\W\d_]+)?"
 CLAUSE_END = ".!?;:,\n"
-#: Words after a negation that it reaches.
-REACH = 3
-
-#: The transducer: (state, word class) -> state.  "reported" and "negated" are
-#: left only by the clause's end or, for "negated", when its reach is over.
-MOVES = {
-    ("start", "report"): "reported", ("aimed", "report"): "reported", ("intent", "report"): "reported",
-    ("start", "negation"): "negated", ("aimed", "negation"): "negated", ("intent", "negation"): "negated",
-    ("start", "target"): "aimed", ("intent", "target"): "intent",
-    ("start", "intent"): "intent", ("aimed", "intent"): "intent",
-}
-EMITS = {
-    ("start", "insult"): "insult", ("aimed", "insult"): "target", ("intent", "insult"): "insult",
-    ("negated", "insult"): "negated", ("reported", "insult"): "reported",
-    ("intent", "threat"): "threat", ("negated", "threat"): "", ("reported", "threat"): "reported",
-}
-#: An insult whose target comes after it in the clause.
-AFTER = {("insult", "target"): "target"}
+#: Words after a negation that it reaches, and after a word that names words.
+REACH, NAMED = 3, 2
+
+CLASSES = ("insult", "threat", "intent", "target", "negation", "report", "naming", "other")
+
+
+class Machine(NamedTuple):
+    """A weighted letter transducer: (state, symbol) -> (state, output, weight).
+    A symbol without an arc passes unchanged, with weight 1, in the same state."""
+
+    start: object
+    arcs: dict
+
+    def step(self, state, symbol: str):
+        return self.arcs.get((state, symbol), (state, symbol, 1.0))
+
+
+def fading(opener: str, reach: int, marks: dict[str, str], symbols: tuple[str, ...]) -> dict:
+    """Arcs of a scope that ``opener`` opens for ``reach`` words: within it the
+    symbols of ``marks`` are rewritten.  States are the words left."""
+    arcs = {(left, opener): (reach, "other", 1.0) for left in range(reach + 1)}
+    for left in range(1, reach + 1):
+        arcs |= {(left, s): (left - 1, marks.get(s, s), 1.0) for s in symbols if s != opener}
+    return arcs
+
+
+NEGATION = Machine(0, fading("negation", REACH, {"insult": "denied", "threat": "mild"}, CLASSES))
+
+#: A verb of speech reaches to the clause's end, a naming word NAMED words.
+REPORTED = Machine(0, {
+    **fading("naming", NAMED, {"insult": "told", "denied": "told", "threat": "mild"}, (*CLASSES, "denied", "mild")),
+    **{(left, "report"): ("speech", "other", 1.0) for left in range(NAMED + 1)},
+    ("speech", "insult"): ("speech", "told", 1.0), ("speech", "denied"): ("speech", "told", 1.0), ("speech", "threat"): ("speech", "mild", 1.0),
+})
+
+#: "open": a bare insult waits for a target after it.
+TARGET = Machine("none", {
+    ("none", "target"): ("aimed", "target", 1.0), ("none", "insult"): ("open", "bare", 1.0),
+    ("open", "target"): ("aimed", "late", 1.0), ("open", "insult"): ("open", "bare", 1.0),
+    ("aimed", "insult"): ("aimed", "aimed", 1.0),
+})
+
+#: "facing": intent, then target; "raised": intent, then threat verb.
+THREAT = Machine("calm", {
+    ("calm", "intent"): ("intent", "other", 1.0), ("calm", "threat"): ("calm", "other", 1.0),
+    ("intent", "threat"): ("raised", "other", 1.0), ("intent", "target"): ("facing", "target", 1.0), ("intent", "late"): ("facing", "late", 1.0),
+    ("facing", "threat"): ("facing", "threat", 1.0), ("raised", "threat"): ("raised", "other", 1.0),
+    ("raised", "target"): ("facing", "threat", 1.0), ("raised", "late"): ("facing", "threat", 1.0),
+})
+
+
+def insult(shares: dict[str, float]) -> Machine:
+    """The last machine: marked symbols become patterns with their weights
+    ("" for none); "late" stays one, it aims the bare insult before it."""
+    out = {"bare": ("insult", shares["insult"]), "aimed": ("target", shares["target"]), "late": ("late", shares["target"]),
+           "threat": ("threat", shares["threat"]), "denied": ("negated", DAMPED), "told": ("reported", DAMPED)}
+    quiet = {s: ("", 0.0) for s in (*CLASSES, "mild") if s not in out}
+    return Machine("read", {("read", s): ("read", *o) for s, o in {**out, **quiet}.items()})
+
+
+def compose(first: Machine, second: Machine, symbols: tuple[str, ...] = CLASSES) -> Machine:
+    """The machine that reads ``symbols`` through ``first``, and its output
+    through ``second``: reachable pairs of states, weights multiplied."""
+    start = (first.start, second.start)
+    arcs, todo, seen = {}, [start], {start}
+    while todo:
+        a, b = todo.pop()
+        for symbol in symbols:
+            to_a, middle, w = first.step(a, symbol)
+            to_b, out, v = second.step(b, middle)
+            arcs[(a, b), symbol] = ((to_a, to_b), out, w * v)
+            if (to_a, to_b) not in seen:
+                seen.add((to_a, to_b))
+                todo.append((to_a, to_b))
+    return Machine(start, arcs)
+
+
+def composed(shares: dict[str, float]) -> Machine:
+    machine = NEGATION
+    for following in (REPORTED, TARGET, THREAT, insult(shares)):
+        machine = compose(machine, following)
+    return machine
 
 
 class Grammar:
-    """A lexicon of terms (``stem*`` or a whole ``word``) with their purity, and
-    the share of toxic texts of each pattern."""
+    """A lexicon of terms (``stem*`` or a whole ``word``) with their purity, the
+    weight of each plain pattern, and the composed machine."""
 
     def __init__(self, lexicon: dict[str, float], shares: dict[str, float] | None = None, none: float = NONE_PRIOR):
         import ahocorasick
 
         self.lexicon, self.shares, self.none = lexicon, shares or dict(PRIORS), none
+        self.machine = composed(self.shares)
         self.found = ahocorasick.Automaton()
         for term in lexicon:
             self.found.add_word(term.rstrip("*"), len(term.rstrip("*")))
         for verb in THREATS:
             self.found.add_word(verb, len(verb))
         self.found.make_automaton()
-        self.classes = {w: c for c, ws in (("threat", THREATS), ("intent", INTENTS), ("target", TARGETS), ("negation", NEGATIONS), ("report", REPORTS)) for w in ws}
+        self.classes = {w: c for c, ws in (("threat", THREATS), ("intent", INTENTS), ("target", TARGETS), ("negation", NEGATIONS), ("report", REPORTS), ("naming", NAMINGS)) for w in ws}
         self.lengths = sorted({len(t) - 1 for t in lexicon if t.endswith("*")})
         self.word = re.compile(WORDS)
         self.end = re.compile(f"[{re.escape(CLAUSE_END)}]")
@@ -104,28 +189,31 @@ class Grammar:
         return best
 
     def read(self, clause: str) -> tuple[str, float]:
-        """The strongest pattern the transducer emits for a clause, and the
-        purity of its term ("" for none)."""
-        state, left, best, pure = "start", 0, "", 0.0
+        """The pattern of the largest weight that the machine emits for a clause,
+        and that weight times the purity of its term ("" for none)."""
+        arcs, state = self.machine.arcs, self.machine.start
+        best, most, bare = "", 0.0, 0.0
         for m in self.word.finditer(clause):
             word = m[0]
-            weight = self.purity(word)
-            kind = "insult" if weight else self.classes.get(word, "")
-            if not weight and kind == "threat":
-                weight = 1.0
-            out = EMITS.get((state, kind), "")
-            if out and self.shares[out] * weight > self.shares.get(best, 0.0) * pure:
-                best, pure = out, weight
-            best = AFTER.get((best, kind), best)
-            moved = MOVES.get((state, kind), state)
-            if moved == "negated":
-                left = REACH if moved != state or kind == "negation" else left - 1
-                moved = moved if left >= 0 else "start"
-            state = moved
-        return best, pure
+            kind, pure = self.classes.get(word), 0.0  # a word of a closed class is no insult by its stem
+            if not kind:
+                pure = self.purity(word)
+                kind = "insult" if pure else "other"
+            state, out, weight = arcs[state, kind]
+            if not out:
+                continue
+            if out == "insult":
+                bare = max(bare, pure)
+            elif out == "late":
+                out, pure = "target", bare
+            elif out == "threat":
+                pure = 1.0
+            if weight * pure > most:
+                best, most = out, weight * pure
+        return best, most
 
     def patterns(self, text: str) -> list[tuple[str, float]]:
-        """(pattern, purity) of every clause that emits one; whole clauses, each
+        """(pattern, weight) of every clause that emits one; whole clauses, each
         read once."""
         low = text.lower()
         done, out = -1, []
@@ -143,9 +231,14 @@ class Grammar:
         return out
 
     def score(self, text: str) -> float:
-        clean = 1.0 - self.none
-        for pattern, pure in self.patterns(text):
-            clean *= 1.0 - min(0.999, self.shares[pattern] * pure)
+        clean, damped = 1.0 - self.none, {}
+        for pattern, weight in self.patterns(text):
+            if pattern in self.shares:
+                clean *= 1.0 - min(0.999, weight)
+            else:
+                damped[pattern] = max(damped.get(pattern, 0.0), weight)
+        for weight in damped.values():
+            clean *= 1.0 - weight
         return 1.0 - clean
 
 
@@ -171,8 +264,8 @@ def learn_lexicon(sample: DataFrame) -> dict[str, float]:
         good = seen.groupBy("term").agg(F.countDistinct("id").alias("good"))
         n_good = F.coalesce("good", F.lit(0))
         rows = (bad.join(good, "term", "left").where(F.col("bad") >= PURE * (F.col("bad") + n_good))
-                .select("term", "bad", (F.col("bad") / (F.col("bad") + n_good + 1.0)).alias("pure"))
-                .orderBy(F.desc("bad"), "term").limit(TERMS).collect())
+                .withColumn("pure", F.col("bad") / (F.col("bad") + n_good + 1.0))
+                .select("term", "pure").collect())  # terms of the sample's toxic rows
     finally:
         bad.unpersist()
     lexicon: dict[str, float] = {s: 0.9 for s in SEEDS}
@@ -198,9 +291,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Grammar:
     bad, good = dict.fromkeys(PRIORS, 0), dict.fromkeys(PRIORS, 0)
     none = [0, 0]
     for r in got:
-        for k in r["kinds"].split():
-            (bad if r["toxic"] else good)[k] += r["count"]
-        none[r["toxic"]] += r["count"] * (not r["kinds"])
+        kinds = r["kinds"].split()
+        strongest = next((k for k in STRENGTH if k in kinds), None)
+        if strongest:
+            (bad if r["toxic"] else good)[strongest] += r["count"]
+        none[r["toxic"]] += r["count"] * (not kinds)
     shares = {k: (bad[k] + PRIOR_N * p) / (bad[k] + good[k] + PRIOR_N) for k, p in PRIORS.items()}
     return Grammar(grammar.lexicon, shares, (none[1] + NONE_N * NONE_PRIOR) / (sum(none) + NONE_N))
 
