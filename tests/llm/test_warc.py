@@ -41,11 +41,11 @@ def test_edge_rows_and_order(spark):
 
 def test_archives_hold_the_payloads(spark, tmp_path):
     path = W.write_archives(spark.read.parquet("/root/testdata/sf0.001/pages.parquet"), f"{tmp_path}/w", archive_bytes=50_000)
-    files = {f.as_uri(): f.read_bytes() for f in tmp_path.glob("w/part-*")}
+    files = {str(f): f.read_bytes() for f in tmp_path.glob("w/*/part-*")}
     assert len(files) > 1
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()}
     for r in W.read_archives(spark, path).collect():
-        data = next(b for n, b in files.items() if n.rsplit("/", 1)[1] == r["archive"].rsplit("/", 1)[1])
+        data = next(b for n, b in files.items() if n.rsplit("/", 2)[1:] == r["archive"].rsplit("/", 2)[1:])
         rec = data[r["offset"] : r["offset"] + r["long"]]
         assert rec.startswith(b"WARC/1.0\r\n") and rec.endswith(b"\r\n\r\n")
         if r["record_type"] == "response":
@@ -68,6 +68,43 @@ def test_loser_tree():
         assert list(W.LoserTree(runs)) == sorted(sum(runs, []))
 
 
+def test_archives_are_cut_by_bytes(spark, tmp_path):
+    """A stretch of large pages after many small ones does not swell a file."""
+    rows = [(i, f"http://a.org/{i}", "s" * 10) for i in range(3000)] + [(9000 + i, f"http://b.org/{i}", chr(97 + i % 26) * (20_000 + i)) for i in range(60)] + [(9999, "http://c.org", "z" * 400_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    path = W.write_archives(pages, f"{tmp_path}/w", archive_bytes=100_000)
+    sizes = sorted(f.stat().st_size for f in tmp_path.glob("w/*/part-*"))
+    assert sizes[-1] > 400_000 and sizes[-2] <= 100_000 and len(sizes) > 15
+    assert W.merged(W.read_archives(spark, path)).count() == len(rows)
+
+
+def test_block_merge_holds_one_block_a_run():
+    rng = random.Random(2)
+    runs = [sorted((rng.randrange(10**6), r, i) for i in range(500)) for r in range(7)]
+    runs[6] = [(5, 6, i) for i in range(500)]  # one value
+    blocks = sorted((run[i], n, run[i : i + 16]) for n, run in enumerate(runs) for i in range(0, 500, 16))
+    merge, out = W.BlockMerge(), []
+    for head, n, block in blocks:
+        out.extend(merge.below(head))
+        for e in block:
+            merge.add(n, e)
+    out.extend(merge.below(None))
+    assert out == sorted(sum(runs, [])) and merge.most <= 7 * 16
+
+
+def test_several_passes(spark):
+    """Blocks of 4 entries, 3 runs at a time, a third of the rows of one key."""
+    rng = random.Random(4)
+    runs = [(f"a{k:02d}", None if rng.random() < 0.3 else rng.randrange(40), rng.choice(["hot)/", "hot)/", "é)/", "b)/x"]), i) for k in range(20) for i in range(30)]
+    rows = [(a, u, "t" if p is None else f"t{p % 3}", p, "u", "response", "d", 1, None, i, 2) for a, p, u, i in runs]
+    df = spark.createDataFrame(rows, W.INDEX).repartition(4, "archive").sortWithinPartitions("archive", *W.ORDER, "offset")
+    order = lambda r: W.sort_key(r["urlkey"], r["ts"], r["page_id"], r["archive"], r["offset"])
+    for block, fan_in in ((4, 3), (1, 2), (1024, 64)):
+        got = W.merged(df, block, fan_in).collect()
+        assert [order(r) for r in got] == sorted(order(r) for r in df.collect())
+        assert sorted(map(str, got)) == sorted(map(str, df.collect()))
+
+
 def test_url_key(spark):
     df = spark.createDataFrame([("http://www.B.example.com/p?q",), ("https://example.com",), ("",)], "u string").select(W.url_key(F.col("u")))
     assert [r[0] for r in df.collect()] == ["com,example,b)/p?q", "com,example)", ")"]

@@ -3,24 +3,34 @@
 *Writing.*  Each page is one record.  Among pages with equal payloads of at
 least ``LEAST_REVISIT`` bytes the largest page id is the response; the others
 are revisits of it, without the payload.  Records are text (UTF-8), so Spark's
-text writer makes the archives: every output file is a plain WARC file of about
-``ARCHIVE_BYTES``.  The payload's digest is compared on slim rows; only the
+text writer makes the archives: every output file is a plain WARC file.  Tasks
+cut their records into archives by the running sum of bytes, so none is above
+``ARCHIVE_BYTES`` unless it is a single record.  The payload's digest is compared on slim rows; only the
 digests that occur twice meet the pages, broadcast when counted small.
 
 *Reading.*  Each archive is parsed by its Content-Length headers; payloads are
 digested again and must match their header.  An archive yields one run of index
 entries, sorted by URL key, time and page.
 
-*Merging.*  The runs are dealt out by ranges of (URL key, time, page), so a URL
-with a third of all captures spans several ranges; each task merges its slices
-of the runs with a k-way loser tree.  Partitions follow each other in key order:
-together they are the captures' histories.
+*Merging.*  The runs are cut into blocks of ``BLOCK`` entries, and a block is
+dealt with its first key, its head.  Entries are dealt out by ranges of (URL
+key, time, page, archive, offset), so a URL with a third of all captures spans
+several ranges; in a range the blocks come in order of their heads, which is the
+order in which a merge runs out of them.  A task takes one block after
+the other, and a k-way loser tree over what it holds gives out all entries
+below the new head: every earlier block of the same run among them.  So a task
+holds one block of each run at most, however large its range.  About ``FAN_IN`` runs (dealt by
+hash) are merged at a time; more of them take several passes over the slim
+entries, each written.  Partitions follow each other in key order: together
+they are the captures' histories.
 
 Defined results: a null html is the empty payload; a null page id is written as
 ``none`` and read as null, and is never the largest; rows that share the
 largest id of their payload are all responses; a null url is empty; the capture
 time is derived from the page id (the table has none), ties are broken by the
-page; an empty table gives an empty index; other columns are not read."""
+page, the archive and the offset; a very long html is one record, if need be in
+an archive of its own; an empty table gives an empty index; other columns, also
+of clashing names, are not read."""
 
 from __future__ import annotations
 
@@ -34,8 +44,13 @@ from tokenmeter.llm.common import maybe_broadcast, written
 from tokenmeter.session import scratch_path
 
 LEAST_REVISIT = 1000
-#: Archive size aimed at: one archive is parsed in one task's memory.
+#: Largest archive of several records: one is parsed in one task's memory.
 ARCHIVE_BYTES = 16_000_000
+#: Entries of a block, and runs merged at a time: a merging task holds about
+#: BLOCK * FAN_IN entries at most.
+BLOCK, FAN_IN = 1024, 64
+#: Entries handed on at a time.
+OUT = 4096
 CRLF = "\r\n"
 #: First capture time: 2024-01-01T00:00:00Z; pages follow by the second.
 EPOCH = 1_704_067_200
@@ -80,12 +95,32 @@ def record(page: DataFrame) -> Column:
         line("Content-Type", F.lit("application/http; msgtype=response")), line("Content-Length", F.octet_length(block).cast("string")), F.lit(CRLF), block, F.lit(CRLF))
 
 
+def archive_number(size: Column, archive_bytes: int) -> Column:
+    """Which of its task's archives a record goes to: the next one as soon as
+    the bytes of this one would exceed ``archive_bytes``."""
+
+    @F.arrow_udf("int")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        number = filled = 0
+        for batch in batches:
+            out = []
+            for n in batch.to_pylist():
+                if filled and filled + n > archive_bytes:
+                    number, filled = number + 1, 0
+                filled += n
+                out.append(number)
+            yield pa.array(out, pa.int32())
+
+    return run.asNondeterministic()(size)
+
+
 def write_archives(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> str:
     """One record per row of ``pages`` (page_id, url, html), as WARC files."""
-    mean = pages.agg(F.avg(F.octet_length(F.col("html").cast("string")))).first()[0] or 0.0  # one row
-    per_file = max(1, int(archive_bytes / (mean + 700)))
     rows = typed(pages)
-    rows.select(record(rows).alias("value")).write.option("lineSep", CRLF).option("maxRecordsPerFile", per_file).text(path)
+    records = rows.select(record(rows).alias("value"))
+    size = (F.octet_length("value") + len(CRLF)).cast("bigint")
+    cut = records.withColumn("archive", archive_number(size, archive_bytes))
+    cut.write.partitionBy("archive").option("lineSep", CRLF).text(path)
     return path
 
 
@@ -128,7 +163,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     entries = files.mapInArrow(run, fields).withColumn("urlkey", url_key(F.col("url")))
-    return written(entries.select(*[f.split()[0] for f in INDEX.split(", ")]).sortWithinPartitions("archive", *ORDER), "warc-runs")
+    return written(entries.select(*[f.split()[0] for f in INDEX.split(", ")]).sortWithinPartitions("archive", *ORDER, "offset"), "warc-runs")
 
 
 class LoserTree:
@@ -162,39 +197,131 @@ class LoserTree:
             node //= 2
         self.losers[0] = winner
 
-    def __iter__(self):
+    def below(self, bound: tuple | None) -> Iterator[tuple]:
+        """The entries before ``bound`` (None: all), in order."""
         while self.runs:
             run = self.losers[0]
             if self.at[run] >= len(self.runs[run]):
                 return
             entry = self.runs[run][self.at[run]]
+            if bound is not None and entry >= bound:
+                return
             self.at[run] += 1
             yield entry
             self._play(run)
 
+    def __iter__(self) -> Iterator[tuple]:
+        return self.below(None)
+
+
+def sort_key(urlkey: str, ts: str, page: int | None, archive: str, offset: int) -> tuple:
+    """Spark's order of (ORDER, archive, offset): bytes, null pages first."""
+    return urlkey.encode("utf-8"), ts, page is not None, page or 0, archive, offset
+
+
+class BlockMerge:
+    """Merges runs that arrive block by block in order of the blocks' heads.
+    ``held`` has what is left of one block of each run."""
+
+    def __init__(self):
+        self.held: dict = {}
+        self.most = 0
+
+    def add(self, run, entry: tuple) -> None:
+        self.held.setdefault(run, []).append(entry)
 
-def merged(runs: DataFrame) -> DataFrame:
-    """The INDEX rows of ``runs`` in global order of ORDER, merged from sorted
-    runs per range of keys."""
+    def below(self, head: tuple | None) -> Iterator[tuple]:
+        """Give out the entries before ``head``, the next block's (None: all)."""
+        self.most = max(self.most, sum(map(len, self.held.values())))
+        runs = list(self.held)
+        tree = LoserTree([self.held[r] for r in runs])
+        yield from tree.below(head)
+        for run, at in zip(runs, tree.at):
+            if at == len(self.held[run]):
+                del self.held[run]
+            elif at:
+                del self.held[run][:at]
+
+
+def blocked(runs: DataFrame, block: int) -> DataFrame:
+    """``runs``, whose partitions hold sorted pieces of runs one after the other,
+    with the ``head`` of each row's block: its first (ORDER, archive, offset)."""
     names = runs.columns
-    key = [names.index(c) for c in ORDER] + [names.index("archive"), names.index("offset")]
+    key = [*ORDER, "archive", "offset"]
+    head = "struct<" + ",".join(f"{c}:{runs.schema[c].dataType.simpleString()}" for c in key) + ">"
+    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in runs.schema.fields), f"head {head}"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, n, first = None, 0, None
+        for batch in batches:
+            cols = [batch.column(names.index(c)) for c in key]
+            heads = []
+            for i, of in enumerate(batch.column(names.index("run")).to_pylist()):
+                if of != last or n == block:
+                    last, n, first = of, 0, {c: v[i].as_py() for c, v in zip(key, cols)}
+                n += 1
+                heads.append(first)
+            column = pa.array(heads, pa.struct([(c, v.type) for c, v in zip(key, cols)]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, column], [*names, "head"])
+
+    return runs.mapInArrow(run, schema)
+
+
+def merge_pass(runs: DataFrame, into: Column, block: int) -> DataFrame:
+    """The runs of each value of ``into`` merged to one, which it numbers."""
+    key = [*ORDER, "archive", "offset"]
+    rows = blocked(runs, block).withColumn("into", into)
+    names = rows.columns
+    at = {c: names.index(c) for c in names}
+    fields = list(runs.schema.fieldNames())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = list(batches)  # one range of slim index entries
-        if not tables:
-            return
-        table = pa.Table.from_batches(tables)
-        cols = [table.column(i).to_pylist() for i in key]
-        slices: dict[str, list[tuple]] = {}
-        for n, (urlkey, ts, page, archive, offset) in enumerate(zip(*cols)):
-            slices.setdefault(archive, []).append((urlkey.encode("utf-8"), ts, page is not None, page or 0, archive, offset, n))
-        order = [e[-1] for e in LoserTree(list(slices.values()))]
-        yield from table.take(pa.array(order, pa.int64())).combine_chunks().to_batches()
-
-    dealt = runs.repartitionByRange(*ORDER, "archive", "offset").sortWithinPartitions("archive", *ORDER, "offset")
+        merge, group, current, out, types = BlockMerge(), None, None, [], None
+
+        def packed() -> pa.RecordBatch:
+            cols = list(zip(*out))
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], fields)
+
+        def drained(bound: tuple | None) -> Iterator[pa.RecordBatch]:
+            for entry in merge.below(bound):
+                out.append((*entry[-1], group))
+                if len(out) == OUT:
+                    yield packed()
+
+        for batch in batches:
+            types = [batch.column(at[c]).type for c in fields[:-1]] + [pa.int64()]
+            slim = list(zip(*[batch.column(at[c]).to_pylist() for c in fields[:-1]]))
+            keys = zip(*[batch.column(at[c]).to_pylist() for c in key])
+            heads = zip(*[c.to_pylist() for c in batch.column(at["head"]).flatten()])
+            intos, of = batch.column(at["into"]).to_pylist(), batch.column(at["run"]).to_pylist()
+            for row, k, head, to, one in zip(slim, keys, heads, intos, of):
+                if current != (to, head):
+                    yield from drained(sort_key(*head) if to == group else None)
+                    group, current = to, (to, head)
+                merge.add(one, (*sort_key(*k), row))
+        yield from drained(None)
+        if out:
+            yield packed()
+
+    dealt = rows.repartitionByRange("into", *key).sortWithinPartitions("into", "head", *key)
     return dealt.mapInArrow(run, runs.schema)
 
 
+def merged(runs: DataFrame, block: int = BLOCK, fan_in: int = FAN_IN) -> DataFrame:
+    """The INDEX rows of ``runs``, one sorted run per archive, in global order
+    of ORDER."""
+    left = runs.select("archive").distinct().count()
+    now = runs.withColumn("run", F.xxhash64("archive"))
+    groups = -(-left // fan_in)
+    into = F.pmod("run", F.lit(max(1, groups)).cast("bigint"))
+    while groups > 1:
+        now = written(merge_pass(now, into, block), "warc-pass")
+        groups = -(-groups // fan_in)
+        into = F.floor(F.col("run") / fan_in).cast("bigint")
+    return merge_pass(now, F.lit(0).cast("bigint"), block).drop("run")
+
+
 def archive_index(spark: SparkSession, pages: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``pages`` to archives, read them back, and return the merged index."""
     path = write_archives(pages.select("page_id", "url", "html"), path or scratch_path(spark, "llm", "warc"))
