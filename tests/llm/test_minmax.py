@@ -68,6 +68,15 @@ def test_edge_rows(spark):
     assert minmax.near_duplicates(docs.limit(0), 2).count() == 0
 
 
+def test_very_long_texts(spark):
+    """200,000 words: a near copy that differs at the end only is linked."""
+    rng = random.Random(8)
+    long = [f"w{rng.randrange(10**6)}" for _ in range(200_000)]
+    rows = [(1, " ".join(long)), (2, " ".join(long[:-5] + ["other"] * 5)), (3, " ".join(long[:100_000])), (4, "short text")]
+    kept = minmax.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), width=2)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 4]
+
+
 def test_large_group_and_chain(spark):
     """A group of near copies, and a chain whose ends are too far apart."""
     rng = random.Random(3)

@@ -21,8 +21,8 @@ frequent a word or passage is.
 Defined results: a null text has no words; a null item id counts its windows'
 words as hit but is not listed; rows that share an id are told apart by a hash
 of their text, and rows repeated whole each get the same result; a null id is an
-id; empty tables give empty results, an empty benchmark no hits; other columns
-are not read."""
+id; a very long text is read whole, its words are rows of their own; empty tables
+give empty results, an empty benchmark no hits; other columns are not read."""
 
 from __future__ import annotations
 

@@ -27,7 +27,8 @@ Defined results: a text without words, or a null one, has an empty set and
 links with nothing; with fewer words than a shingle has, the whole sequence is
 the only shingle; rows with one id count as rows of their own, equal texts
 linking; a null id is ignored as a component's least id (null if no other);
-empty tables give empty ones; other columns are not read."""
+a very long text counts with all its shingles; empty tables give empty ones;
+other columns are not read."""
 
 from __future__ import annotations
 

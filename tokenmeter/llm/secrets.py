@@ -14,8 +14,8 @@ so a blob that a third of all paths share is one row per task; texts move once,
 to meet the list of blobs to scan, keyed by blob and path.
 
 Defined results: a null text is the empty text, which has no findings; a null
-path is a path; repeated rows give repeated results; an empty table an empty
-one; other columns are not read.  ``kind:start:end`` lists are ordered by
+path is a path; a very long text is scanned whole; repeated rows give repeated
+results; an empty table an empty one; other columns are not read.  ``kind:start:end`` lists are ordered by
 start, then kind as listed in the rules."""
 
 from __future__ import annotations

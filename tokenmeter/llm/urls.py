@@ -22,7 +22,8 @@ templates before anything is shuffled by host, so a host with a third of the
 rows is a few template rows per task.
 
 Defined results: a null url, or one without ``://``, has empty host and path,
-no rule, and the verdict of the empty host's root.  Repeated rows give repeated
+no rule, and the verdict of the empty host's root.  A very long url is kept
+whole.  Repeated rows give repeated
 results; an empty table an empty one; other columns are not read."""
 
 from __future__ import annotations
