@@ -149,3 +149,10 @@ def test_pages_without_any_label_are_allowed(spark):
     for rules in (urls.RULES, []):
         got = urls.filter_urls(pages, rules).collect()
         assert len(got) == len(rows) and {r["verdict"] for r in got} == {"allow"} and {r["rule"] for r in got} == {None}
+
+
+def test_a_very_long_url_is_kept_whole(spark):
+    long = ["http://sub.example.org/es/" + "x" * 100_000, "http://other.net/" + "y" * 100_000 + "?q=" + "z" * 1000]
+    got = {r["page_id"]: r for r in urls.filter_urls(spark.createDataFrame(list(enumerate(long)), "page_id long, url string"), urls.RULES).collect()}
+    assert all((got[i]["host"], got[i]["path"]) == plain_url(u) for i, u in enumerate(long))
+    assert [got[i]["rule"] for i in (0, 1)] == ["example.org/es/", None] and got[0]["verdict"] == "block"
