@@ -110,6 +110,32 @@ def test_large_clusters_in_blocks(spark, monkeypatch):
     check(rows, minmax.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect(), 2)
 
 
+def test_chain_grows_linearly(spark, monkeypatch):
+    """A chain of shifted windows: texts compared or dealt to blocks double
+    with the rows."""
+    monkeypatch.setattr(minmax, "BLOCK", 16)
+    counts, plain = {}, minmax.written
+
+    def recorded(df, name):
+        out = plain(df, name)
+        if name in ("minmax-to-centre", "minmax-dealt"):
+            counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(minmax, "written", recorded)
+    rng = random.Random(5)
+    run = [f"w{rng.randrange(10**6)}" for _ in range(1_400)]
+
+    def moved(rows):
+        counts.clear()
+        check(rows, minmax.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect(), 2)
+        return sum(counts.values())
+
+    chain = [(i, " ".join(run[8 * i : 8 * i + 100])) for i in range(160)]
+    short, long = moved(chain[:80]), moved(chain)
+    assert 0 < long <= 2.5 * short
+
+
 def test_signatures_estimate_similarity():
     own = minmax.Shingler(2)
     x = own.mix(np.arange(1, 2001, dtype=np.uint64))

@@ -14,14 +14,20 @@ Links are confirmed on full sets, in blocks of bounded size:
 2. a cluster of up to ``BLOCK`` nodes and ``BLOCK_SHINGLES`` shingles goes to
    one task, which finds all its links by an inverted index of shingles;
 3. of a larger cluster, every node is first checked against the cluster's most
-   central one.  Those that do not link to it are queries against all nodes of
-   the cluster, block of queries by block of nodes.  Two nodes that both link to
-   the central one are connected already, so no link between components is
-   lost.  A task emits one edge from a node to its local root, never pairs.
-
-So a group of thousands of near copies costs one check per member and some
-blocks for its outliers.  Buckets are met by joins that AQE can split, counts
-are pre-aggregated.
+   central one, the hub.  Two nodes that both link to it are connected already;
+   those that do not are far.  Far nodes are checked against the centre of each
+   of their buckets (one that links to the hub, where the bucket has one);
+4. buckets whose nodes are then all connected are done.  Of the others, the far
+   nodes not yet connected to the hub are queries against the nodes they share a
+   bucket with, in blocks by bucket or by cluster, whichever moves fewer rows.
+   Jaccard distance is a metric, so a query at distance d from the hub meets only
+   nodes at least d - 0.2 from it: the copies round the hub stay out.  A task
+   emits one edge from a node to its local root, never pairs.
+
+So a group of thousands of near copies costs one check per member, a chain of
+shifted texts some checks per member, each linear; blocks are left to far nodes
+that share a bucket with nodes they are not connected to.  Buckets are met by
+joins that AQE can split, counts are pre-aggregated.
 
 Defined results: a text without words, or a null one, has an empty set and
 links with nothing; with fewer words than a shingle has, the whole sequence is
@@ -179,28 +185,96 @@ def local_roots(placed: DataFrame, width: int, percent: int) -> DataFrame:
     return by_part.mapInArrow(run, "a binary, b binary")
 
 
-def hub_links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity; every ``a`` has
-    one ``b``, the hub of its cluster."""
+def compared(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """(a, b, far, linked) of each pair (a, b): the Jaccard distance of their
+    full sets, and whether they reach the similarity; many ``a`` share a ``b``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Shingler(width)
         last, base = None, None
         for batch in batches:
-            ok = []
+            far, ok = [], []
             for a, b in zip(batch.column(2), batch.column(3)):
                 if (text := b.as_py()) != last:
                     last, base = text, own.shingles(text)
                 s = own.shingles(a.as_py())
                 both = len(own.np.intersect1d(s, base, assume_unique=True))
-                ok.append(100 * both >= percent * (len(s) + len(base) - both))
-            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+                either = len(s) + len(base) - both
+                far.append(1 - both / either)
+                ok.append(100 * both >= percent * either)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(far, pa.float64()), pa.array(ok, pa.bool_())], ["a", "b", "far", "linked"])
         release()
 
     left = texts.select(F.col("set_id").alias("a"), F.col("text").alias("text_a"))
     right = texts.join(pairs.select(F.col("b").alias("set_id")).distinct(), "set_id").select(F.col("set_id").alias("b"), F.col("text").alias("text_b"))
     met = pairs.select("a", "b").join(left, "a").join(written(right, "minmax-hubs"), "b").select("a", "b", "text_a", "text_b")
-    return met.mapInArrow(run, "a binary, b binary")
+    return met.mapInArrow(run, "a binary, b binary, far double, linked boolean")
+
+
+def shells(rows: DataFrame, slack: float, name: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` (cluster, unit, set_id, query, far) that a query of their unit
+    can link to, and the sizes (cluster, unit, kb, qb, cost) of the units in
+    blocks; cost is the number of texts their blocks take."""
+    least = rows.where("query").groupBy("unit").agg(F.min("far").alias("least"))
+    kept = rows.join(least, "unit").where(F.col("query") | (F.col("far") >= F.col("least") - slack))
+    kept = written(kept.select("cluster", "unit", "set_id", "query"), name)
+    sizes = kept.groupBy("cluster", "unit").agg(F.count(F.lit(1)).alias("k"), F.count_if("query").alias("q"))
+    sizes = sizes.withColumns({"kb": F.ceil(F.col("k") / BLOCK), "qb": F.ceil(F.col("q") / BLOCK)})
+    return kept, written(sizes.select("cluster", "unit", "kb", "qb", (F.col("k") * F.col("qb") + F.col("q") * F.col("kb")).alias("cost")), f"{name}-sizes")
+
+
+def crowd_links(crowd: DataFrame, members: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """(a, b) links that connect the nodes of large clusters (``crowd``: cluster,
+    set_id, hub); ``members`` (set_id, bucket) has their buckets."""
+    yes, no = F.lit(True), F.lit(False)
+    to_hub = crowd.where("set_id != hub").select(F.col("set_id").alias("a"), F.col("hub").alias("b"))
+    met = written(compared(to_hub, texts, width, percent), "minmax-near")
+    near = met.where("linked").select("a", "b")
+    crowd = crowd.join(met.select(F.col("a").alias("set_id"), "far", "linked"), "set_id", "left")
+    crowd = written(crowd.withColumns({"far": F.coalesce("far", F.lit(0.0)), "linked": F.coalesce("linked", yes)}), "minmax-crowds")
+
+    # Buckets with a far node; their centre links to the hub where one does.
+    placed = members.select("set_id", "bucket").join(crowd, "set_id")
+    watched = placed.groupBy("bucket").agg(F.bool_or(~F.col("linked")).alias("open"), F.min(F.struct(~F.col("linked"), "set_id"))["set_id"].alias("centre")).where("open")
+    placed = written(placed.join(watched.drop("open"), "bucket"), "minmax-watched")
+    if placed.isEmpty():
+        return near
+    pairs = placed.where("NOT linked AND set_id != centre AND centre != hub").select(F.col("set_id").alias("a"), F.col("centre").alias("b")).distinct()
+    second = compared(written(pairs, "minmax-to-centre"), texts, width, percent).where("linked").select("a", "b")
+    links = written(near.union(second), "minmax-found")
+
+    # Buckets whose nodes are not all connected yet; equal ones count once.
+    root = components(links).select(F.col("node").alias("set_id"), "root")
+    hubs = written(crowd.where("set_id = hub").join(root, "set_id", "left").select("cluster", F.coalesce("root", "set_id").alias("main")), "minmax-main")
+    placed = placed.join(root, "set_id", "left").join(maybe_broadcast(hubs, hubs.count()), "cluster")
+    placed = placed.withColumn("root", F.coalesce("root", "set_id")).withColumn("query", F.col("root") != F.col("main"))
+    placed = written(placed.select("cluster", "bucket", "set_id", "far", "root", "query"), "minmax-watched")
+    content = [F.count(F.lit(1)).alias("k"), F.bit_xor(F.xxhash64("set_id")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "set_id")).alias("y")]
+    apart = placed.groupBy("cluster", "bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), *content).where("low != high")
+    apart = apart.groupBy("cluster", "k", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
+    rows = written(placed.join(apart, "bucket").select("cluster", "bucket", "set_id", "far", "query"), "minmax-apart")
+    if rows.isEmpty():
+        return links
+
+    slack = 1 - percent / 100 + 1e-9
+    by_bucket = shells(rows.withColumn("unit", F.concat(F.lit("b"), F.col("bucket").cast("string"))), slack, "minmax-by-bucket")
+    nodes = rows.select("cluster", "set_id", "far", "query").distinct()
+    by_cluster = shells(nodes.withColumn("unit", F.concat(F.lit("c"), F.hex("cluster"))), slack, "minmax-by-cluster")
+    cost = by_bucket[1].groupBy("cluster").agg(F.sum("cost").alias("buckets")).join(by_cluster[1].select("cluster", F.col("cost").alias("whole")), "cluster")
+    cost = written(cost.select("cluster", (F.col("buckets") < F.col("whole")).alias("split")), "minmax-cost")
+    block = lambda c: F.pmod(F.xxhash64("set_id"), F.col(c))
+    part = lambda m, q: F.concat_ws("|", "unit", m.cast("string"), q.cast("string")).alias("part")
+    upto = lambda c: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(c) - 1)).alias("other")
+    dealt = None
+    for (kept, sizes), chosen in ((by_bucket, "split"), (by_cluster, "NOT split")):
+        sizes = written(sizes.join(cost.where(chosen).select("cluster"), "cluster").select("unit", "kb", "qb"), "minmax-units")
+        kept = kept.join(maybe_broadcast(sizes, sizes.count()), "unit")
+        as_member = kept.select("unit", "set_id", block("kb").alias("own"), upto("qb")).select("set_id", part(F.col("own"), F.col("other")), yes.alias("member"), no.alias("query"))
+        as_query = kept.where("query").select("unit", "set_id", block("qb").alias("own"), upto("kb")).select("set_id", part(F.col("other"), F.col("own")), no.alias("member"), yes.alias("query"))
+        both = as_member.union(as_query)
+        dealt = both if dealt is None else dealt.union(both)
+    dealt = written(dealt, "minmax-dealt")
+    return links.union(written(local_roots(dealt.join(texts, "set_id"), width, percent), "minmax-outliers"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -213,7 +287,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     members = nodes.select("set_id", "n", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("set_id").alias("centre")).where("size > 1")
     shared = written(shared, "minmax-buckets")
-    members = written(members.join(shared, "bucket").select("set_id", "n", "centre", "size"), "minmax-members")
+    members = written(members.join(shared, "bucket").select("set_id", "n", "bucket", "centre", "size"), "minmax-members")
 
     needed = members.select("set_id").distinct().join(nodes.select("set_id", "rep"), "set_id")
     needed = written(needed.select("set_id", F.col("rep.doc_id").alias("id"), F.col("rep.text_hash").alias("hash")), "minmax-needed")
@@ -233,27 +307,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     central = central.drop("centres", "least")
     cluster = written(central.join(candidates.select(F.col("node").alias("set_id"), F.col("root").alias("cluster")), "set_id"), "minmax-clusters")
     sizes = cluster.groupBy("cluster").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("shingles"), F.max(F.struct("central", "set_id"))["set_id"].alias("hub"))
-    sizes = written(sizes.withColumn("large", (F.col("k") > BLOCK) | (F.col("shingles") > BLOCK_SHINGLES)), "minmax-sizes")
-    cluster = written(cluster.join(sizes, "cluster").select("cluster", "set_id", "hub", "large", "k"), "minmax-clusters")
+    large = written(sizes.where((F.col("k") > BLOCK) | (F.col("shingles") > BLOCK_SHINGLES)).select("cluster", "hub"), "minmax-large")
+    n_large = large.count()
 
-    yes, no = F.lit(True), F.lit(False)
-    small = cluster.where("NOT large").select("set_id", F.hex("cluster").alias("part"), yes.alias("member"), yes.alias("query"))
+    yes = F.lit(True)
+    small = cluster.join(maybe_broadcast(large, n_large), "cluster", "left_anti").select("set_id", F.hex("cluster").alias("part"), yes.alias("member"), yes.alias("query"))
     links = written(local_roots(small.join(texts, "set_id"), width, percent), "minmax-links")
-    crowd = cluster.where("large")
-    if not crowd.isEmpty():
-        to_hub = written(crowd.where("set_id != hub").select(F.col("set_id").alias("a"), F.col("hub").alias("b")), "minmax-to-hub")
-        near = written(hub_links(to_hub, texts, width, percent), "minmax-near")
-        far = to_hub.join(near.select("a"), "a", "left_anti").select(F.col("a").alias("set_id"), yes.alias("far"))
-        crowd = crowd.join(far, "set_id", "left").withColumn("far", F.coalesce("far", no))
-        queries = crowd.where("far").groupBy("cluster").agg(F.count(F.lit(1)).alias("q"))
-        crowd = written(crowd.join(queries, "cluster").withColumns({"kb": F.ceil(F.col("k") / BLOCK), "qb": F.ceil(F.col("q") / BLOCK)}), "minmax-crowds")
-        block = lambda c: F.pmod(F.xxhash64("set_id"), F.col(c))
-        part = lambda m, q: F.concat_ws("|", F.hex("cluster"), m.cast("string"), q.cast("string")).alias("part")
-        upto = lambda c: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(c) - 1)).alias("other")
-        as_member = crowd.select("cluster", "set_id", block("kb").alias("own"), upto("qb")).select("set_id", part(F.col("own"), F.col("other")), yes.alias("member"), no.alias("query"))
-        as_query = crowd.where("far").select("cluster", "set_id", block("qb").alias("own"), upto("kb")).select("set_id", part(F.col("other"), F.col("own")), no.alias("member"), yes.alias("query"))
-        outliers = written(local_roots(as_member.union(as_query).join(texts, "set_id"), width, percent), "minmax-outliers")
-        links = links.union(near).union(outliers)
+    if n_large:
+        crowd = written(cluster.join(maybe_broadcast(large, n_large), "cluster").select("cluster", "set_id", "hub"), "minmax-crowds")
+        links = links.union(crowd_links(crowd, members, texts, width, percent))
     final = components(links)
 
     classes = nodes.select("set_id", "least").join(final.select(F.col("node").alias("set_id"), "root"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
