@@ -136,6 +136,31 @@ def test_chain_grows_linearly(spark, monkeypatch):
     assert 0 < long <= 2.5 * short
 
 
+def test_crowd_with_outliers_reaches_blocks(spark, monkeypatch):
+    """Near copies of one text, and copies too far from it to link: these share
+    buckets with the crowd and are met in blocks, with the same components."""
+    monkeypatch.setattr(minmax, "BLOCK", 16)
+    dealt, plain = [], minmax.written
+
+    def recorded(df, name):
+        out = plain(df, name)
+        if name == "minmax-dealt":
+            dealt.append(out.count())
+        return out
+
+    monkeypatch.setattr(minmax, "written", recorded)
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+    rows = []
+    for i in range(120):
+        t = list(base)
+        for j in rng.sample(range(100), 15 if i % 8 == 0 else 2):
+            t[j] = f"x{i}-{j}"
+        rows.append((i, " ".join(t)))
+    check(rows, minmax.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect(), 2)
+    assert dealt and dealt[0] > 0
+
+
 def test_signatures_estimate_similarity():
     own = minmax.Shingler(2)
     x = own.mix(np.arange(1, 2001, dtype=np.uint64))
