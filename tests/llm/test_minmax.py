@@ -175,3 +175,34 @@ def test_components(spark):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(42)}, **{i: 100 for i in range(100, 140)}, 200: 200}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_components_shuffle_once_a_round(spark, monkeypatch):
+    """Labels few enough are broadcast: a round of a small link table is one
+    grouping, even where Spark itself would broadcast nothing."""
+    import random
+
+    from tokenmeter.llm import components as C
+
+    rnd = random.Random(3)
+    links = [(i, i + 1) for i in range(40)] + [(rnd.randrange(100, 160), rnd.randrange(100, 160)) for _ in range(45)] + [(200, 200), (7, 5), (7, 5), (None, 1)]
+    shuffles, write = [], C.written
+
+    def counted(df, name):
+        shuffles.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return write(df, name)
+
+    monkeypatch.setattr(C, "written", counted)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {r["node"]: r["root"] for r in C.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = {n: n for e in links if None not in e for n in e}
+    while any(want[a] != want[b] for a, b in links if a is not None):
+        for a, b in links:
+            if a is not None:
+                want[a] = want[b] = min(want[a], want[b])
+    assert got == want
+    assert max(shuffles) == 1 and sum(shuffles) <= len(shuffles) // 2 + 1, shuffles

@@ -206,8 +206,9 @@ def compared(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
         release()
 
     left = texts.select(F.col("set_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.join(pairs.select(F.col("b").alias("set_id")).distinct(), "set_id").select(F.col("set_id").alias("b"), F.col("text").alias("text_b"))
-    met = pairs.select("a", "b").join(left, "a").join(written(right, "minmax-hubs"), "b").select("a", "b", "text_a", "text_b")
+    n = pairs.count()
+    right = texts.join(maybe_broadcast(pairs.select(F.col("b").alias("set_id")).distinct(), n), "set_id").select(F.col("set_id").alias("b"), F.col("text").alias("text_b"))
+    met = left.join(maybe_broadcast(pairs.select("a", "b"), n), "a").join(written(right, "minmax-hubs"), "b").select("a", "b", "text_a", "text_b")
     return met.mapInArrow(run, "a binary, b binary, far double, linked boolean")
 
 
@@ -234,7 +235,8 @@ def crowd_links(crowd: DataFrame, members: DataFrame, texts: DataFrame, width: i
     crowd = written(crowd.withColumns({"far": F.coalesce("far", F.lit(0.0)), "linked": F.coalesce("linked", yes)}), "minmax-crowds")
 
     # Buckets with a far node; their centre links to the hub where one does.
-    placed = members.select("set_id", "bucket").join(crowd, "set_id")
+    n = crowd.count()
+    placed = members.select("set_id", "bucket").join(maybe_broadcast(crowd, n), "set_id")
     watched = placed.groupBy("bucket").agg(F.bool_or(~F.col("linked")).alias("open"), F.min(F.struct(~F.col("linked"), "set_id"))["set_id"].alias("centre")).where("open")
     placed = written(placed.join(watched.drop("open"), "bucket"), "minmax-watched")
     if placed.isEmpty():
@@ -244,7 +246,7 @@ def crowd_links(crowd: DataFrame, members: DataFrame, texts: DataFrame, width: i
     links = written(near.union(second), "minmax-found")
 
     # Buckets whose nodes are not all connected yet; equal ones count once.
-    root = components(links).select(F.col("node").alias("set_id"), "root")
+    root = maybe_broadcast(components(links).select(F.col("node").alias("set_id"), "root"), n)
     hubs = written(crowd.where("set_id = hub").join(root, "set_id", "left").select("cluster", F.coalesce("root", "set_id").alias("main")), "minmax-main")
     placed = placed.join(root, "set_id", "left").join(maybe_broadcast(hubs, hubs.count()), "cluster")
     placed = placed.withColumn("root", F.coalesce("root", "set_id")).withColumn("query", F.col("root") != F.col("main"))
@@ -274,7 +276,7 @@ def crowd_links(crowd: DataFrame, members: DataFrame, texts: DataFrame, width: i
         both = as_member.union(as_query)
         dealt = both if dealt is None else dealt.union(both)
     dealt = written(dealt, "minmax-dealt")
-    return links.union(written(local_roots(dealt.join(texts, "set_id"), width, percent), "minmax-outliers"))
+    return links.union(written(local_roots(texts.join(maybe_broadcast(dealt, dealt.count()), "set_id"), width, percent), "minmax-outliers"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -289,39 +291,42 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     shared = written(shared, "minmax-buckets")
     members = written(members.join(shared, "bucket").select("set_id", "n", "bucket", "centre", "size"), "minmax-members")
 
-    needed = members.select("set_id").distinct().join(nodes.select("set_id", "rep"), "set_id")
+    # A node's centres (at most one a band) hang on the least of them; nodes of
+    # one group share most centres, so few different links are left.
+    central = members.groupBy("set_id").agg(F.sum("size").alias("central"), F.max("n").alias("n"), F.collect_set("centre").alias("centres"))
+    central = written(central.withColumn("least", F.array_min("centres")), "minmax-central")
+    n_shared = central.count()
+
+    needed = nodes.select("set_id", "rep").join(maybe_broadcast(central.select("set_id"), n_shared), "set_id")
     needed = written(needed.select("set_id", F.col("rep.doc_id").alias("id"), F.col("rep.text_hash").alias("hash")), "minmax-needed")
-    d, w = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("text_hash")).alias("d"), maybe_broadcast(needed, needed.count()).alias("w")
+    d, w = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("text_hash")).alias("d"), maybe_broadcast(needed, n_shared).alias("w")
     texts = d.join(w, F.expr("d.doc_id <=> w.id AND d.text_hash = w.hash")).select("set_id", "text")
     texts = written(texts, "minmax-texts")
     repeated = texts.groupBy("set_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
     if not repeated.isEmpty():  # rows repeated whole: one text a node
         texts = written(texts.groupBy("set_id").agg(F.first("text").alias("text")), "minmax-texts")
 
-    # A node's centres (at most one a band) hang on the least of them; nodes of
-    # one group share most centres, so few different links are left.
-    central = members.groupBy("set_id").agg(F.sum("size").alias("central"), F.max("n").alias("n"), F.collect_set("centre").alias("centres"))
-    central = written(central.withColumn("least", F.array_min("centres")), "minmax-central")
     shared = central.select(F.explode("centres").alias("a"), F.col("least").alias("b")).distinct()
     candidates = components(shared.union(central.select(F.col("set_id").alias("a"), F.col("least").alias("b"))))
     central = central.drop("centres", "least")
-    cluster = written(central.join(candidates.select(F.col("node").alias("set_id"), F.col("root").alias("cluster")), "set_id"), "minmax-clusters")
+    cluster = written(central.join(maybe_broadcast(candidates.select(F.col("node").alias("set_id"), F.col("root").alias("cluster")), n_shared), "set_id"), "minmax-clusters")
     sizes = cluster.groupBy("cluster").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("shingles"), F.max(F.struct("central", "set_id"))["set_id"].alias("hub"))
     large = written(sizes.where((F.col("k") > BLOCK) | (F.col("shingles") > BLOCK_SHINGLES)).select("cluster", "hub"), "minmax-large")
     n_large = large.count()
 
     yes = F.lit(True)
     small = cluster.join(maybe_broadcast(large, n_large), "cluster", "left_anti").select("set_id", F.hex("cluster").alias("part"), yes.alias("member"), yes.alias("query"))
-    links = written(local_roots(small.join(texts, "set_id"), width, percent), "minmax-links")
+    links = written(local_roots(texts.join(maybe_broadcast(small, n_shared), "set_id"), width, percent), "minmax-links")
     if n_large:
         crowd = written(cluster.join(maybe_broadcast(large, n_large), "cluster").select("cluster", "set_id", "hub"), "minmax-crowds")
         links = links.union(crowd_links(crowd, members, texts, width, percent))
     final = components(links)
 
-    classes = nodes.select("set_id", "least").join(final.select(F.col("node").alias("set_id"), "root"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
+    final = maybe_broadcast(final.select(F.col("node").alias("set_id"), "root"), n_shared)
+    classes = nodes.select("set_id", "least").join(final, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     classes = written(classes, "minmax-classes")
     least = written(classes.groupBy("root").agg(F.min("least").alias("component_id")), "minmax-least")
-    by_set = written(classes.join(least, "root").select("set_id", "root", "component_id"), "minmax-component")
+    by_set = written(classes.join(maybe_broadcast(least, least.count()), "root").select("set_id", "root", "component_id"), "minmax-component")
     out = rows.select("doc_id", "text_hash", "n", "set_id").join(by_set, "set_id", "left")
     return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "root", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
