@@ -86,6 +86,40 @@ def test_keyed_gate_forgets_after_keep(spark):
         query.stop()
 
 
+def test_keyed_gate_meets_a_month_once_a_batch():
+    """The state is read and written once for each month that a user's requests
+    of a micro-batch fall in, however many days those are."""
+    from pyspark.sql import Row
+
+    from tokenmeter.streaming import keyed as K
+
+    class Months(dict):
+        calls = 0
+
+        def getValue(self, key):
+            self.calls += 1
+            return self.get(key)
+
+        def updateValue(self, key, value):
+            self.calls += 1
+            self[key] = value
+
+    class Handle:
+        months = Months()
+
+        def getMapState(self, *_):
+            return self.months
+
+    gate, handle, request = K.KeyedGate(True, None), Handle(), Row(*K.REQUEST)
+    gate.init(handle)
+    first = dt.date(2024, 1, 1).toordinal() - dt.date(1970, 1, 1).toordinal()
+    log = [request(i, "u", dt.datetime(2024, 1, 1) + dt.timedelta(days=i % 31, hours=i // 31), "user", "pro", 10, first + i % 31, 25, -1, False) for i in range(124)]
+    made = [r for half in (log[:62], log[62:]) for r in gate.handleInputRows(("u",), iter(half), None)]
+    assert handle.months.calls == 4 and len(handle.months) == 1
+    assert [r.admitted for r in sorted(made, key=lambda r: r.id)] == [True] * 93 + [False] * 31
+    assert made[-1].tokens_today_before == 30 and made[-1].tokens_month_before == 930
+
+
 def test_dedupe_state_is_bounded(spark):
     """Over 100 micro-batches the ids held stay those of the horizon; an id that
     comes again within it passes once, later again."""
